@@ -160,9 +160,10 @@ heard AS (
   JOIN (SELECT sensor_id, min("offset") AS first_offset FROM base GROUP BY 1) f
     ON l.sensor_id = f.sensor_id AND l."offset" > f.first_offset),
 merged AS (
-  SELECT sensor_id, "offset", NULL AS event_state, NULL::TIMESTAMP AS stop_ts, event_id FROM base
+  SELECT sensor_id, "offset", NULL::VARCHAR AS event_state, NULL::TIMESTAMP AS stop_ts,
+    event_id FROM base
   UNION ALL
-  SELECT sensor_id, "offset", state, stop_ts, NULL FROM heard),
+  SELECT sensor_id, "offset", state, stop_ts, NULL::BIGINT FROM heard),
 states AS (
   SELECT *,
     last_value(event_state IGNORE NULLS) OVER w AS state,
