@@ -64,24 +64,23 @@ def decode_and_route(records: DataFrame) -> DataFrame:
 
 
 def decode_typed_payload(routed: DataFrame) -> DataFrame:
-    """Data rows of the two sensor topics with their payload fields and ``measure``.
+    """Rows of the two sensor topics with their payload fields and ``measure``.
 
-    Each topic has its own schema; a missing measure reads as 0.0, missing text as ''. Rows whose
-    payload has a wrongly typed field keep ``payload_ok = false``.
+    Each topic has its own schema; a missing measure reads as 0.0, missing text as ''. Rows without
+    a usable payload have ``payload_ok = false``.
     """
     return (
-        routed.where(F.col("route") == DATA)
-        .withColumn(
+        routed.withColumn(
             "__t",
             F.when(
-                F.col("topic") == TOPIC_TEMPERATURE,
+                (F.col("route") == DATA) & (F.col("topic") == TOPIC_TEMPERATURE),
                 _parse(F.col("payload"), schemas.TEMPERATURE_READING),
             ),
         )
         .withColumn(
             "__p",
             F.when(
-                F.col("topic") == TOPIC_PRESSURE,
+                (F.col("route") == DATA) & (F.col("topic") == TOPIC_PRESSURE),
                 _parse(F.col("payload"), schemas.PRESSURE_READING),
             ),
         )
@@ -179,8 +178,8 @@ def envelope(payload: Column) -> Column:
     return F.to_json(F.struct(F.lit(TYPE_DATA).alias("type"), payload.alias("payload")))
 
 
-def encode_readings(clean: DataFrame) -> DataFrame:
-    """Clean readings as cleaned-topic records ``key, value``, keyed by sensor."""
+def reading_envelope() -> Column:
+    """Cleaned-topic JSON of a typed reading, with the field name of its topic."""
     head = [
         F.col("message_id").alias("messageId"),
         F.col("sensor_id").alias("sensorId"),
@@ -189,11 +188,13 @@ def encode_readings(clean: DataFrame) -> DataFrame:
     ]
     warm = envelope(F.struct(*head, F.col("measure").alias("temperature_celsius")))
     tight = envelope(F.struct(*head, F.col("measure").alias("pressure_bar")))
+    return F.when(F.col("topic") == TOPIC_TEMPERATURE, warm).otherwise(tight)
+
+
+def encode_readings(clean: DataFrame) -> DataFrame:
+    """Clean readings as cleaned-topic records ``key, value``, keyed by sensor."""
     return clean.select(
-        F.col("sensor_id").alias("key"),
-        F.when(F.col("topic") == TOPIC_TEMPERATURE, warm).otherwise(tight).alias("value"),
-        "offset",
-        "timestamp",
+        F.col("sensor_id").alias("key"), reading_envelope().alias("value"), "offset", "timestamp"
     )
 
 

@@ -9,11 +9,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensorloom.constants import (
     PRESSURE_CLOSED_RANGE,
     TEMPERATURE_OPEN_RANGE,
+    TOPIC_CLEANED,
     TOPIC_PRESSURE,
     TOPIC_TEMPERATURE,
 )
 from sensorloom.functions.times import rfc3339_seconds
-from sensorloom.operators.codec import DATA, MALFORMED, decode_and_route, decode_typed_payload
+from sensorloom.operators.codec import (
+    DATA,
+    MALFORMED,
+    MARKER,
+    decode_and_route,
+    decode_typed_payload,
+    reading_envelope,
+)
 
 Validity = Callable[[Column], Column]
 
@@ -42,6 +50,10 @@ def _valid(checks: Mapping[str, Validity | None]) -> Column:
     return verdict
 
 
+def _data(routed: DataFrame) -> DataFrame:
+    return routed.where(F.col("route") == DATA)
+
+
 def clean_readings(
     records: DataFrame,
     checks: Mapping[str, Validity | None] = RANGE_CHECKS,
@@ -52,7 +64,7 @@ def clean_readings(
     ``restamp`` replaces the event time by that clock, at whole seconds; by default the time given
     by the sensor is kept.
     """
-    typed = decode_typed_payload(decode_and_route(records))
+    typed = decode_typed_payload(_data(decode_and_route(records)))
     clean = typed.where(F.col("payload_ok") & _valid(checks))
     if restamp is not None:
         clean = clean.withColumn("event_time_text", rfc3339_seconds(restamp))
@@ -60,6 +72,28 @@ def clean_readings(
                       "route", "payload_ok")
 
 
+def cleaned_records(
+    records: DataFrame,
+    checks: Mapping[str, Validity | None] = RANGE_CHECKS,
+    restamp: Column | None = None,
+) -> DataFrame:
+    """The whole ingest stage on topic records, batch or streaming, in one pass over its source:
+    valid readings re-encoded and keyed by sensor, markers unchanged, the rest dropped."""
+    typed = decode_typed_payload(decode_and_route(records))
+    is_marker = F.col("route") == MARKER
+    typed = typed.where(is_marker | (F.col("payload_ok") & _valid(checks)))
+    if restamp is not None:
+        typed = typed.withColumn("event_time_text", rfc3339_seconds(restamp))
+    return typed.select(
+        F.when(is_marker, F.col("key")).otherwise(F.col("sensor_id")).alias("key"),
+        F.when(is_marker, F.col("value")).otherwise(reading_envelope()).alias("value"),
+        F.lit(TOPIC_CLEANED).alias("topic"),
+        "partition",
+        "offset",
+        "timestamp",
+    )
+
+
 def ingest_outcomes(
     records: DataFrame, checks: Mapping[str, Validity | None] = RANGE_CHECKS
 ) -> DataFrame:
@@ -73,7 +107,7 @@ def ingest_outcomes(
         "outcome",
         F.when(F.col("route") == MALFORMED, "malformed_envelope").otherwise(F.col("route")),
     )
-    typed = decode_typed_payload(routed).withColumn(
+    typed = decode_typed_payload(_data(routed)).withColumn(
         "outcome",
         F.when(~F.col("payload_ok"), "malformed_payload")
         .when(~_valid(checks), "out_of_range")

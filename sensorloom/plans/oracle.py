@@ -742,3 +742,40 @@ fate AS (
           LEFT JOIN config c ON t.type = c.type GROUP BY 1""",
     ),
 }
+
+CLEANED_VALUE = """'{"type":"DATA","payload":{"messageId":"m-' || event_id ||
+  '","sensorId":"' || payload_id || '","machineId":"' || machine_id ||
+  '","timestamp":"' || event_time_text || CASE WHEN kind = 'temperature'
+    THEN '","temperature_celsius":' ELSE '","pressure_bar":' END || measure || '}}'"""
+
+ORACLE |= {
+    "stream_ingest": _with(
+        BASE,
+        RECORDS,
+        select=f"""SELECT payload_id AS key, {CLEANED_VALUE} AS value,
+          'data-topic-cleaned' AS topic, "offset" FROM clean
+          UNION ALL
+          SELECT rkey, '{{"type":"LATENCY_MARKER","marker":{{"ingress_ts_nano":' ||
+            epoch_us(ts) * 1000::BIGINT || '}}}}', 'data-topic-cleaned', "offset"
+          FROM records WHERE route = 'marker'""",
+    ),
+    "stream_sliding_eval": ORACLE["sliding_eval_sessions"],
+    "stream_decision": _with(
+        *WINDOW_CTES,
+        CONFIG,
+        PROCESSED,
+        select=f"""SELECT sensor_id AS key,
+          '{{"sensorId":"' || sensor_id || '","command":"ModeStop"}}' AS value, count(*) AS n
+          FROM (SELECT p.sensor_id, {rule()} AS rule_code
+                FROM processed p JOIN config c ON p.sensor_id = c.sensor_id WHERE NOT damaged)
+          WHERE rule_code IS NOT NULL GROUP BY 1, 2""",
+    ),
+    "stream_telemetry_sink": _with(
+        BASE,
+        RECORDS,
+        select="""SELECT machine_id, payload_id AS sensor_id, kind AS metric_type, ts,
+          arg_max(measure, "offset") AS value, max("offset") AS arrival
+          FROM clean GROUP BY 1, 2, 3, 4""",
+    ),
+    "stream_status": ORACLE["status_current"],
+}

@@ -75,7 +75,8 @@ def _routed(spark, sf_dir):
 
 
 def _typed(spark, sf_dir):
-    return codec.decode_typed_payload(_routed(spark, sf_dir))
+    routed = _routed(spark, sf_dir)
+    return codec.decode_typed_payload(routed.where(F.col("route") == codec.DATA))
 
 
 def _telemetry(spark, sf_dir):
