@@ -17,13 +17,20 @@ from sensorloom.functions.times import clock_text, parse_rfc3339, rfc3339_second
 DATA, MARKER, UNHANDLED, MALFORMED = "data", "marker", "unhandled", "malformed"
 
 
-def _parse(text: Column, schema) -> Column:
-    return F.from_json(
-        text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
-    )
+def parse_once(frame: DataFrame, **parsed: tuple[Column, object]) -> DataFrame:
+    """Add struct columns parsed from JSON text, ``name=(text, schema)``, null for null text.
+
+    Exploding a one-element array keeps the parse out of reach of the optimizer's filter push-down
+    and projection merging, which would copy it into every expression that looks at a field.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    for name, (text, schema) in parsed.items():
+        struct = F.from_json(text, schema, options)
+        frame = frame.select("*", F.explode(F.array(struct)).alias(name))
+    return frame
 
 
-def _unusable(parsed: str) -> Column:
+def unusable(parsed: str) -> Column:
     return F.col(parsed).isNull() | F.col(f"{parsed}.{schemas.CORRUPT}").isNotNull()
 
 
@@ -32,7 +39,7 @@ def decode_envelope(records: DataFrame) -> DataFrame:
 
     The payload stays raw JSON text. A present marker without its number reads as 0.
     """
-    parsed = records.withColumn("__env", _parse(F.col("value"), schemas.ENVELOPE))
+    parsed = parse_once(records, __env=(F.col("value"), schemas.ENVELOPE))
     return parsed.select(
         *records.columns,
         F.coalesce(F.col("__env.type"), F.lit("")).alias("type"),
@@ -42,7 +49,7 @@ def decode_envelope(records: DataFrame) -> DataFrame:
             F.coalesce(F.col("__env.marker.ingress_ts_nano"), F.lit(0)),
         ).alias("ingress_ts_nano"),
         F.coalesce(F.col("__env.marker").isNotNull(), F.lit(False)).alias("has_marker"),
-        _unusable("__env").alias("malformed"),
+        unusable("__env").alias("malformed"),
     )
 
 
@@ -69,20 +76,14 @@ def decode_typed_payload(routed: DataFrame) -> DataFrame:
     Each topic has its own schema; a missing measure reads as 0.0, missing text as ''. Rows without
     a usable payload have ``payload_ok = false``.
     """
+    is_data = F.col("route") == DATA
+    warm, tight = (F.col("topic") == topic for topic in (TOPIC_TEMPERATURE, TOPIC_PRESSURE))
+    payload = F.col("payload")
     return (
-        routed.withColumn(
-            "__t",
-            F.when(
-                (F.col("route") == DATA) & (F.col("topic") == TOPIC_TEMPERATURE),
-                _parse(F.col("payload"), schemas.TEMPERATURE_READING),
-            ),
-        )
-        .withColumn(
-            "__p",
-            F.when(
-                (F.col("route") == DATA) & (F.col("topic") == TOPIC_PRESSURE),
-                _parse(F.col("payload"), schemas.PRESSURE_READING),
-            ),
+        parse_once(
+            routed,
+            __t=(F.when(is_data & warm, payload), schemas.TEMPERATURE_READING),
+            __p=(F.when(is_data & tight, payload), schemas.PRESSURE_READING),
         )
         .select(
             *routed.columns,
@@ -96,7 +97,7 @@ def decode_typed_payload(routed: DataFrame) -> DataFrame:
                 )
             ],
             F.coalesce("__t.temperature_celsius", "__p.pressure_bar", F.lit(0.0)).alias("measure"),
-            (~(_unusable("__t") & _unusable("__p"))).alias("payload_ok"),
+            (~(unusable("__t") & unusable("__p"))).alias("payload_ok"),
         )
     )
 
@@ -106,10 +107,9 @@ def decode_telemetry(cleaned: DataFrame) -> DataFrame:
 
     Rows with a wrongly typed payload are dropped, an empty sensor id falls back to the record key.
     """
-    parsed = cleaned.where(F.col("route") == DATA).withColumn(
-        "__g", _parse(F.col("payload"), schemas.GENERIC_TELEMETRY)
-    )
-    return parsed.where(~_unusable("__g")).select(
+    data = cleaned.where(F.col("route") == DATA)
+    parsed = parse_once(data, __g=(F.col("payload"), schemas.GENERIC_TELEMETRY))
+    return parsed.where(~unusable("__g")).select(
         *cleaned.columns,
         or_key(F.col("__g.sensorId"), F.col("key")).alias("sensor_id"),
         F.coalesce("__g.machineId", F.lit("")).alias("machine_id"),
@@ -149,9 +149,8 @@ def to_telemetry_points(telemetry: DataFrame, now: Column) -> DataFrame:
 
 def decode_processed(routed: DataFrame, now: Column) -> DataFrame:
     """Data rows of the processed topic as window rows; ``payload_ok`` marks unusable payloads."""
-    parsed = routed.where(F.col("route") == DATA).withColumn(
-        "__w", _parse(F.col("payload"), schemas.PROCESSED_DATA)
-    )
+    data = routed.where(F.col("route") == DATA)
+    parsed = parse_once(data, __w=(F.col("payload"), schemas.PROCESSED_DATA))
     numbers = {
         "minimo": "min_value",
         "media": "mean_value",
@@ -169,7 +168,7 @@ def decode_processed(routed: DataFrame, now: Column) -> DataFrame:
             for wire, name in numbers.items()
         ],
         parse_rfc3339(F.col("__w.timestamp"), now).alias("emit_ts"),
-        (~_unusable("__w")).alias("payload_ok"),
+        (~unusable("__w")).alias("payload_ok"),
     )
 
 

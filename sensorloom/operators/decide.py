@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom import schemas
 from sensorloom.constants import COMMAND_STOP, TYPE_DATA, TYPE_MARKER, TYPE_UNHANDLED
-from sensorloom.operators.codec import MARKER, UNHANDLED
+from sensorloom.operators.codec import MARKER, UNHANDLED, parse_once, unusable
 
 LIMITS = ("min_threshold", "max_threshold", "max_std_dev", "max_drift")
 OUT_OF_RANGE, UNSTABLE, DRIFT = "out_of_range", "instability", "drift"
@@ -99,14 +99,8 @@ def encode_alarms(alarm_rows: DataFrame) -> DataFrame:
 
 def decode_commands(records: DataFrame) -> DataFrame:
     """Signal-topic records as ``sensor_id, command, offset``; malformed ones are skipped."""
-    parsed = records.withColumn(
-        "__a",
-        F.from_json(
-            "value", schemas.ALARM, {"columnNameOfCorruptRecord": schemas.CORRUPT}
-        ),
-    )
-    usable = F.col("__a").isNotNull() & F.col(f"__a.{schemas.CORRUPT}").isNull()
-    return parsed.where(usable).select(
+    parsed = parse_once(records, __a=(F.col("value"), schemas.ALARM))
+    return parsed.where(~unusable("__a")).select(
         "key",
         F.coalesce("__a.sensorId", F.lit("")).alias("sensor_id"),
         F.coalesce("__a.command", F.lit("")).alias("command"),
