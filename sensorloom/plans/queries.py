@@ -24,7 +24,7 @@ from sensorloom.operators.windows import (
     with_event_clock,
 )
 from sensorloom.schemas import STATS
-from sensorloom.session import shared_folder, written
+from sensorloom.session import shared_folder, ship_package, written
 from sensorloom.sources import derived, samples
 from sensorloom.sources.points import metrics_table, telemetry_table
 from sensorloom.sources.topics import read_topics
@@ -42,6 +42,7 @@ def query(build: Query) -> Query:
 
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         frame = build(spark, sf_dir)
         return frame.select(

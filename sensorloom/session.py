@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +35,27 @@ def build_session(app: str, master: str | None = None, **conf: object) -> SparkS
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    Workers import the functions they run by name, so they need the package wherever they start.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_sensorloom_shipped", False):
+        return spark
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="sensorloom-package-")  # read by the driver's file server only
+    archive = Path(folder) / "sensorloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context._sensorloom_shipped = True
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
