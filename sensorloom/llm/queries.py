@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import secret_ledger, winnow
+from sensorloom.llm import bloom_lm, html_main, lang_cnn, packing, quality, secret_ledger, warc, winnow
 from sensorloom.llm.common import small_batches, table
+from sensorloom.session import ship_package
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         small_batches(spark)
         return build(spark, sf_dir)
@@ -29,7 +32,37 @@ def op2_secret_ledger(spark, sf_dir):
     return secret_ledger.digest(ledger.findings(paths))
 
 
+@query
+def op3_quality_divergence(spark, sf_dir):
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_byte_cnn(spark, sf_dir):
+    return lang_cnn.identified(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_bloom_lm(spark, sf_dir):
+    return bloom_lm.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_vector_best_fit(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_warc_dictionary(spark, sf_dir):
+    return warc.digest(warc.archived(table(spark, sf_dir, "pages")))
+
+
 @query
 def op9_winnowing(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return winnow.digest(*winnow.judged(docs, items))
+
+
+@query
+def op10_text_tag_ratio(spark, sf_dir):
+    return html_main.extracted(table(spark, sf_dir, "pages"))

@@ -221,9 +221,9 @@ def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int =
     shared = written(shared.distinct(), "shared-fingerprints")
     about = F.struct("size", "hash", "item_id", "length", "lead", "around")
     spread = shared.join(anchors, ["size", "hash"]).groupBy("key").agg(F.collect_set(about).alias("anchors"))
-    texts = docs.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(shared.select("key").distinct(), "key", "left_semi")
-    texts = texts.groupBy("key").agg(F.min("text").alias("text")).join(written(spread, "anchors-by-text"), "key")
+    # Each text travels once, copies collapse before the shuffle; a merge join at every size.
+    texts = docs.groupBy(key.alias("key")).agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    texts = texts.join(written(spread, "anchors-by-text").hint("merge"), "key")
     texts = texts.select("key", "anchors", words_of(F.col("text")).alias("words"), folded_words(F.col("text")).alias("folded"))
     found = None
     for size in [gram, *[n for n in sizes if n != gram]]:
