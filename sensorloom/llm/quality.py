@@ -3,8 +3,8 @@
 Each text is reduced to two histograms, of character classes and of common words, and compared with
 the reference histograms of languages by Jensen-Shannon distance (base 2, so 0 to 1). References are
 computed from the corpus itself: per language, the mean histogram of all its texts that pass the base
-rules. Character classes are judged from ``min_chars`` word characters on and common words from
-``min_words`` words on; shorter texts give too coarse a histogram and pass.
+rules. Character classes alone are judged from ``min_chars`` word characters on, both histograms
+together from ``min_words`` words on; shorter texts give too coarse a histogram and pass.
 
 Defined results: a null or empty text has no words and fails the base rules; a language that is null
 or has no reference is no obstacle, as every text is held against its nearest reference; where no
@@ -42,14 +42,16 @@ FEATURES = (
 
 @dataclass(frozen=True)
 class Limits:
-    """Thresholds; distances above them reject a text."""
+    """A text of ``min_chars`` word characters is rejected above ``class_distance``, one of
+    ``min_words`` words where both distances are above ``both_class`` and ``both_word``."""
 
     least_words: int = 20
     repeat_percent: int = 30
-    min_chars: int = 100
-    min_words: int = 50
+    min_chars: int = 500
     class_distance: float = 0.25
-    word_distance: float = 0.60
+    min_words: int = 50
+    both_class: float = 0.13
+    both_word: float = 0.26
 
 
 def _class_of_byte() -> np.ndarray:
@@ -230,7 +232,9 @@ def with_verdict(rows: DataFrame, refs: list, limits: Limits = Limits()) -> Data
     )
     rows = rows.withColumn("nearest", F.get(ranked, F.lit(0)))
     strange = ((F.col("f.word_chars") >= limits.min_chars) & (F.col("nearest.class") > limits.class_distance)) | (
-        (F.col("f.n_words") >= limits.min_words) & (F.col("nearest.word") > limits.word_distance)
+        (F.col("f.n_words") >= limits.min_words)
+        & (F.col("nearest.class") > limits.both_class)
+        & (F.col("nearest.word") > limits.both_word)
     )
     return rows.withColumns(
         {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import bloom_lm, html_main, lang_cnn, packing, quality, secret_ledger, warc, winnow
+from sensorloom.llm import bloom_lm, html_main, lang_cnn, ngram_join, packing, quality, secret_ledger, warc, winnow
 from sensorloom.llm.common import small_batches, table
 from sensorloom.session import ship_package
 
@@ -25,6 +25,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.digest(ngram_join.joined(table(spark, sf_dir, "documents")))
+
+
 @query
 def op2_secret_ledger(spark, sf_dir):
     ledger = secret_ledger.BlobLedger(spark)
