@@ -6,13 +6,9 @@ from pyspark.sql import Column, functions as F
 
 
 def round_half_away(value: Column, digits: int) -> Column:
-    """Round to ``digits`` decimals by scaling, halves away from zero.
-
-    The scaled value is first taken to four decimals: a mean that lies on a half rounds the same
-    way whatever the order in which its rows were summed.
-    """
+    """Round to ``digits`` decimals by scaling, once, halves away from zero."""
     scale = float(10**digits)
-    return F.round(F.round(value * F.lit(scale), 4)) / F.lit(scale)
+    return F.round(value * F.lit(scale)) / F.lit(scale)
 
 
 def or_key(sensor_id: Column, key: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sensorloom import schemas
 from sensorloom.constants import (
@@ -14,19 +14,39 @@ from sensorloom.constants import (
 from sensorloom.functions.scalars import first_nonzero, or_key, stable_id
 from sensorloom.functions.times import clock_text, parse_rfc3339, rfc3339_seconds
 
+#: Name of the member that ends a wrapped text; no record has it.
+_LAST = "__end_of_record__"
 DATA, MARKER, UNHANDLED, MALFORMED = "data", "marker", "unhandled", "malformed"
 
 
 def parse_once(frame: DataFrame, **parsed: tuple[Column, object]) -> DataFrame:
     """Add struct columns parsed from JSON text, ``name=(text, schema)``, null for null text.
 
+    Parsing is strict: quotes are double, numbers are numbers, and nothing follows the value. Spark's
+    parser stops at the end of a value, so the text is also read as one member of an object whose last
+    member must be reached; text after the value spoils that. That second reading builds no fields.
+
     Exploding a one-element array keeps the parse out of reach of the optimizer's filter push-down
     and projection merging, which would copy it into every expression that looks at a field.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": schemas.CORRUPT,
+        "allowSingleQuotes": "false",
+        "allowNonNumericNumbers": "false",
+    }
     for name, (text, schema) in parsed.items():
-        struct = F.from_json(text, schema, options)
-        frame = frame.select("*", F.explode(F.array(struct)).alias(name))
+        wrapped = F.concat(F.lit('{"value":'), text, F.lit(f',"{_LAST}":1}}'))
+        both = F.struct(
+            F.from_json(text, schema, options).alias("value"),
+            F.from_json(wrapped, T.StructType([T.StructField(_LAST, T.IntegerType())]), options)[_LAST].alias("end"),
+        )
+        frame = frame.select("*", F.explode(F.array(both)).alias("__both"))
+        corrupt = F.coalesce(
+            F.col(f"__both.value.{schemas.CORRUPT}"), F.when(F.col("__both.end").isNull(), text)
+        )
+        value = F.col("__both.value").withField(schemas.CORRUPT, corrupt)
+        frame = frame.withColumn(name, value).drop("__both")
     return frame
 
 
@@ -197,10 +217,15 @@ def encode_readings(clean: DataFrame) -> DataFrame:
     )
 
 
-def processed_envelope(emitted_at: Column) -> Column:
-    """Processed-topic JSON of a window row."""
+def processed_envelope(emitted_at: Column, session_no: Column | None = None) -> Column:
+    """Processed-topic JSON of a window row.
+
+    Two sessions of a sensor may end a window at one instant: where rows have a session, it is part of
+    the message id.
+    """
+    session = [] if session_no is None else [session_no]
     payload = F.struct(
-        stable_id(F.col("sensor_id"), F.unix_micros("window_end")).alias("messageId"),
+        stable_id(F.col("sensor_id"), *session, F.unix_micros("window_end")).alias("messageId"),
         F.col("sensor_id").alias("sensorId"),
         F.col("machine_id").alias("machineId"),
         F.col("min_value").alias("minimo"),
@@ -217,8 +242,9 @@ def processed_envelope(emitted_at: Column) -> Column:
 
 def encode_windows(windows: DataFrame, emitted_at: Column) -> DataFrame:
     """Window rows as processed-topic records ``key, value``, keyed by sensor."""
+    session = F.col("session_no") if "session_no" in windows.columns else None
     return windows.select(
-        F.col("sensor_id").alias("key"), processed_envelope(emitted_at).alias("value")
+        F.col("sensor_id").alias("key"), processed_envelope(emitted_at, session).alias("value")
     )
 
 

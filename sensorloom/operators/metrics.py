@@ -5,14 +5,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.constants import LATENCY_BOUNDS, MICROS, SEEDED_COUNTERS
 from sensorloom.functions.running import Running, with_running
 from sensorloom.functions.times import micros
+from sensorloom.session import written
 
+#: How long a gauge's last sample counts.
+LOOKBACK_SECONDS = 300.0
 _SERIES, _AT = "__series", "__at_us"
 
 
@@ -73,11 +76,12 @@ def label(name: str) -> Column:
     return F.element_at("labels", name)
 
 
-def _in_range(samples: DataFrame, metric: str, now: Column, seconds: float) -> DataFrame:
-    """Samples of one metric in ``(now - seconds, now]``, with a groupable series key."""
+def _in_range(samples: DataFrame, metric: str | list[str], now: Column, seconds: float) -> DataFrame:
+    """Samples of some metrics in ``(now - seconds, now]``, with a groupable series key."""
     start = F.timestamp_micros(F.unix_micros(now) - F.lit(micros(seconds)))
+    names = [metric] if isinstance(metric, str) else metric
     return samples.where(
-        (F.col("metric") == metric) & (F.col("ts") > start) & (F.col("ts") <= now)
+        F.col("metric").isin(*names) & (F.col("ts") > start) & (F.col("ts") <= now)
     ).withColumns(
         {
             _SERIES: F.to_json(F.array_sort(F.map_entries("labels"))),
@@ -91,6 +95,27 @@ def _named(by: Mapping[str, str] | list[str]) -> list[Column]:
     return [label(source).alias(name) for name, source in names.items()]
 
 
+def _stepped(
+    samples: DataFrame,
+    metric: str | list[str],
+    now: Column,
+    seconds: float,
+    chunk_seconds: float,
+) -> DataFrame:
+    """Samples in the range with ``__grown``, what each one added to its series."""
+    stepped = with_running(
+        _in_range(samples, metric, now, seconds),
+        ["metric", _SERIES],
+        _AT,
+        micros(chunk_seconds),
+        __previous=Running("last", F.col("value"), inclusive=False),
+    )
+    grown = F.when(F.col("__previous").isNull(), F.lit(0.0)).when(
+        F.col("value") < F.col("__previous"), F.col("value")
+    ).otherwise(F.col("value") - F.col("__previous"))
+    return stepped.withColumn("__grown", grown)
+
+
 def increase(
     samples: DataFrame,
     metric: str,
@@ -104,18 +129,8 @@ def increase(
     A falling value is a restart from zero. Unlike a scraper's query language we do not extrapolate
     to the ends of the range.
     """
-    samples = _in_range(samples, metric, now, seconds)
-    stepped = with_running(
-        samples,
-        [_SERIES],
-        _AT,
-        micros(chunk_seconds),
-        __previous=Running("last", F.col("value"), inclusive=False),
-    )
-    grown = F.when(F.col("__previous").isNull(), F.lit(0.0)).when(
-        F.col("value") < F.col("__previous"), F.col("value")
-    ).otherwise(F.col("value") - F.col("__previous"))
-    return stepped.groupBy(*_named(by)).agg(F.sum(grown).alias("increase"))
+    stepped = _stepped(samples, metric, now, seconds, chunk_seconds)
+    return stepped.groupBy(*_named(by)).agg(F.sum("__grown").alias("increase"))
 
 
 def rate(
@@ -134,13 +149,12 @@ def rate(
 def mean_from_rates(
     samples: DataFrame, metric: str, by: list[str], now: Column, seconds: float
 ) -> DataFrame:
-    """Mean observation of a histogram: growth of its sum over growth of its count."""
-    sums = increase(samples, f"{metric}_sum", by, now, seconds)
-    counts = increase(samples, f"{metric}_count", by, now, seconds)
-    both = sums.withColumn("part", F.lit("s")).unionByName(counts.withColumn("part", F.lit("c")))
-    total = {p: F.sum(F.when(F.col("part") == p, F.col("increase"))) for p in ("s", "c")}
-    return both.groupBy(*by).agg(
-        F.try_divide(total["s"], F.nullif(total["c"], F.lit(0.0))).alias("mean_seconds")
+    """Mean observation of a histogram: growth of its sum over growth of its count, in one pass."""
+    parts = [f"{metric}_sum", f"{metric}_count"]
+    stepped = _stepped(samples, parts, now, seconds, 86_400)
+    total, count = (F.sum(F.when(F.col("metric") == part, F.col("__grown"))) for part in parts)
+    return stepped.groupBy(*_named(by)).agg(
+        F.try_divide(total, F.nullif(count, F.lit(0.0))).alias("mean_seconds")
     )
 
 
@@ -157,13 +171,24 @@ def avg_over_time(
 
 
 def latest_by(
-    samples: DataFrame, metric: str, by: list[str], now: Column, how: str = "sum"
+    samples: DataFrame,
+    metric: str,
+    by: list[str],
+    now: Column,
+    how: str = "sum",
+    lookback_seconds: float = LOOKBACK_SECONDS,
 ) -> DataFrame:
-    """The last sample of each series up to ``now``, combined by labels with ``sum`` or ``max``."""
+    """The last sample of each series up to ``now``, combined by labels with ``sum`` or ``max``.
+
+    A series that sent nothing for ``lookback_seconds`` has no value any more. A series in which one of
+    the labels ``by`` is missing or empty does not count.
+    """
+    matching = reduce(and_, [F.coalesce(label(name) != "", F.lit(False)) for name in by])
     per_series = (
-        samples.where((F.col("metric") == metric) & (F.col("ts") <= now))
-        .groupBy(F.to_json(F.array_sort(F.map_entries("labels"))).alias(_SERIES), *_named(by))
-        .agg(F.max_by("value", F.unix_micros("ts")).alias("value"))
+        _in_range(samples, metric, now, lookback_seconds)
+        .where(matching)
+        .groupBy(_SERIES, *_named(by))
+        .agg(F.max_by("value", _AT).alias("value"))
     )
     combine = {"sum": F.sum, "max": F.max}[how]
     return per_series.groupBy(*by).agg(combine("value").alias("value"))
@@ -176,9 +201,8 @@ def latency_percentiles(latencies: DataFrame, chunk: int = 1024) -> DataFrame:
     Latencies are counted per distinct value first, and ranks are running sums over those counts,
     so no task ever sorts the latencies themselves.
     """
-    counts = (
-        latencies.where("ok").groupBy("latency_ms").agg(F.count("*").alias("__c"))
-    )
+    counts = latencies.where("ok").groupBy("latency_ms").agg(F.count("*").alias("__c"))
+    counts = written(counts, "latency-counts")  # several steps read them
     ranked = with_running(
         counts, [], "latency_ms", chunk, __upto=Running("sum", F.col("__c"))
     )

@@ -245,7 +245,7 @@ def last_gauge(keys: tuple[str, ...], value: str) -> str:
     names = ", ".join(keys)
     return f"""latest AS (
   SELECT {names}, arg_max(v, epoch_us(ts)) AS v FROM (SELECT *, {value} AS v FROM g)
-  WHERE ts <= {NOW} GROUP BY {names})"""
+  WHERE ts <= {NOW} AND ts > {NOW} - INTERVAL 24 HOUR GROUP BY {names})"""
 
 
 LATENCIES = """lat AS (
@@ -294,6 +294,7 @@ ORACLE: dict[str, str] = {
           max("offset") AS "offset" FROM signals GROUP BY key""",
     ),
     "sink_telemetry_points": _with(BASE, RECORDS, POINTS, select=LAST_POINTS),
+    "sink_two_writers": _with(BASE, RECORDS, POINTS, select=LAST_POINTS),
     "points_last_write_wins": _with(BASE, RECORDS, POINTS, select=LAST_POINTS),
     "sink_sensor_metrics": _with(
         *WINDOW_CTES,
@@ -777,5 +778,13 @@ ORACLE |= {
           arg_max(measure, "offset") AS value, max("offset") AS arrival
           FROM clean GROUP BY 1, 2, 3, 4""",
     ),
+    "stream_metrics_sink": _with(
+        *WINDOW_CTES,
+        PROCESSED,
+        select=f"""SELECT sensor_id, machine_id, emit_ts::TIMESTAMP AS ts, {WINDOW_STATS}
+          FROM (SELECT *, row_number() OVER (
+              PARTITION BY sensor_id, machine_id, emit_ts ORDER BY "offset" DESC) AS place
+              FROM processed WHERE NOT damaged) WHERE place = 1""",
+    ),
     "stream_status": ORACLE["status_current"],
 }

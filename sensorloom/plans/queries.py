@@ -6,7 +6,6 @@ aggregates are rounded, so that any engine can compare them.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -24,7 +23,7 @@ from sensorloom.operators.windows import (
     with_event_clock,
 )
 from sensorloom.schemas import STATS
-from sensorloom.session import shared_folder, ship_package, written
+from sensorloom.session import fresh_path, ship_package, written
 from sensorloom.sources import derived, samples
 from sensorloom.sources.points import metrics_table, telemetry_table
 from sensorloom.sources.topics import read_topics
@@ -102,8 +101,7 @@ def _processed(spark, sf_dir):
     return codec.decode_and_route(written(frame, "processed"))
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+_fresh = fresh_path
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -146,12 +144,28 @@ def sink_telemetry_points(spark, sf_dir):
     table = telemetry_table(_fresh(spark, "telemetry"))
     rows = _hourly_points(spark, sf_dir)
     later = F.col("arrival") % 2 == 0
-    table.append(rows.where(later), 1)
-    table.append(rows.where(~later), 0)
-    table.append(rows.where(later), 1)
+    table.append(rows.where(later), 1, "sink")
+    table.append(rows.where(~later), 0, "sink")
+    table.append(rows.where(later), 1, "sink")
     return table.read(spark)
 
 
+@query
+def sink_two_writers(spark, sf_dir):
+    """Two writers with the same batch ids, a replayed batch, a writer that starts over with a fresh
+    checkpoint, and the closed days compacted: no point is lost."""
+    table = telemetry_table(_fresh(spark, "telemetry"))
+    rows = written(_hourly_points(spark, sf_dir), "points")
+    part = F.pmod(F.xxhash64("sensor_id", "arrival"), F.lit(4))
+    table.append(rows.where(part == 0), 0, "north")
+    table.append(rows.where(part == 1), 0, "south")
+    table.append(rows.where(part == 2), 1, "north")
+    table.append(rows.where(part == 0), 0, "north")
+    table.append(rows.where(part == 3), 0, "north-restarted")
+    middle = F.lit("2024-01-16").cast("timestamp")
+    return table.compacted(spark, _fresh(spark, "compacted"), middle).read(spark)
+
+
 @query
 def points_last_write_wins(spark, sf_dir):
     identity = ["machine_id", "sensor_id", "metric_type", "ts"]
@@ -165,7 +179,7 @@ def sink_sensor_metrics(spark, sf_dir):
     )
     rows = rows.withColumn("ts", F.date_trunc("day", "ts"))
     table = metrics_table(_fresh(spark, "metrics"))
-    table.append(rows, 0)
+    table.append(rows, 0, "sink")
     return _rounded_stats(table.read(spark))
 
 
@@ -471,7 +485,12 @@ def lag_gauge_sink(spark, sf_dir):
 def lag_max_by_sensor(spark, sf_dir):
     gauge = samples.lag_gauge(spark, sf_dir)
     return metrics.latest_by(
-        gauge, "processing_lag_seconds", ["sensor_id"], derived.now(), how="max"
+        gauge,
+        "processing_lag_seconds",
+        ["sensor_id"],
+        derived.now(),
+        how="max",
+        lookback_seconds=_LOOKBACK,
     )
 
 
@@ -481,6 +500,8 @@ def _counter_now():
 
 
 _RANGE = 72 * derived.HOUR
+#: Short enough that some series have gone stale.
+_LOOKBACK = 24 * derived.HOUR
 _STEP = 24 * derived.HOUR
 
 
@@ -524,7 +545,13 @@ def latency_mean_rate(spark, sf_dir):
 @query
 def gauge_sum_scaled(spark, sf_dir):
     gauge = samples.memory_gauge(spark, sf_dir)
-    frame = metrics.latest_by(gauge, "container_memory_usage_bytes", ["name"], derived.now())
+    frame = metrics.latest_by(
+        gauge,
+        "container_memory_usage_bytes",
+        ["name"],
+        derived.now(),
+        lookback_seconds=_LOOKBACK,
+    )
     frame = frame.select("name", (F.col("value") / 1024.0 / 1024.0).alias("mebibytes"))
     return rounded(frame, "mebibytes")
 

@@ -15,7 +15,7 @@ from sensorloom.plans.queries import SPEC, _fresh, _rounded_stats, query
 from sensorloom.schemas import KAFKA_FRAME
 from sensorloom.session import ROCKSDB_PROVIDER, written
 from sensorloom.sources import derived
-from sensorloom.sources.points import telemetry_table
+from sensorloom.sources.points import metrics_table, telemetry_table
 from sensorloom.sources.topics import read_topics
 from sensorloom.streaming import jobs
 
@@ -86,7 +86,7 @@ def stream_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     alarms = jobs.OutputFolder(_fresh(spark, "alarms"))
     counters = jobs.OutputFolder(_fresh(spark, "counters"))
     body = jobs.decision_body(
-        lambda: derived.sensor_config(spark, sf_dir), alarms, counters, derived.now()
+        lambda: derived.sensor_config(spark, sf_dir), alarms, counters, derived.now(), "decision"
     )
 
     def start(source, checkpoint):
@@ -102,7 +102,7 @@ def stream_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_telemetry_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = ingest.cleaned_records(derived.raw_records(spark, sf_dir))
     table = telemetry_table(_fresh(spark, "telemetry"))
-    body = jobs.telemetry_sink(table, derived.now())
+    body = jobs.telemetry_sink(table, derived.now(), "telemetry")
 
     def start(source, checkpoint):
         batches = read_topics(spark, [TOPIC_CLEANED], path=source)
@@ -112,11 +112,34 @@ def stream_telemetry_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark)
 
 
+@query
+def stream_metrics_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed topic to metric points. The sink starts over with a fresh checkpoint (and so a new
+    writer name) and reads everything again: the points stay the same."""
+    windows = sliding_windows(derived.readings(spark, sf_dir), spec=SPEC)
+    records = _kafka_shaped(derived.processed_records(spark, sf_dir, windows))
+    table = metrics_table(_fresh(spark, "metrics"))
+    counters = jobs.OutputFolder(_fresh(spark, "counters"))
+
+    def started_as(writer):
+        body = jobs.metrics_sink(table, counters, derived.now(), writer)
+
+        def start(source, checkpoint):
+            batches = read_topics(spark, [TOPIC_PROCESSED], path=source)
+            return batches.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+
+        return start
+
+    for writer in ("metrics-1", "metrics-2"):
+        _in_slices(records, started_as(writer))
+    return _rounded_stats(table.read(spark)).drop("arrival")
+
+
 @query
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = derived.lifecycle_messages(spark, sf_dir)
     feed = jobs.OutputFolder(_fresh(spark, "status"))
-    body = jobs.status_body(feed)
+    body = jobs.status_body(feed, "status")
 
     def start(source, checkpoint):
         batches = spark.readStream.schema(messages.schema).parquet(source)

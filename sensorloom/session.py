@@ -61,17 +61,32 @@ def ship_package(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a local test session) is a folder of our own chosen, once
-    per session.
+    Only a local session, whose one process has one disk, may leave it unset: it gets a temporary
+    folder of its own, once per session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master.split("[")[0] != "local":
+        raise ValueError(
+            f"spark.checkpoint.dir is not set, and on {master} executors share no local folder: "
+            "set it to a folder that the driver and all executors reach"
+        )
     chosen = tempfile.mkdtemp(prefix="sensorloom-")
+    atexit.register(shutil.rmtree, chosen, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", chosen)
     return chosen
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder. What is written there goes when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the written table.
 
@@ -79,6 +94,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executors, and unlike ``checkpoint()`` it keeps Parquet column pruning and filter push-down for
     each reader.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

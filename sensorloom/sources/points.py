@@ -1,9 +1,10 @@
 """Time-series point tables on Parquet: idempotent batch appends, last write wins on read.
 
 A point is identified by its tags and its time. Rewriting a partition for every micro-batch would
-not scale, so a batch only adds files in its own ``batch_id`` partition (replaying the batch
-replaces just those), readers keep the last arrival per point, and ``compact`` folds the batches
-of closed days into one.
+not scale, so a batch only adds files in the partition of its own ``writer`` and ``batch_id``: the
+same writer replaying a batch replaces just those, and anything else adds. Batch ids start at 0 with
+every checkpoint, so each checkpoint needs a writer name of its own. Readers keep the last arrival per
+point, and ``compacted`` folds the batches of closed days into one.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sensorloom.operators.points import last_write_wins
 
-COMPACTED = -1
+COMPACTED, COMPACTOR = -1, "compacted"
+#: Tasks that write one day of a compacted table.
+SLICES = 64
 
 
 @dataclass(frozen=True)
@@ -33,19 +36,24 @@ class PointTable:
             T.StructField("ts", T.TimestampType()),
             T.StructField("arrival", T.LongType()),
             T.StructField("day", T.DateType()),
+            T.StructField("writer", T.StringType()),
             T.StructField("batch_id", T.LongType()),
         ]
         return T.StructType(columns)
 
-    def append(self, points: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch; running it again with the same id replaces its own output."""
+    def append(self, points: DataFrame, batch_id: int, writer: str) -> None:
+        """Write one micro-batch; the same writer and id again replace their own output.
+
+        Rows of a day are dealt to few tasks first, so that a batch leaves few files a day.
+        """
+        day = F.to_date("ts")
         (
             points.select(*self.tags, *self.fields, "ts", "arrival")
-            .withColumn("day", F.to_date("ts"))
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .withColumns({"day": day, "writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
+            .hint("rebalance", "day")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch_id")
+            .partitionBy("day", "writer", "batch_id")
             .parquet(self.path)
         )
 
@@ -58,7 +66,7 @@ class PointTable:
 
     def read(self, spark: SparkSession, since: Column | None = None) -> DataFrame:
         """The current points: the last write per tags and time."""
-        rows = self.scan(spark, since).drop("day", "batch_id")
+        rows = self.scan(spark, since).drop("day", "writer", "batch_id")
         return last_write_wins(rows, [*self.tags, "ts"], "arrival")
 
     def compacted(self, spark: SparkSession, target: str, before: Column) -> PointTable:
@@ -66,12 +74,12 @@ class PointTable:
         rows = self.scan(spark)
         closed = F.col("day") < F.to_date(before)
         folded = last_write_wins(
-            rows.where(closed).drop("batch_id"), [*self.tags, "ts", "day"], "arrival"
-        ).withColumn("batch_id", F.lit(COMPACTED).cast("long"))
+            rows.where(closed).drop("writer", "batch_id"), [*self.tags, "ts", "day"], "arrival"
+        ).withColumns({"writer": F.lit(COMPACTOR), "batch_id": F.lit(COMPACTED).cast("long")})
         (
             folded.unionByName(rows.where(~closed))
-            .repartition("day", "batch_id", F.hash(*self.tags) % 64)
-            .write.partitionBy("day", "batch_id")
+            .repartition("day", "writer", "batch_id", F.pmod(F.hash(*self.tags), F.lit(SLICES)))
+            .write.partitionBy("day", "writer", "batch_id")
             .parquet(target)
         )
         return PointTable(target, self.tags, self.fields)

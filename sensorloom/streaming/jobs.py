@@ -1,7 +1,9 @@
 """Streaming stages. Each takes and returns streaming DataFrames or is a ``foreachBatch`` body.
 
 Restart, state and offsets are the checkpoint's business: a micro-batch commits both together. The
-``foreachBatch`` bodies are idempotent per batch id, so a replayed batch changes nothing.
+``foreachBatch`` bodies are idempotent per writer and batch id, so a replayed batch changes nothing.
+``writer`` names the checkpoint: a stage that starts over with a fresh one needs a new name, or its
+first batches would replace those of the old one.
 """
 
 from __future__ import annotations
@@ -62,40 +64,48 @@ def window_stream(
 
 @dataclass(frozen=True)
 class OutputFolder:
-    """Batch-addressed Parquet output: writing a batch again replaces it."""
+    """Parquet output addressed by writer and batch: the same pair again replaces its own files."""
 
     path: str
 
-    def write(self, frame: DataFrame, batch_id: int) -> None:
-        frame.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    def write(self, frame: DataFrame, batch_id: int, writer: str) -> None:
+        frame.write.mode("overwrite").parquet(f"{self.path}/writer={writer}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession, schema) -> DataFrame:
         return spark.read.schema(schema).parquet(self.path)
 
 
-def telemetry_sink(table: PointTable, now: Column) -> BatchBody:
+def telemetry_sink(table: PointTable, now: Column, writer: str) -> BatchBody:
     """Cleaned-topic batches into the raw point table."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         telemetry = codec.decode_telemetry(codec.decode_and_route(batch))
-        table.append(codec.to_telemetry_points(telemetry, now), batch_id)
+        table.append(codec.to_telemetry_points(telemetry, now), batch_id, writer)
 
     return body
 
 
-def metrics_sink(table: PointTable, counters: OutputFolder, now: Column) -> BatchBody:
+def metrics_sink(
+    table: PointTable, counters: OutputFolder, now: Column, writer: str
+) -> BatchBody:
     """Processed-topic batches into the metrics point table, with the stage's counters."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        routed = codec.decode_and_route(batch)
-        decoded = codec.decode_processed(routed, now)
-        rows = decoded.where("payload_ok").select(
-            *table.tags, *table.fields, F.col("emit_ts").alias("ts"), F.col("offset").alias("arrival")
-        )
-        table.append(rows, batch_id)
-        counters.write(metrics.count_outcomes(decide.sink_outcomes(decoded, routed)), batch_id)
-        batch.unpersist()
+        try:
+            routed = codec.decode_and_route(batch)
+            decoded = codec.decode_processed(routed, now)
+            rows = decoded.where("payload_ok").select(
+                *table.tags,
+                *table.fields,
+                F.col("emit_ts").alias("ts"),
+                F.col("offset").alias("arrival"),
+            )
+            table.append(rows, batch_id, writer)
+            outcomes = metrics.count_outcomes(decide.sink_outcomes(decoded, routed))
+            counters.write(outcomes, batch_id, writer)
+        finally:
+            batch.unpersist()
 
     return body
 
@@ -105,6 +115,7 @@ def decision_body(
     alarms: OutputFolder,
     counters: OutputFolder,
     now: Column,
+    writer: str,
     compat: str = "intended",
 ) -> BatchBody:
     """Processed-topic batches to alarm records and counters.
@@ -114,31 +125,34 @@ def decision_body(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        config = load_config()
-        routed = codec.decode_and_route(batch)
-        decoded = codec.decode_processed(routed, now)
-        enriched = decide.with_config(decoded.where("payload_ok"), config)
-        judged = decide.evaluate_rules(enriched, compat)
-        commands = decide.encode_alarms(
-            judged.where("is_anomaly").select(
-                "sensor_id", F.lit(decide.COMMAND_STOP).alias("command")
+        try:
+            config = load_config()
+            routed = codec.decode_and_route(batch)
+            decoded = codec.decode_processed(routed, now)
+            enriched = decide.with_config(decoded.where("payload_ok"), config)
+            judged = decide.evaluate_rules(enriched, compat)
+            commands = decide.encode_alarms(
+                judged.where("is_anomaly").select(
+                    "sensor_id", F.lit(decide.COMMAND_STOP).alias("command")
+                )
             )
-        )
-        alarms.write(commands, batch_id)
-        counters.write(
-            metrics.count_outcomes(decide.decision_outcomes(decoded, routed, config)), batch_id
-        )
-        batch.unpersist()
+            alarms.write(commands, batch_id, writer)
+            outcomes = decide.decision_outcomes(decoded, routed, config)
+            counters.write(metrics.count_outcomes(outcomes), batch_id, writer)
+        finally:
+            batch.unpersist()
 
     return body
 
 
-def status_body(feed: OutputFolder) -> BatchBody:
+def status_body(feed: OutputFolder, writer: str) -> BatchBody:
     """Lifecycle batches to the change feed; the current status is ``current_status`` of it."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         events = lifecycle.parse_lifecycle(batch)
-        feed.write(events.select("sensor_id", "machine_id", "state", "offset"), batch_id)
+        feed.write(
+            events.select("sensor_id", "machine_id", "state", "offset"), batch_id, writer
+        )
 
     return body
 
