@@ -169,8 +169,16 @@ def to_telemetry_points(telemetry: DataFrame, now: Column) -> DataFrame:
 
 def decode_processed(routed: DataFrame, now: Column) -> DataFrame:
     """Data rows of the processed topic as window rows; ``payload_ok`` marks unusable payloads."""
-    data = routed.where(F.col("route") == DATA)
-    parsed = parse_once(data, __w=(F.col("payload"), schemas.PROCESSED_DATA))
+    return decode_processed_all(routed.where(F.col("route") == DATA), now)
+
+
+def decode_processed_all(routed: DataFrame, now: Column) -> DataFrame:
+    """Every row of the processed topic, data rows decoded as windows: one parse for a whole stage.
+
+    ``payload_ok`` is true only for data rows with a usable payload.
+    """
+    is_data = F.col("route") == DATA
+    parsed = parse_once(routed, __w=(F.when(is_data, F.col("payload")), schemas.PROCESSED_DATA))
     numbers = {
         "minimo": "min_value",
         "media": "mean_value",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom import schemas
 from sensorloom.constants import COMMAND_STOP, TYPE_DATA, TYPE_MARKER, TYPE_UNHANDLED
-from sensorloom.operators.codec import MARKER, UNHANDLED, parse_once, unusable
+from sensorloom.operators.codec import DATA, MARKER, UNHANDLED, parse_once, unusable
 
 LIMITS = ("min_threshold", "max_threshold", "max_std_dev", "max_drift")
 OUT_OF_RANGE, UNSTABLE, DRIFT = "out_of_range", "instability", "drift"
@@ -120,33 +120,32 @@ def compacted(records: DataFrame) -> DataFrame:
     )
 
 
-def decision_outcomes(decoded: DataFrame, routed: DataFrame, config: DataFrame) -> DataFrame:
+def decision_outcomes(records: DataFrame, config: DataFrame) -> DataFrame:
     """``type, status`` of every processed-topic record, as the stage counts them.
 
-    ``decoded`` are the data rows of ``routed``; malformed envelopes are not counted.
+    ``records`` are all rows, decoded once (``decode_processed_all``); malformed envelopes are not
+    counted.
     """
-    unusable = decoded.where(~F.col("payload_ok")).select(
-        F.lit(TYPE_DATA).alias("type"), F.lit("unmarshal_payload_error").alias("status")
+    looked_up = F.when(F.col("payload_ok"), F.col("sensor_id"))
+    keyed = records.select("route", "payload_ok", looked_up.alias("sensor_id"))
+    return _outcomes(
+        with_config(keyed, config),
+        F.when(~F.col("payload_ok"), "unmarshal_payload_error")
+        .when(F.col("has_config"), "success")
+        .otherwise("redis_config_missing"),
     )
-    looked_up = with_config(decoded.where("payload_ok").select("sensor_id"), config).select(
-        F.lit(TYPE_DATA).alias("type"),
-        F.when(F.col("has_config"), "success").otherwise("redis_config_missing").alias("status"),
-    )
-    others = routed.where(F.col("route").isin(MARKER, UNHANDLED)).select(
-        F.when(F.col("route") == MARKER, TYPE_MARKER).otherwise(TYPE_UNHANDLED).alias("type"),
-        F.when(F.col("route") == MARKER, "success").otherwise("ignored").alias("status"),
-    )
-    return unusable.unionByName(looked_up).unionByName(others)
 
 
-def sink_outcomes(decoded: DataFrame, routed: DataFrame) -> DataFrame:
+def sink_outcomes(records: DataFrame) -> DataFrame:
     """``type, status`` of every processed-topic record, as the metrics sink counts them."""
-    data = decoded.select(
-        F.lit(TYPE_DATA).alias("type"),
-        F.when(F.col("payload_ok"), "success").otherwise("error").alias("status"),
-    )
-    marked = routed.where(F.col("route") == MARKER).select(
-        F.lit(TYPE_MARKER).alias("type"), F.lit("success").alias("status")
-    )
-    return data.unionByName(marked)
+    counted = records.where(F.col("route").isin(DATA, MARKER))
+    return _outcomes(counted, F.when(F.col("payload_ok"), "success").otherwise("error"))
+
 
+def _outcomes(records: DataFrame, of_data: Column) -> DataFrame:
+    route = F.col("route")
+    kind = F.when(route == MARKER, TYPE_MARKER).when(route == DATA, TYPE_DATA).otherwise(TYPE_UNHANDLED)
+    status = F.when(route == MARKER, "success").when(route == DATA, of_data).otherwise("ignored")
+    return records.where(route.isin(DATA, MARKER, UNHANDLED)).select(
+        kind.alias("type"), status.alias("status")
+    )

@@ -102,19 +102,15 @@ def ingest_outcomes(
     Outcomes are ``malformed_envelope``, ``unhandled``, ``marker``, ``malformed_payload``,
     ``out_of_range`` and ``accepted``.
     """
-    routed = decode_and_route(records)
-    others = routed.where(F.col("route") != DATA).withColumn(
-        "outcome",
-        F.when(F.col("route") == MALFORMED, "malformed_envelope").otherwise(F.col("route")),
-    )
-    typed = decode_typed_payload(_data(routed)).withColumn(
-        "outcome",
-        F.when(~F.col("payload_ok"), "malformed_payload")
+    typed = decode_typed_payload(decode_and_route(records))
+    outcome = (
+        F.when(F.col("route") == MALFORMED, "malformed_envelope")
+        .when(F.col("route") != DATA, F.col("route"))
+        .when(~F.col("payload_ok"), "malformed_payload")
         .when(~_valid(checks), "out_of_range")
-        .otherwise("accepted"),
+        .otherwise("accepted")
     )
-    kept = ["key", "topic", "offset", "outcome"]
-    return others.select(kept).unionByName(typed.select(kept))
+    return typed.select("key", "topic", "offset", outcome.alias("outcome"))
 
 
 def reject_reasons(

@@ -786,5 +786,14 @@ ORACLE |= {
               PARTITION BY sensor_id, machine_id, emit_ts ORDER BY "offset" DESC) AS place
               FROM processed WHERE NOT damaged) WHERE place = 1""",
     ),
+    "stream_decision_lags": ORACLE["lag_gauge_decision"],
+    "stream_decision_latency": _with(
+        BASE,
+        RECORDS,
+        f"""bounds(le, bound) AS (VALUES {HISTOGRAM})""",
+        f"""seen AS (SELECT (epoch_us({NOW}) - epoch_us(ts)) / 1e6 AS s FROM records WHERE route = 'marker')""",
+        select="""SELECT le, (SELECT count(*) FROM seen WHERE s <= bound) AS n,
+          (SELECT count(*) FROM seen) AS total_n FROM bounds""",
+    ),
     "stream_status": ORACLE["status_current"],
 }

@@ -448,17 +448,15 @@ def tumbling_mean(spark, sf_dir):
 
 @query
 def event_counters(spark, sf_dir):
-    routed = _processed(spark, sf_dir)
-    decoded = codec.decode_processed(routed, derived.now())
+    records = codec.decode_processed_all(_processed(spark, sf_dir), derived.now())
     config = derived.sensor_config(spark, sf_dir)
-    return metrics.count_outcomes(decide.decision_outcomes(decoded, routed, config))
+    return metrics.count_outcomes(decide.decision_outcomes(records, config))
 
 
 @query
 def event_counters_sink(spark, sf_dir):
-    routed = _processed(spark, sf_dir)
-    decoded = codec.decode_processed(routed, derived.now())
-    return metrics.count_outcomes(decide.sink_outcomes(decoded, routed))
+    records = codec.decode_processed_all(_processed(spark, sf_dir), derived.now())
+    return metrics.count_outcomes(decide.sink_outcomes(records))
 
 
 @query

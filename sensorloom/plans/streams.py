@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from sensorloom.constants import TOPIC_CLEANED, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_TEMPERATURE
 from sensorloom.operators import ingest, lifecycle
 from sensorloom.operators.windows import sliding_windows
-from sensorloom.plans.queries import SPEC, _fresh, _rounded_stats, query
+from sensorloom.plans.queries import SPEC, _fresh, _rounded_stats, query, rounded
 from sensorloom.schemas import KAFKA_FRAME
 from sensorloom.session import ROCKSDB_PROVIDER, written
 from sensorloom.sources import derived
@@ -98,6 +98,36 @@ def stream_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("key", "value").agg(F.count("*").alias("n"))
 
 
+def _decided(spark: SparkSession, sf_dir: str) -> jobs.StageHealth:
+    """The decision stage over the processed topic, for what it reports about itself."""
+    windows = sliding_windows(derived.readings(spark, sf_dir), spec=SPEC)
+    records = _kafka_shaped(derived.processed_records(spark, sf_dir, windows))
+    folders = [jobs.OutputFolder(_fresh(spark, n)) for n in ("alarms", "counters", "lags", "latencies")]
+    health = jobs.StageHealth(folders[2], folders[3])
+    config = written(derived.sensor_config(spark, sf_dir), "config")
+    body = jobs.decision_body(
+        lambda: config, folders[0], folders[1], derived.now(), "decision", health=health
+    )
+
+    def start(source, checkpoint):
+        batches = read_topics(spark, [TOPIC_PROCESSED], path=source)
+        return batches.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+
+    _in_slices(records, start)
+    return health
+
+
+@query
+def stream_decision_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_decided(spark, sf_dir).last_lags(spark), "lag_seconds")
+
+
+@query
+def stream_decision_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    histogram = _decided(spark, sf_dir).histogram(spark)
+    return histogram.select("le", "n", "total_n")
+
+
 @query
 def stream_telemetry_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = ingest.cleaned_records(derived.raw_records(spark, sf_dir))

@@ -91,25 +91,41 @@ def metrics_sink(
     """Processed-topic batches into the metrics point table, with the stage's counters."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        records = codec.decode_processed_all(codec.decode_and_route(batch), now).persist()
         try:
-            routed = codec.decode_and_route(batch)
-            decoded = codec.decode_processed(routed, now)
-            rows = decoded.where("payload_ok").select(
+            rows = records.where("payload_ok").select(
                 *table.tags,
                 *table.fields,
                 F.col("emit_ts").alias("ts"),
                 F.col("offset").alias("arrival"),
             )
             table.append(rows, batch_id, writer)
-            outcomes = metrics.count_outcomes(decide.sink_outcomes(decoded, routed))
+            outcomes = metrics.count_outcomes(decide.sink_outcomes(records))
             counters.write(outcomes, batch_id, writer)
         finally:
-            batch.unpersist()
+            records.unpersist()
 
     return body
 
 
+@dataclass(frozen=True)
+class StageHealth:
+    """Where a stage leaves its lag gauges and the latency histogram of its markers, per batch."""
+
+    lags: OutputFolder
+    latencies: OutputFolder
+
+    def last_lags(self, spark: SparkSession) -> DataFrame:
+        """The last lag set per sensor."""
+        rows = self.lags.read(spark, "sensor_id string, offset long, lag_seconds double")
+        return metrics.last_lag(rows, F.col("lag_seconds"))
+
+    def histogram(self, spark: SparkSession) -> DataFrame:
+        """Cumulative bucket counts of all batches: ``le, n, total_seconds, total_n``."""
+        rows = self.latencies.read(spark, "le string, n long, total_seconds double, total_n long")
+        return rows.groupBy("le").agg(*[F.sum(c).alias(c) for c in ("n", "total_seconds", "total_n")])
+
+
 def decision_body(
     load_config: Callable[[], DataFrame],
     alarms: OutputFolder,
@@ -117,19 +133,18 @@ def decision_body(
     now: Column,
     writer: str,
     compat: str = "intended",
+    health: StageHealth | None = None,
 ) -> BatchBody:
-    """Processed-topic batches to alarm records and counters.
+    """Processed-topic batches to alarm records, counters and, if given, the stage's health.
 
     ``load_config`` runs once per batch, so a batch sees the configuration of its own time.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        records = codec.decode_processed_all(codec.decode_and_route(batch), now).persist()
         try:
             config = load_config()
-            routed = codec.decode_and_route(batch)
-            decoded = codec.decode_processed(routed, now)
-            enriched = decide.with_config(decoded.where("payload_ok"), config)
+            enriched = decide.with_config(records.where("payload_ok"), config)
             judged = decide.evaluate_rules(enriched, compat)
             commands = decide.encode_alarms(
                 judged.where("is_anomaly").select(
@@ -137,10 +152,23 @@ def decision_body(
                 )
             )
             alarms.write(commands, batch_id, writer)
-            outcomes = decide.decision_outcomes(decoded, routed, config)
+            outcomes = decide.decision_outcomes(records, config)
             counters.write(metrics.count_outcomes(outcomes), batch_id, writer)
+            if health is not None:
+                lag = metrics.record_lag(now, F.col("timestamp"))
+                health.lags.write(
+                    records.where("payload_ok").select("sensor_id", "offset", lag.alias("lag_seconds")),
+                    batch_id,
+                    writer,
+                )
+                passed = records.where(F.col("route") == codec.MARKER)
+                ms = codec.marker_latency_ms(F.col("ingress_ts_nano"), F.unix_micros(now) * 1000)
+                seconds = passed.select((ms / 1000.0).alias("seconds"))
+                health.latencies.write(
+                    metrics.latency_histogram(seconds, "seconds"), batch_id, writer
+                )
         finally:
-            batch.unpersist()
+            records.unpersist()
 
     return body
 
