@@ -1,20 +1,23 @@
 """Exact n-gram Jaccard join with a token-group matrix.
 
 Documents are sets of word n-grams. Equal sets form one class. Classes are partitioned into groups of
-similar sets; of each group the union of its members' tokens is stored, and a query opens a group only
-if enough of the query's tokens lie in that union: |Q and U| >= t |Q| bounds the overlap with every
-member. No link is lost: all bounds are exact and every link rests on a count of common tokens.
+similar sets, by a least hash; of each group the union of its members' tokens is stored, and a query
+opens a group only if enough of the query's tokens lie in that union: |Q and U| >= t |Q| bounds the
+overlap with every member. No link is lost: all bounds are exact and every link rests on a count of
+common tokens.
 
 Steps, each a Spark job whose tasks hold a bounded number of sets:
 
 1. A sketch counts how many n-grams fall into each of a fixed number of buckets; it gives tokens a
    global order, rare ones first.
-2. Every text yields its class and ``rounds`` least hashes. Classes with a least hash in common are
-   compared with one of them (linear in the size of the group), and links found make groups.
-3. Two linked sets share one of the |Q| - ceil(t |Q|) + 1 first tokens in the global order. Where such
-   a token occurs in two groups, the queries of one are checked against the blocks of the other: bound
-   by the block's union, then member by member.
-4. Groups and found links give connected components.
+2. Every text yields its class, its group and its first tokens in the global order. Groups of more than
+   ``BLOCK_MEMBERS`` are cut into blocks; before that their classes are compared with one of them
+   (linear in the size of the group), and those linked to it need no further comparison.
+3. Two linked sets share one of the |Q| - ceil(t |Q|) + 1 first tokens. Where such a token occurs in two
+   groups, the queries of one are checked against the blocks of the other: bound by the block's union,
+   then member by member. The members of a block are checked with each other as well. A task returns
+   no more links than its sets need to be connected.
+4. The links give connected components.
 
 Sets are computed anew from the texts where they are needed; a bit map of fixed size (a semi-join
 filter, whose false hits are joined away) tells which.
@@ -33,18 +36,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.llm.common import written
 from sensorloom.llm.components import components
 
 #: Buckets of the sketch that orders tokens, and rows that a task's counts are handed on in.
-SKETCH_BUCKETS, SKETCH_ROWS = 1 << 18, 16
+SKETCH_BUCKETS, SKETCH_ROWS = 1 << 20, 16
 #: Bits of the map that tells which sets are needed.
 MAP_BITS = 1 << 26
 #: Members of a block, and queries checked in one task.
 BLOCK_MEMBERS, BLOCK_QUERIES = 256, 256
 CACHE_WORDS = 400_000
+FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -54,7 +58,6 @@ class Join:
     size: int = 4
     least: int = 85
     over: int = 100
-    rounds: int = 3
 
     def prefix(self, n: int) -> int:
         return n - -(-self.least * n // self.over) + 1
@@ -86,10 +89,15 @@ def tokens(text: bytes | None, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     hashes = np.fromiter(map(_HASHES.__getitem__, words), np.int64, len(words)).view(np.uint64)
     size = min(size, len(words))
-    runs = np.full(len(words) - size + 1, size, np.uint64)
-    for i in range(size):
-        runs = _mixed(runs + hashes[i : i + len(runs)])
-    return np.unique(runs)
+    runs = hashes[: len(words) - size + 1] + np.uint64(size)
+    for i in range(1, size):
+        runs *= FACTOR
+        runs += hashes[i : i + len(runs)]
+    runs = _mixed(runs)
+    runs.sort()
+    fresh = np.ones(len(runs), bool)
+    np.not_equal(runs[1:], runs[:-1], out=fresh[1:])
+    return runs[fresh]
 
 
 def _class_of(found: np.ndarray) -> int:
@@ -97,7 +105,7 @@ def _class_of(found: np.ndarray) -> int:
 
 
 def _bucket(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(40)).astype(np.int64) % SKETCH_BUCKETS
+    return (found >> np.uint64(40)).astype(np.int64) & (SKETCH_BUCKETS - 1)
 
 
 # ---------------------------------------------------------------- passes over the texts
@@ -108,29 +116,25 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    key = row_key(F.col("doc_id"), F.col("text")).alias("key")
-    return docs.select("doc_id", key, F.col("text").cast("binary").alias("text"))
-
-
 def sketch(docs: DataFrame, join: Join) -> np.ndarray:
     """Tokens in each bucket, over all documents. Its size is fixed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH_BUCKETS, np.int32)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                total += np.bincount(_bucket(tokens(text, join.size)), minlength=SKETCH_BUCKETS).astype(np.int32) if text else 0
-        parts = total.reshape(SKETCH_ROWS, -1)
+            found = [_bucket(tokens(text, join.size)) for text in batch.column("text").to_pylist()]
+            if found:
+                total += np.bincount(np.concatenate(found), minlength=SKETCH_BUCKETS).astype(np.int32)
+        parts = np.minimum(total, 65535).astype(np.uint16).reshape(SKETCH_ROWS, -1)
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array(range(SKETCH_ROWS), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())}
         )
 
     def add(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, np.int32).astype(np.int64) for c in parts["counts"])
+        total = sum(np.frombuffer(c, np.uint16).astype(np.int64) for c in parts["counts"])
         return pd.DataFrame({"part": [key[0]], "counts": [total.tobytes()]})
 
-    made = _texts(docs).select("text").mapInArrow(count, "part int, counts binary")
+    made = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "part int, counts binary")
     rows = made.groupBy("part").applyInPandas(add, "part int, counts binary").collect()
     out = np.zeros((SKETCH_ROWS, SKETCH_BUCKETS // SKETCH_ROWS), np.int64)
     for row in rows:
@@ -138,45 +142,48 @@ def sketch(docs: DataFrame, join: Join) -> np.ndarray:
     return out.reshape(-1)
 
 
-HEADS = "doc_id long, key string, n long, class long, keys array<long>, prefix array<long>"
+HEADS = "doc_id long, key string, n long, class long, group long, prefix array<long>"
 
 
 def heads(docs: DataFrame, counts: np.ndarray, join: Join) -> DataFrame:
-    """Per document: size and class of its set, least hashes, and first tokens in the global order."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
-    salts = [np.uint64((2 * r + 1) * 0x632BE59BD9B4E019 % 2**64) for r in range(join.rounds)]
-
-    def head(found: np.ndarray, counts: np.ndarray) -> tuple:
-        n = len(found)
-        often = counts[_bucket(found)]
-        # Tokens that very many texts share make poor groups, unless there is nothing else.
-        usual = found[often <= 2 * often.min() + 64]
-        keys = [int(_mixed(usual + salt).min()) - (1 << 63) for salt in salts]
-        first = found[np.lexsort((found, often))[: join.prefix(n)]]
-        return n, _class_of(found), keys, first.view(np.int64)
+    """Per document: size, class and group of its set, and its first tokens in the global order."""
+    mean = max(1.0, float(counts.mean()))
+    # On this scale the mean is 256; equal ranks are ordered by hash.
+    ranks = np.minimum(counts * (256.0 / mean), 65535).astype(np.uint16)
+    usual_rank = int(min(65535, 256 / mean * (1.5 * mean + 8 * mean**0.5 + 8)))
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
-        none = (0, None, None, None)
+        ranks = shared.value
         for batch in batches:
-            rows = []
+            n, classes, groups, prefix = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = tokens(text, join.size)
-                rows.append(head(found, counts) if len(found) else none)
-            n, classes, keys, prefix = zip(*rows, strict=True) if rows else ([], [], [], [])
+                n.append(len(found))
+                if not len(found):
+                    classes.append(None), groups.append(None), prefix.append(None)
+                    continue
+                often = ranks[_bucket(found)]
+                # Tokens that very many texts share make poor groups, unless there is nothing else.
+                usual = found[often <= max(usual_rank, int(often.min()))]
+                classes.append(_class_of(found))
+                groups.append(int(_mixed(usual * FACTOR).min()) - (1 << 63))
+                first = np.argsort(often, kind="stable")[: join.prefix(len(found))]
+                prefix.append(found[first].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     batch.column("key").cast(pa.string()),
                     pa.array(n, pa.int64()),
                     pa.array(classes, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(groups, pa.int64()),
                     pa.array(prefix, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key", "n", "class", "keys", "prefix"],
+                names=["doc_id", "key", "n", "class", "group", "prefix"],
             )
 
-    return _texts(docs).mapInArrow(make, HEADS)
+    key = row_key(F.col("doc_id"), F.col("text")).alias("key")
+    return docs.select("doc_id", key, F.col("text").cast("binary").alias("text")).mapInArrow(make, HEADS)
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
@@ -205,32 +212,47 @@ def sets_of(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
                 {"class": pa.array(list(made), pa.int64()), "tokens": pa.array(list(made.values()), pa.list_(pa.int64()))}
             )
 
-    found = _texts(docs).select("text").mapInArrow(make, "class long, tokens array<long>")
+    found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(make, "class long, tokens array<long>")
     return written(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "sets")
 
 
 # ---------------------------------------------------------------- links
 
 
-def _star_links(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
-    """a, b: links between a class and the least class with the same least hash."""
-    keyed = classes.select("class", "n", F.posexplode("keys").alias("round", "key"))
-    first = keyed.groupBy("round", "key").agg(F.min("class").alias("pivot"), F.count("*").alias("members"))
-    first = written(first.where("members > 1").drop("members"), "pivots")
-    pairs = keyed.join(first.hint("merge"), ["round", "key"]).where("class != pivot")
-    pairs = written(pairs.select("class", "n", "pivot").distinct(), "star-pairs")
-    needed = pairs.select("class").unionByName(pairs.select(F.col("pivot").alias("class")))
+def _star_links(docs: DataFrame, classes: DataFrame, large: DataFrame, join: Join) -> DataFrame:
+    """a, b: links between the classes of large groups and the least class of their group."""
+    pairs = classes.join(large.hint("merge"), "group").where("class != pivot").select("class", "pivot")
+    pairs = written(pairs, "star-pairs")
+    needed = pairs.select("class").unionByName(large.select(F.col("pivot").alias("class")))
     sets = sets_of(docs, needed, join)
     left = pairs.join(sets.hint("merge"), "class").withColumnRenamed("tokens", "own")
-    both = left.join(sets.hint("merge").withColumnRenamed("class", "pivot"), "pivot")
+    both = written(left, "star-sets").join(sets.hint("merge").withColumnRenamed("class", "pivot"), "pivot")
     common = F.size(F.array_intersect("own", "tokens"))
     union = F.size("own") + F.size("tokens") - common
     linked = both.where(join.over * common >= join.least * union)
-    return written(linked.select(F.col("class").alias("a"), F.col("pivot").alias("b")), "star-links")
+    return linked.select(F.col("class").alias("a"), F.col("pivot").alias("b"))
+
+
+class _Forest:
+    """Disjoint sets of the classes that a task holds."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
 
+    def root(self, x: int) -> int:
+        while (y := self.up.setdefault(x, x)) != x:
+            self.up[x] = x = self.up.setdefault(y, y)
+        return x
 
-def _checked(queries: pd.DataFrame, members: pd.DataFrame, join: Join) -> list[tuple[int, int]]:
-    """One link of each query with a member, where there is one."""
+    def joins(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[x] = y
+        return x != y
+
+
+def _checked(queries: pd.DataFrame, members: pd.DataFrame, inside: bool, join: Join) -> list[tuple[int, int]]:
+    """Links of queries with members, and of members with each other if ``inside``: as many as are
+    needed to connect what is linked."""
     sets = members["tokens"].tolist()
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -239,64 +261,76 @@ def _checked(queries: pd.DataFrame, members: pd.DataFrame, join: Join) -> list[t
     flat, owner = flat[order], owner[order]
     union = np.unique(flat)
     names = members["class"].to_numpy()
-    out = []
-    for name, query in zip(queries["class"], queries["tokens"], strict=True):
+    asking = [*zip(queries["class"], queries["tokens"], strict=True)]
+    if inside:
+        asking += zip(names, sets, strict=True)
+    forest, out = _Forest(), []
+    for name, query in asking:
         spot = np.minimum(np.searchsorted(union, query), len(union) - 1)
-        inside = query[union[spot] == query]
-        if join.over * len(inside) < join.least * len(query):
+        within = query[union[spot] == query]
+        if join.over * len(within) < join.least * len(query):
             continue  # no member can have enough in common: the group stays closed
-        low, high = np.searchsorted(flat, inside), np.searchsorted(flat, inside, "right")
-        hits = np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low) + np.arange((high - low).sum())
+        low, high = np.searchsorted(flat, within), np.searchsorted(flat, within, "right")
+        lengths = high - low
+        hits = np.repeat(low - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
         common = np.bincount(owner[hits], minlength=len(sets))
-        linked = np.flatnonzero(join.over * common >= join.least * (len(query) + sizes - common))
-        if len(linked):
-            out.append((int(name), int(names[linked[0]])))
+        for i in np.flatnonzero(join.over * common >= join.least * (len(query) + sizes - common)):
+            if name != names[i] and forest.joins(int(name), int(names[i])):
+                out.append((int(name), int(names[i])))
     return out
 
 
-def _group_links(docs: DataFrame, grouped: DataFrame, join: Join) -> DataFrame:
-    """a, b: links between classes of different groups. ``grouped``: class, n, label, prefix."""
-    sizes = grouped.groupBy("label").agg(F.count("*").alias("members"))
-    sizes = written(sizes.where(F.col("members") > BLOCK_MEMBERS), "large-groups")
-    blocks = F.coalesce(F.ceil(F.col("members") / BLOCK_MEMBERS), F.lit(1))
-    rows = grouped.join(sizes.hint("merge"), "label", "left").select(
-        "class", "n", "label", F.pmod(F.xxhash64("class"), blocks).alias("block"), F.explode("prefix").alias("token")
+def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join) -> DataFrame:
+    """a, b: links between classes. ``placed``: class, n, first_key, unit (a group, or a block of a
+    large one) and label (of classes linked already, else null)."""
+    heads_of = rows.select("class", F.col("key").alias("first_key"), "prefix")
+    spread = heads_of.join(
+        placed.select("class", "first_key", F.coalesce("label", "unit").alias("mark")).hint("merge"),
+        ["class", "first_key"],
+    ).select("class", "mark", F.explode("prefix").alias("token"))
+    # Only tokens of two groups matter. The first tokens are rare ones.
+    of_token = Window.partitionBy("token")
+    spread = spread.withColumns({"low": F.min("mark").over(of_token), "high": F.max("mark").over(of_token)})
+    shared = written(spread.where("low < high").select("token", "class").distinct(), "shared-tokens")
+    shared = written(
+        shared.join(placed.select("class", "n", "unit", "label").hint("merge"), "class"), "shared-token-rows"
     )
-    # Only tokens of two groups matter. The first tokens are rare ones, and a group counts once.
-    spread = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    spread = written(spread.where("low < high").select("token"), "shared-tokens")
-    shared = written(rows.join(spread.hint("merge"), "token"), "shared-token-rows")
-    index = shared.groupBy("token", F.col("label").alias("to"), F.col("block").alias("to_block")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most")
+    index = shared.groupBy("token", F.col("unit").alias("to")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.first("label").alias("to_label")
     )
     close = (join.least * F.col("n") <= join.over * F.col("most")) & (
         join.least * F.col("least") <= join.over * F.col("n")
     )
-    asks = shared.join(written(index, "token-groups").hint("merge"), "token").where((F.col("label") < F.col("to")) & close)
-    asks = written(asks.select("class", "to", "to_block").distinct(), "group-queries")
-    parts = asks.groupBy("to", "to_block").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("parts"))
-    parts = written(parts, "group-parts")
-    members = shared.select("class", F.col("label").alias("to"), F.col("block").alias("to_block")).distinct()
-    members = members.join(parts.hint("merge"), ["to", "to_block"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1))
+    apart = ~F.coalesce(F.col("label") == F.col("to_label"), F.lit(False))
+    asks = shared.join(written(index, "token-groups").hint("merge"), "token").where(
+        (F.col("unit") < F.col("to")) & close & apart
     )
-    asks = asks.join(parts.hint("merge"), ["to", "to_block"]).withColumn(
-        "part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
+    asks = written(asks.select("class", "to").distinct(), "group-queries")
+    # Units of two or more classes that aren't linked yet are checked inside as well.
+    inner = placed.where("label is null").groupBy("unit").agg(F.count("*").alias("n")).where("n > 1")
+    parts = asks.groupBy("to").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
+    parts = parts.join(inner.select(F.col("unit").alias("to"), F.lit(True).alias("inside")), "to", "full")
+    parts = written(
+        parts.select("to", F.coalesce("parts", F.lit(1)).alias("parts"), F.coalesce("inside", F.lit(False)).alias("inside")),
+        "opened-groups",
     )
-    columns = ["class", "to", "to_block", "part"]
-    every = written(
-        asks.select(*columns, F.lit(True).alias("asks")).unionByName(members.select(*columns, F.lit(False).alias("asks"))),
-        "opened",
+    members = placed.select("class", F.col("unit").alias("to")).join(parts.hint("merge"), "to").select(
+        "class", "to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "inside", F.lit(False).alias("asks")
     )
+    queries = asks.join(parts.hint("merge"), "to").select(
+        "class", "to", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int").alias("part"), "inside", F.lit(True).alias("asks")
+    )
+    every = written(members.unionByName(queries), "opened")
     sets = sets_of(docs, every.select("class"), join)
     filled = every.join(sets.hint("merge"), "class")
 
     def check(group: pd.DataFrame) -> pd.DataFrame:
-        queries, inside = group[group["asks"]], group[~group["asks"]]
-        found = _checked(queries, inside, join) if len(queries) and len(inside) else []
+        queries, members = group[group["asks"]], group[~group["asks"]]
+        inside = bool(group["inside"].iloc[0]) and int(group["part"].iloc[0]) == 0
+        found = _checked(queries, members, inside, join) if len(members) else []
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return filled.groupBy("to", "to_block", "part").applyInPandas(check, "a long, b long")
+    return filled.groupBy("to", "part").applyInPandas(check, "a long, b long")
 
 
 # ---------------------------------------------------------------- results
@@ -309,34 +343,36 @@ def joined(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """
     rows = written(heads(docs, sketch(docs, join), join), "heads")
     classes = rows.where("n > 0").groupBy("class").agg(
-        F.first("n").alias("n"),
-        F.first("keys").alias("keys"),
-        F.first("prefix").alias("prefix"),
+        F.min("n").alias("n"),
+        F.min("group").alias("group"),
+        F.min("key").alias("first_key"),
         F.min("doc_id").alias("least"),
         F.count("*").alias("copies"),
     )
     classes = written(classes, "classes")
-    stars = written(components(_star_links(docs, classes, join)), "groups")
-    grouped = classes.select("class", "n", "prefix").join(
-        stars.select(F.col("node").alias("class"), F.col("component").alias("label")).hint("merge"), "class", "left"
-    )
-    grouped = grouped.withColumn("label", F.coalesce("label", "class"))
-    links = written(_group_links(docs, grouped, join), "group-links")
-    ends = stars.select("node", "component")
-    links = links.join(ends.select(F.col("node").alias("a"), F.col("component").alias("la")), "a", "left").join(
-        ends.select(F.col("node").alias("b"), F.col("component").alias("lb")), "b", "left"
-    )
-    links = links.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct()
-    joint = written(components(links), "joint-groups")
-    whole = stars.select(F.col("node").alias("class"), F.col("component").alias("label")).join(
-        joint.select(F.col("node").alias("label"), F.col("component").alias("joint")), "label", "left"
-    )
-    alone = joint.join(stars, "node", "left_anti").select(F.col("node").alias("class"), F.col("component").alias("joint"))
-    whole = whole.select("class", F.coalesce("joint", "label").alias("joint")).unionByName(alone)
+    large = classes.groupBy("group").agg(F.count("*").alias("members"), F.min("class").alias("pivot"))
+    large = written(large.where(F.col("members") > BLOCK_MEMBERS), "large-groups")
+    links = None
+    placed = classes.withColumns({"unit": F.col("group"), "label": F.lit(None).cast("long")})
+    if not large.isEmpty():
+        links = written(_star_links(docs, classes, large, join), "star-links")
+        linked = links.select(F.col("a").alias("class"), F.col("b").alias("linked"))
+        placed = classes.join(large.hint("merge"), "group", "left").join(linked.hint("merge"), "class", "left")
+        label = F.when(F.col("class") == F.col("pivot"), F.col("pivot")).otherwise(F.col("linked"))
+        block = F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / BLOCK_MEMBERS))
+        unit = F.when(F.col("members").isNull(), F.col("group")).otherwise(
+            F.xxhash64("group", block, label.isNull())
+        )
+        placed = placed.withColumns({"unit": unit, "label": label})
+    # The same row of the documents stands for a class everywhere, copies of it included.
+    placed = written(placed.select("class", "n", "first_key", "unit", "label"), "placed")
+    found = written(_group_links(docs, rows.where("n > 0"), placed, join), "group-links")
+    joint = components(found if links is None else found.unionByName(links))
+    joint = joint.select(F.col("node").alias("class"), F.col("component").alias("joint"))
     # A class without links only needs an id of its own where it has copies.
-    named = classes.select("class", "least", "copies").join(written(whole.distinct(), "members"), "class", "left")
+    named = classes.select("class", "least", "copies").join(joint, "class", "left")
     named = named.where((F.col("copies") > 1) | F.col("joint").isNotNull())
-    named = named.withColumn("joint", F.coalesce("joint", "class"))
+    named = written(named.withColumn("joint", F.coalesce("joint", "class")), "members")
     ids = written(named.groupBy("joint").agg(F.min("least").alias("component_id")), "component-ids")
     named = written(named.select("class", "joint").join(ids, "joint"), "named")
     return rows.join(named, "class", "left").select(
