@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import bloom_lm, html_main, lang_cnn, ngram_join, packing, quality, secret_ledger, warc, winnow
+from sensorloom.llm import bloom_lm, feistel_pii, html_main, lang_cnn, ngram_join, packing, quality, secret_ledger, warc, winnow
 from sensorloom.llm.common import small_batches, table
 from sensorloom.session import ship_package
 
+#: Any text; whoever knows it can undo the pseudonyms. A real run takes it from its own secret store.
+PSEUDONYM_KEY = "key of the queries on synthetic tables"
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -42,6 +45,12 @@ def op3_quality_divergence(spark, sf_dir):
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_feistel_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return feistel_pii.pseudonymised(docs, PSEUDONYM_KEY)
+
+
 @query
 def op5_byte_cnn(spark, sf_dir):
     return lang_cnn.identified(table(spark, sf_dir, "documents"))

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from sensorloom.llm import (
     bloom_lm,
+    feistel_pii,
     html_main,
     lang_cnn,
     ngram_join,
@@ -237,6 +238,62 @@ def test_js_distance(spark):
     assert one["d"] == pytest.approx(1.0) and same["d"] == pytest.approx(0.0)
 
 
+# ---------------------------------------------------------------- op4
+
+
+def luhn(digits):
+    odd = [int(d) for d in digits[-1::-2]]
+    even = [sum(divmod(2 * int(d), 10)) for d in digits[-2::-2]]
+    return (sum(odd) + sum(even)) % 10 == 0
+
+
+def pseudonyms(spark, values):
+    frame = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    return [r["text"] for r in feistel_pii.pseudonymised(frame, "key").orderBy("doc_id").collect()]
+
+
+def test_pseudonyms_keep_formats_and_are_one_to_one(spark):
+    cards = [str(4111111111111111 + 10 * i) for i in range(300)]
+    cards = [c[:-1] + next(d for d in "0123456789" if luhn(c[:-1] + d)) for c in cards]
+    values = {
+        "card": cards,
+        "ip": [f"10.0.{i}.{i % 7}" for i in range(256)],
+        "date": [f"{1900 + i // 12}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(1200)],
+        "phone": [f"+1 (415) 555-{i:04d}" for i in range(300)],
+        "email": [f"Ab{i}.x@mail.example.com" for i in range(100, 400)],
+        "account": [f"{i:013d}" for i in range(1, 200) if not luhn(f"{i:013d}")],
+    }
+    shape = lambda t: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", t)))
+    for kind, given in values.items():
+        found = pseudonyms(spark, given)
+        assert len(set(found)) == len(given), kind
+        assert sum(a == b for a, b in zip(given, found, strict=True)) <= 2, kind
+        if kind != "ip":
+            assert [shape(t) for t in found] == [shape(t) for t in given], kind
+    assert all(luhn(c) for c in pseudonyms(spark, cards))
+    for address in pseudonyms(spark, values["ip"]):
+        assert all(0 <= int(o) <= 255 and str(int(o)) == o for o in address.split("."))
+
+
+def test_pseudonyms_link_equal_values(spark):
+    texts = ["call +1 (988) 555-2485!", "988-555-2485", "(988) 555-2485 or 988.555.2485", "4111-1111-1111-1111", "x 4111111111111111", "28.02.2001", "2001-02-28"]
+    found = pseudonyms(spark, texts)
+    numbers = [re.sub("[^0-9]", "", n)[-10:] for t in found[:3] for n in re.findall(r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}", t)]
+    assert len(numbers) == 4 and len(set(numbers)) == 1 and numbers[0] != "9885552485"
+    assert found[3].replace("-", "") == found[4][2:]
+    assert found[5].split(".")[::-1] == found[6].split("-")
+
+
+def test_pseudonyms_defined_results(spark, docs, nothing):
+    same = ["31.02.2001", "300.1.1.1", "1.2.3.4.5", "no digits", "", "12 34", "v 4.0."]
+    assert pseudonyms(spark, same) == same
+    out = feistel_pii.pseudonymised(docs, "key")
+    assert out.columns[: len(docs.columns)] == docs.columns
+    texts = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert texts[1] is None and texts[2] == "" and texts[6] == PROSE
+    assert rows_of(feistel_pii.pseudonymised(nothing, "key")) == []
+
+
 # ---------------------------------------------------------------- op5
 
 
