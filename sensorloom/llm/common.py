@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import string
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sensorloom.session import shared_folder, written
-
-__all__ = ["ascii_lower", "crc_bucket", "fresh_folder", "let", "small_batches", "table", "written"]
+from sensorloom.session import fresh_path
 
 #: Rows in an Arrow batch. Texts can be very long, so batches stay short.
 BATCH_ROWS = 500
@@ -22,7 +19,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder that the driver and all executors share."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return fresh_path(spark, name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder, and read again; ``discard`` takes the result."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more: all that came from them is written."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

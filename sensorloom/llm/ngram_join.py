@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sensorloom.llm.common import written
+from sensorloom.llm.common import discard, written
 from sensorloom.llm.components import components
 
 #: Buckets of the sketch that orders tokens, and rows that a task's counts are handed on in.
@@ -226,11 +226,14 @@ def _star_links(docs: DataFrame, classes: DataFrame, large: DataFrame, join: Joi
     needed = pairs.select("class").unionByName(large.select(F.col("pivot").alias("class")))
     sets = sets_of(docs, needed, join)
     left = pairs.join(sets.hint("merge"), "class").withColumnRenamed("tokens", "own")
-    both = written(left, "star-sets").join(sets.hint("merge").withColumnRenamed("class", "pivot"), "pivot")
+    left = written(left, "star-sets")
+    both = left.join(sets.hint("merge").withColumnRenamed("class", "pivot"), "pivot")
     common = F.size(F.array_intersect("own", "tokens"))
     union = F.size("own") + F.size("tokens") - common
     linked = both.where(join.over * common >= join.least * union)
-    return linked.select(F.col("class").alias("a"), F.col("pivot").alias("b"))
+    links = written(linked.select(F.col("class").alias("a"), F.col("pivot").alias("b")), "star-links")
+    discard(left, sets)
+    return links
 
 
 class _Forest:
@@ -291,10 +294,11 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
     # Only tokens of two groups matter. The first tokens are rare ones.
     of_token = Window.partitionBy("token")
     spread = spread.withColumns({"low": F.min("mark").over(of_token), "high": F.max("mark").over(of_token)})
-    shared = written(spread.where("low < high").select("token", "class").distinct(), "shared-tokens")
+    tokens_of = written(spread.where("low < high").select("token", "class").distinct(), "shared-tokens")
     shared = written(
-        shared.join(placed.select("class", "n", "unit", "label").hint("merge"), "class"), "shared-token-rows"
+        tokens_of.join(placed.select("class", "n", "unit", "label").hint("merge"), "class"), "shared-token-rows"
     )
+    discard(tokens_of)
     index = shared.groupBy("token", F.col("unit").alias("to")).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.first("label").alias("to_label")
     )
@@ -302,10 +306,10 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
         join.least * F.col("least") <= join.over * F.col("n")
     )
     apart = ~F.coalesce(F.col("label") == F.col("to_label"), F.lit(False))
-    asks = shared.join(written(index, "token-groups").hint("merge"), "token").where(
-        (F.col("unit") < F.col("to")) & close & apart
-    )
+    index = written(index, "token-groups")
+    asks = shared.join(index.hint("merge"), "token").where((F.col("unit") < F.col("to")) & close & apart)
     asks = written(asks.select("class", "to").distinct(), "group-queries")
+    discard(shared, index)
     # Units of two or more classes that aren't linked yet are checked inside as well.
     inner = placed.where("label is null").groupBy("unit").agg(F.count("*").alias("n")).where("n > 1")
     parts = asks.groupBy("to").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
@@ -330,7 +334,9 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
         found = _checked(queries, members, inside, join) if len(members) else []
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return filled.groupBy("to", "part").applyInPandas(check, "a long, b long")
+    links = written(filled.groupBy("to", "part").applyInPandas(check, "a long, b long"), "group-links")
+    discard(sets, every, asks)
+    return links
 
 
 # ---------------------------------------------------------------- results
@@ -355,7 +361,7 @@ def joined(docs: DataFrame, join: Join = Join()) -> DataFrame:
     links = None
     placed = classes.withColumns({"unit": F.col("group"), "label": F.lit(None).cast("long")})
     if not large.isEmpty():
-        links = written(_star_links(docs, classes, large, join), "star-links")
+        links = _star_links(docs, classes, large, join)
         linked = links.select(F.col("a").alias("class"), F.col("b").alias("linked"))
         placed = classes.join(large.hint("merge"), "group", "left").join(linked.hint("merge"), "class", "left")
         label = F.when(F.col("class") == F.col("pivot"), F.col("pivot")).otherwise(F.col("linked"))
@@ -366,7 +372,9 @@ def joined(docs: DataFrame, join: Join = Join()) -> DataFrame:
         placed = placed.withColumns({"unit": unit, "label": label})
     # The same row of the documents stands for a class everywhere, copies of it included.
     placed = written(placed.select("class", "n", "first_key", "unit", "label"), "placed")
-    found = written(_group_links(docs, rows.where("n > 0"), placed, join), "group-links")
+    found = _group_links(docs, rows.where("n > 0"), placed, join)
+    slim = written(rows.select("doc_id", "key", "n", "class"), "document-classes")
+    discard(rows)
     joint = components(found if links is None else found.unionByName(links))
     joint = joint.select(F.col("node").alias("class"), F.col("component").alias("joint"))
     # A class without links only needs an id of its own where it has copies.
@@ -375,7 +383,7 @@ def joined(docs: DataFrame, join: Join = Join()) -> DataFrame:
     named = written(named.withColumn("joint", F.coalesce("joint", "class")), "members")
     ids = written(named.groupBy("joint").agg(F.min("least").alias("component_id")), "component-ids")
     named = written(named.select("class", "joint").join(ids, "joint"), "named")
-    return rows.join(named, "class", "left").select(
+    return slim.join(named, "class", "left").select(
         "doc_id",
         "key",
         F.col("n").alias("n_shingles"),

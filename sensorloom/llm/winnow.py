@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.common import ascii_lower, let, written
+from sensorloom.llm.common import ascii_lower, discard, let, written
 
 # Fixed value: what separates words (letters, digits and everything beyond ASCII form words).
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -219,6 +219,8 @@ def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int =
     found = prints.select("key", F.explode("prints").alias("f")).select("key", "f.size", "f.hash")
     shared = found.join(anchors.select("size", "hash").distinct(), ["size", "hash"], "left_semi")
     shared = written(shared.distinct(), "shared-fingerprints")
+    rows = written(prints.select("doc_id", "key", "n_words"), "word-counts")
+    discard(prints)
     about = F.struct("size", "hash", "item_id", "length", "lead", "around")
     spread = shared.join(anchors, ["size", "hash"]).groupBy("key").agg(F.collect_set(about).alias("anchors"))
     # Each text travels once, copies collapse before the shuffle; a merge join at every size.
@@ -236,7 +238,7 @@ def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int =
         F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda x: x["hit"])))).alias("hit"),
         F.array_sort(F.array_distinct(F.transform("found", lambda x: x["item_id"]))).alias("item_ids"),
     )
-    return prints.select("doc_id", "key", "n_words"), written(hits, "benchmark-hits")
+    return rows, written(hits, "benchmark-hits")
 
 
 def digest(rows: DataFrame, hits: DataFrame) -> DataFrame:
