@@ -39,6 +39,14 @@ def discard(*tables: DataFrame) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are written.
+
+    They go when the driver's JVM collects garbage, which a driver with little to do puts off for long.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound what a Python worker holds of one Arrow batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

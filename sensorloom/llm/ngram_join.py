@@ -13,9 +13,9 @@ Steps, each a Spark job whose tasks hold a bounded number of sets:
 2. Every text yields its class, its group and its first tokens in the global order. Groups of more than
    ``BLOCK_MEMBERS`` are cut into blocks; before that their classes are compared with one of them
    (linear in the size of the group), and those linked to it need no further comparison.
-3. Two linked sets share one of the |Q| - ceil(t |Q|) + 1 first tokens. Where such a token occurs in two
-   groups, the queries of one are checked against the blocks of the other: bound by the block's union,
-   then member by member. The members of a block are checked with each other as well. A task returns
+3. Two linked sets share c of the |Q| - ceil(t |Q|) + c first tokens, for any c. Where a query of one
+   group has that many first tokens in the union of another group's, it is checked against the blocks
+   of the other: bound by the block's whole union, then member by member. The members of a block are checked with each other as well. A task returns
    no more links than its sets need to be connected.
 4. The links give connected components.
 
@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sensorloom.llm.common import discard, written
+from sensorloom.llm.common import discard, release, written
 from sensorloom.llm.components import components
 
 #: Buckets of the sketch that orders tokens, and rows that a task's counts are handed on in.
@@ -47,6 +47,9 @@ SKETCH_BUCKETS, SKETCH_ROWS = 1 << 20, 16
 MAP_BITS = 1 << 26
 #: Members of a block, and queries checked in one task.
 BLOCK_MEMBERS, BLOCK_QUERIES = 256, 256
+#: One more common first token is asked for with each so many tokens of a set: a few tokens in common
+#: are chance in long texts.
+SHARE_OF = 50
 CACHE_WORDS = 400_000
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -59,8 +62,13 @@ class Join:
     least: int = 85
     over: int = 100
 
+    def shared(self, n: int) -> int:
+        """First tokens that a set of ``n`` shares with any linked one: c in what follows."""
+        return 1 + n // SHARE_OF
+
     def prefix(self, n: int) -> int:
-        return n - -(-self.least * n // self.over) + 1
+        """Linked sets share c of their first |Q| - ceil(t |Q|) + c tokens."""
+        return n - -(-self.least * n // self.over) + self.shared(n)
 
 
 class _Hashes(dict):
@@ -213,7 +221,9 @@ def sets_of(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
             )
 
     found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(make, "class long, tokens array<long>")
-    return written(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "sets")
+    sets = written(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "sets")
+    release(docs.sparkSession)
+    return sets
 
 
 # ---------------------------------------------------------------- links
@@ -299,6 +309,7 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
         tokens_of.join(placed.select("class", "n", "unit", "label").hint("merge"), "class"), "shared-token-rows"
     )
     discard(tokens_of)
+    release(docs.sparkSession)
     index = shared.groupBy("token", F.col("unit").alias("to")).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.first("label").alias("to_label")
     )
@@ -308,8 +319,11 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
     apart = ~F.coalesce(F.col("label") == F.col("to_label"), F.lit(False))
     index = written(index, "token-groups")
     asks = shared.join(index.hint("merge"), "token").where((F.col("unit") < F.col("to")) & close & apart)
-    asks = written(asks.select("class", "to").distinct(), "group-queries")
+    fewest = 1 + F.floor(F.least(F.min("n"), F.min("least")) / SHARE_OF)
+    asks = asks.groupBy("class", "to").agg(F.count("*").alias("common"), fewest.alias("fewest"))
+    asks = written(asks.where("common >= fewest").select("class", "to"), "group-queries")
     discard(shared, index)
+    release(docs.sparkSession)
     # Units of two or more classes that aren't linked yet are checked inside as well.
     inner = placed.where("label is null").groupBy("unit").agg(F.count("*").alias("n")).where("n > 1")
     parts = asks.groupBy("to").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
@@ -336,6 +350,7 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
 
     links = written(filled.groupBy("to", "part").applyInPandas(check, "a long, b long"), "group-links")
     discard(sets, every, asks)
+    release(docs.sparkSession)
     return links
 
 
