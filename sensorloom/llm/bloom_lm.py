@@ -1,15 +1,15 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts are quantised on a logarithmic scale: an n-gram of count c has level 1 + floor(log_b(c / floor))
-and is entered in the filter once for each level up to its own. A look-up probes level 1, 2, ... until
-the first miss, so a false positive can only raise a count by a level. The filter is cut into blocks of
-fixed size; Spark gathers each block's n-grams and sets its bits, and the blocks are broadcast.
+Counts are quantised on a logarithmic scale: an n-gram of count c has level 1 + floor(log_b(c)) and is
+entered in the filter once for each level up to its own. A look-up probes level 1, 2, ... until the
+first miss, so a false positive can only raise a count by a level.
 
-An n-gram is entered when its share of all training tokens is at least ``share``. At most 1 / share
-n-grams can have that share, whatever the corpus, and all levels together have at most
-b / (b - 1) / share entries: this bounds the filter (about 34 MB for words and as much for pairs) with
-the same rule at every size. Everything is counted in full before; n-grams below the share are scored
-by the lower order, and words below it evenly share the probability that remains for them.
+Every word and every pair of the training texts is entered, however rare, so the model grows with the
+corpus. No process holds it whole: texts are tokenised once into written chunks of about CHUNK_TOKENS
+tokens, each chunk sends its distinct n-grams (40 bits of hash, and the count in training texts) to the
+section of the filter that their hash names, a section sums up, sets its bits and answers each chunk with
+levels, and the chunks are scored from the answers. The number of sections is the number of tokens over
+SECTION_TOKENS, so the size of a section and of a chunk is the same at every size.
 
 Probabilities: P(w | v) = (c(v, w) + mu P(w)) / (c(v) + mu), with c from the filter. ``base_score`` uses
 exact counts: those of words whose share is at least ``exact_share`` (at most 1 / exact_share, so
@@ -29,41 +29,38 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from sensorloom.llm.common import crc_bucket, written
+from sensorloom.llm.common import crc_bucket, discard, release, written
 
 # Fixed value: the end token; no word holds white space.
 END = b"\n"
-#: Rows of tokens that a task sums up before it hands them on.
-HELD_TOKENS = 1 << 21
-#: Distinct words whose hash a worker remembers.
-CACHE_WORDS = 400_000
+#: Tokens of a chunk (or of one longer text), and of all texts for each section of the filter.
+CHUNK_TOKENS = 1 << 20
+SECTION_TOKENS = 1 << 18
 BLOCK_BITS = 1 << 19
 PROBES = 4
+#: Bytes of an n-gram's hash within its section.
+KEY_BYTES = 5
 
 
 @dataclass(frozen=True)
 class Model:
-    share: float = 1e-7
+    share: float = 1e-7  # without effect: every n-gram is entered
     exact_share: float = 1e-6
     base: float = 1.5
     bits_per_entry: int = 12
     mu: float = 30.0
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash, the same in every process."""
+class _Ids(dict):
+    """Word -> its place in the chunk's vocabulary."""
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        value -= (value >> 63) << 64
-        self[word] = value
-        return value
-
-
-_HASHES = _Hashes()
+        self[word] = place = len(self)
+        return place
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -71,9 +68,7 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _hashed(words: list[bytes]) -> np.ndarray:
-    if len(_HASHES) > CACHE_WORDS:
-        _HASHES.clear()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.int64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -90,11 +85,7 @@ def pair_hashes(hashes: np.ndarray) -> np.ndarray:
     return _mixed((_mixed(before) * np.uint64(3) + hashes.view(np.uint64)).view(np.int64)).view(np.int64)
 
 
-# ---------------------------------------------------------------- counts
-
-
-def _training(docs: DataFrame) -> DataFrame:
-    return docs.where(~F.col("held_out")).select("text")
+# ---------------------------------------------------------------- chunks
 
 
 def with_split(docs: DataFrame, modulus: int = 5, held: int = 1) -> DataFrame:
@@ -106,59 +97,99 @@ def with_split(docs: DataFrame, modulus: int = 5, held: int = 1) -> DataFrame:
     )
 
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """word, n: exact counts of all training tokens, written."""
+CHUNKS = "chunk long, n_tokens long, doc_ids array<long>, held_out array<boolean>, sizes array<int>, words binary, ids binary"
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                held.update(tokens(text))
-            if len(held) > HELD_TOKENS // 4:
-                yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                held = Counter()
-        if held:
-            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-
-    parts = training.mapInPandas(count, "word binary, n long")
-    return written(parts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
+def chunked(split: DataFrame) -> DataFrame:
+    """The rows of ``with_split`` as chunks of tokens, written: a vocabulary, and places in it.
 
-def pair_counts(training: DataFrame, words: "LogFrequencyFilter", floor: int) -> DataFrame:
-    """gram, n: pairs that occur at least ``floor`` times. Only pairs of words that do so can."""
-    shared = training.sparkSession.sparkContext.broadcast(words)
+    The vocabulary starts with the end token, which is not stored. Places are compressed byte by byte.
+    """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        held, size = [], 0
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunk = TaskContext.get().partitionId() << 24
+        packer = zstandard.ZstdCompressor(level=1)
+        places, docs, held, ids, size = _Ids({END: 0}), [], [], [], 0
 
-        def summed() -> pd.DataFrame:
-            grams, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"gram": grams, "n": n})
+        def made() -> pd.DataFrame:
+            planes = np.concatenate(ids).view(np.uint8).reshape(-1, 4).T
+            return pd.DataFrame(
+                {
+                    "chunk": [chunk],
+                    "n_tokens": [size],
+                    "doc_ids": [docs],
+                    "held_out": [held],
+                    "sizes": [[len(i) for i in ids]],
+                    "words": [packer.compress(b" ".join(list(places)[1:]))],
+                    "ids": [packer.compress(planes.tobytes())],
+                }
+            )
 
         for batch in batches:
-            hashes, pairs = [], []
-            for text in batch["text"]:
-                h = _hashed(tokens(text))
-                hashes.append(h)
-                pairs.append(pair_hashes(h))
-            if not hashes:
-                continue
-            flat = np.concatenate(hashes)
-            distinct, place = np.unique(flat, return_inverse=True)
-            often = known.contains(distinct)[place]
-            before = np.concatenate([[True], often[:-1]])  # the end token before a first word is frequent
-            pairs = np.concatenate(pairs)[often & before]
-            held.append(pairs)
-            size += len(pairs)
-            if size > HELD_TOKENS:
-                yield summed()
-                held, size = [], 0
+            for doc_id, out, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):
+                words = tokens(text)
+                docs.append(None if pd.isna(doc_id) else int(doc_id))
+                held.append(bool(out))
+                ids.append(np.fromiter(map(places.__getitem__, words), np.uint32, len(words)))
+                size += len(words)
+                if size >= CHUNK_TOKENS:
+                    yield made()
+                    chunk += 1
+                    places, docs, held, ids, size = _Ids({END: 0}), [], [], [], 0
         if size:
-            yield summed()
+            yield made()
+
+    exact = split.withColumn("doc_id", F.col("doc_id").cast("decimal(20,0)"))
+    return written(exact.mapInPandas(gather, CHUNKS), "token-chunks")
+
+
+class _Chunk:
+    """A chunk opened: its words, the place of each token, and which tokens train."""
+
+    def __init__(self, words: bytes, ids: bytes, sizes: list[int], held_out: list[bool]):
+        opener = zstandard.ZstdDecompressor()
+        joined = opener.decompress(words)
+        self.words = [END, *joined.split(b" ")] if joined else [END]
+        planes = np.frombuffer(opener.decompress(ids), np.uint8).reshape(4, -1)
+        self.ids = np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+        self.sizes = np.asarray(sizes, np.int64)
+        self.trains = np.repeat(~np.asarray(held_out, bool), self.sizes)
+
+    def grams(self, n_sections: int) -> tuple[np.ndarray, ...]:
+        """By section: keys, counts in training texts, first place of each section present, these sections;
+        then the place of every word of the vocabulary and of every token's pair among the keys."""
+        hashes = _hashed(self.words)
+        pairs, place = np.unique(pair_hashes(hashes[self.ids]), return_inverse=True)
+        n = np.concatenate(
+            [
+                np.bincount(self.ids[self.trains], minlength=len(hashes)),
+                np.bincount(place[self.trains], minlength=len(pairs)),
+            ]
+        )
+        mixed = _mixed(np.concatenate([hashes, pairs]) ^ np.int64(0x5DEECE66D))
+        section = ((mixed >> np.uint64(32)) % np.uint64(n_sections)).astype(
+            np.uint16 if n_sections <= 1 << 16 else np.int64
+        )
+        order = np.argsort(section, kind="stable")
+        sections, first = np.unique(section[order], return_index=True)
+        at = np.empty(len(order), np.int64)
+        at[order] = np.arange(len(order))
+        keys = mixed[order] & np.uint64(2 ** (8 * KEY_BYTES) - 1)
+        return keys, n[order], first, sections.astype(np.int64), at[: len(hashes)], at[len(hashes) :][place]
+
+
+def word_counts(chunks: DataFrame) -> DataFrame:
+    """word, n: exact counts of all training tokens, written."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                chunk = _Chunk(row.words, row.ids, row.sizes, row.held_out)
+                n = np.bincount(chunk.ids[chunk.trains], minlength=len(chunk.words))
+                yield pd.DataFrame({"word": chunk.words, "n": n})[n > 0]
 
-    parts = training.mapInPandas(count, "gram long, n long")
-    return written(parts.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= floor), "pair-counts")
+    parts = chunks.select("words", "ids", "sizes", "held_out").mapInPandas(count, "word binary, n long")
+    return written(parts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
 
 # ---------------------------------------------------------------- filter
@@ -177,21 +208,41 @@ class LogFrequencyFilter:
             held &= (self.blocks[block, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
         return held
 
+    @classmethod
+    def of(cls, grams: np.ndarray, n: np.ndarray, floor: int, model: Model) -> "LogFrequencyFilter":
+        """The filter of distinct grams, all of which have n >= floor."""
+        level = level_of(n, floor, model.base)
+        n_blocks = max(1, int(-(-int(level.sum()) * model.bits_per_entry // BLOCK_BITS)))
+        bits = np.zeros(n_blocks * BLOCK_BITS, bool)
+        start = block_of(grams, n_blocks) * BLOCK_BITS
+        for k in range(1, int(level.max(initial=0)) + 1):
+            at = level >= k
+            for bit in bits_of(grams[at], k):
+                bits[start[at] + bit] = True
+        return cls(np.packbits(bits, bitorder="little").reshape(n_blocks, -1), floor, model.base)
+
     def contains(self, grams: np.ndarray) -> np.ndarray:
         return self._held(grams, 1)
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """The count that each gram's level stands for; 0 where it isn't held."""
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """The level of each gram; 0 where it isn't held."""
         levels = np.zeros(len(grams), np.int64)
         left, level = np.arange(len(grams)), 1
         while len(left):
             left = left[self._held(grams[left], level)]
             levels[left] = level
             level += 1
-        low = self.floor * self.base ** (levels - 1.0)
-        return np.where(levels > 0, (low + low * self.base) / 2, 0.0) if self.floor > 1 else np.where(
-            levels > 0, np.maximum(1.0, np.floor((low + low * self.base) / 2)), 0.0
-        )
+        return levels
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        """The count that each gram's level stands for; 0 where it isn't held."""
+        return counts_of(self.levels(grams), self.floor, self.base)
+
+
+def counts_of(levels: np.ndarray, floor: int, base: float) -> np.ndarray:
+    low = floor * base ** (levels - 1.0)
+    middle = (low + low * base) / 2
+    return np.where(levels > 0, middle if floor > 1 else np.maximum(1.0, np.floor(middle)), 0.0)
 
 
 def level_of(counts: np.ndarray, floor: int, base: float) -> np.ndarray:
@@ -211,38 +262,58 @@ def bits_of(grams: np.ndarray, level: int) -> list[np.ndarray]:
 
 
 def built_filter(grams: DataFrame, floor: int, model: Model) -> LogFrequencyFilter:
-    """The filter of ``grams`` (gram, n), all of which have n >= floor."""
-    base = model.base
-    levels = F.sum(1 + F.floor(F.log(F.col("n") / floor) / F.log(F.lit(base)) + 1e-9))
-    entries = grams.agg(levels.alias("entries")).first()["entries"] or 0
-    n_blocks = max(1, int(-(-entries * model.bits_per_entry // BLOCK_BITS)))
+    """The filter of a small table of distinct ``grams`` (gram, n), all of which have n >= floor."""
+    rows = grams.select("gram", "n").toPandas()
+    return LogFrequencyFilter.of(rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(), floor, model)
 
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(block=block_of(batch["gram"].to_numpy(np.int64), n_blocks))
-
-    def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(BLOCK_BITS, bool)
-        hashes = group["gram"].to_numpy(np.int64)
-        level = level_of(group["n"].to_numpy(), floor, base)
-        for k in range(1, int(level.max()) + 1):
-            for bit in bits_of(hashes[level >= k], k):
-                bits[bit] = True
-        return pd.DataFrame({"block": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-    made = grams.mapInPandas(numbered, "gram long, n long, block long").groupBy("block")
-    blocks = np.zeros((n_blocks, BLOCK_BITS // 8), np.uint8)
-    for row in made.applyInPandas(build, "block long, bits binary").collect():
-        blocks[row["block"]] = np.frombuffer(row["bits"], np.uint8)
-    return LogFrequencyFilter(blocks, floor, base)
-
-
-def _with_hash(words: DataFrame) -> DataFrame:
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def levels(chunks: DataFrame, n_sections: int, model: Model) -> DataFrame:
+    """chunk, section, levels (compressed bytes): the filter's levels of each chunk's grams, written."""
+
+    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"gram": _hashed(list(batch["word"])), "n": batch["n"]})
+            for row in batch.itertuples(index=False):
+                chunk = _Chunk(row.words, row.ids, row.sizes, row.held_out)
+                keys, n, first, sections, _, _ = chunk.grams(n_sections)
+                packed = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+                ends = [*first[1:], len(keys)]
+                few = np.minimum(n, 255).astype(np.uint8)
+                yield pd.DataFrame(
+                    {
+                        "section": sections,
+                        "chunk": row.chunk,
+                        "grams": [packed[a:b].tobytes() for a, b in zip(first, ends, strict=True)],
+                        "n": [few[a:b].tobytes() for a, b in zip(first, ends, strict=True)],
+                        "more": [
+                            n[a:b][few[a:b] == 255].astype("<i8").tobytes() for a, b in zip(first, ends, strict=True)
+                        ],
+                    }
+                )
+
+    def answered(group: pd.DataFrame) -> pd.DataFrame:
+        wide = np.zeros((sum(map(len, group["n"])), 8), np.uint8)
+        wide[:, :KEY_BYTES] = np.frombuffer(b"".join(group["grams"]), np.uint8).reshape(-1, KEY_BYTES)
+        n = np.frombuffer(b"".join(group["n"]), np.uint8).astype(np.int64)
+        n[n == 255] = np.frombuffer(b"".join(group["more"]), "<i8")
+        grams, place = np.unique(wide.view("<u8").ravel().view(np.int64), return_inverse=True)
+        sums = np.bincount(place, weights=n)
+        held = LogFrequencyFilter.of(grams[sums > 0], sums[sums > 0], 1, model)
+        found = held.levels(grams).astype(np.uint8)[place]
+        packer = zstandard.ZstdCompressor(level=1)
+        parts = np.split(found, np.cumsum([len(x) for x in group["n"]])[:-1])
+        return pd.DataFrame(
+            {
+                "chunk": group["chunk"].to_numpy(),
+                "section": group["section"].to_numpy(),
+                "levels": [packer.compress(p.tobytes()) for p in parts],
+            }
+        )
 
-    return words.mapInPandas(hashed, "gram long, n long")
+    grams = chunks.select("chunk", "words", "ids", "sizes", "held_out").mapInPandas(
+        sent, "section long, chunk long, grams binary, n binary, more binary"
+    )
+    answers = grams.groupBy("section").applyInPandas(answered, "chunk long, section long, levels binary")
+    return written(answers, "gram-levels")
 
 
 # ---------------------------------------------------------------- scores
@@ -250,42 +321,26 @@ def _with_hash(words: DataFrame) -> DataFrame:
 
 @dataclass
 class Trained:
-    """What workers need: the filters, the bounded exact counts, and totals."""
+    """What workers need: the bounded exact counts, and totals."""
 
-    words: LogFrequencyFilter
-    pairs: LogFrequencyFilter
     exact: np.ndarray
     exact_n: np.ndarray
     n_tokens: int
     n_words: int
-    rest: float
-    mu: float
+    model: Model
 
     def word_shares(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, counts / max(1, self.n_tokens), self.rest)
+        """One unseen word has what half a token would."""
+        return np.where(counts > 0, counts / max(1, self.n_tokens), 0.5 / (self.n_tokens + 0.5))
 
 
-def trained(docs: DataFrame, model: Model) -> tuple[Trained, DataFrame]:
-    """The model of the training rows of ``with_split``, and the exact word counts."""
-    training = _training(docs)
-    words = word_counts(training)
+def trained(words: DataFrame, model: Model) -> Trained:
+    """Totals and frequent words of the exact word counts."""
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = int(totals["n"]), int(totals["v"])
-    floor = max(1, int(np.ceil(model.share * n)))
-    often = written(_with_hash(words.where(F.col("n") >= floor)), "frequent-words")
-    held = often.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    word_filter = built_filter(often, floor, model)
-    pair_filter = built_filter(pair_counts(training, word_filter, floor), floor, model)
-    exact = often.where(F.col("n") >= max(floor, int(np.ceil(model.exact_share * n)))).toPandas().sort_values("gram")
-    # What the words below the share hold together, for each of them and one unseen word.
-    rest = (n - int(held["n"]) + 0.5) / (n + 0.5) / (v - int(held["v"]) + 1)
-    return (
-        Trained(
-            word_filter, pair_filter, exact["gram"].to_numpy(np.int64), exact["n"].to_numpy(np.int64),
-            n, v, rest, model.mu,
-        ),
-        words,
-    )
+    often = words.where(F.col("n") >= max(1, int(np.ceil(model.exact_share * n)))).toPandas()
+    exact = often.assign(gram=_hashed(list(often["word"]))).sort_values("gram")
+    return Trained(exact["gram"].to_numpy(np.int64), exact["n"].to_numpy(np.int64), n, v, model)
 
 
 SCORED = (
@@ -294,61 +349,69 @@ SCORED = (
 )
 
 
-def _score_batch(batch: pd.DataFrame, model: Trained, first_row: int) -> pd.DataFrame:
-    texts = [tokens(t) for t in batch["text"]]
-    hashes = [_hashed(t) for t in texts]
-    sizes = np.array([len(h) for h in hashes])
+def _score_chunk(row, answers: pd.DataFrame, fitted: Trained, n_sections: int) -> pd.DataFrame:
+    chunk = _Chunk(row["words"], row["ids"], row["sizes"], row["held_out"])
+    keys, _, _, sections, word_at, pair_at = chunk.grams(n_sections)
+    answers = answers.sort_values("section")
+    opener = zstandard.ZstdDecompressor()
+    found = np.frombuffer(b"".join(map(opener.decompress, answers["levels"])), np.uint8)
+    if len(found) != len(keys) or not np.array_equal(answers["section"].to_numpy(), sections):
+        raise ValueError("the filter's answers are not those of the chunk's n-grams")
+    held = counts_of(found.astype(np.int64), 1, fitted.model.base)
+    ids, sizes = chunk.ids, chunk.sizes
     ends = np.cumsum(sizes)
-    flat = np.concatenate(hashes)
-    distinct, place = np.unique(flat, return_inverse=True)
-    counts = model.words.counts(distinct)
-    shares = model.word_shares(counts)[place]
-    grams, gram_place = np.unique(np.concatenate([pair_hashes(h) for h in hashes]), return_inverse=True)
-    pairs = model.pairs.counts(grams)[gram_place]
-    counts = counts[place]
-    before = np.concatenate([[0.0], counts[:-1]])
-    before[ends[:-1]] = 0.0
-    before[np.concatenate([[0], ends[:-1]])] = model.words.counts(_hashed([END]))[0]
-    pairs = np.minimum(pairs, before)
-    logs = np.log10((pairs + model.mu * shares) / (before + model.mu))
-    spot = np.searchsorted(model.exact, distinct)
-    spot = np.minimum(spot, max(0, len(model.exact) - 1))
-    known = model.exact[spot] == distinct if len(model.exact) else np.zeros(len(distinct), bool)
-    exact = np.where(known, model.exact_n[spot], 0) if len(model.exact) else np.zeros(len(distinct))
-    is_known = known[place]
-    base = np.where(is_known, np.log10(exact[place] + 0.5), 0.0)
     starts = ends - sizes
-    rare = [Counter(w for w, k in zip(t, is_known[a:b], strict=True) if not k) for t, a, b in zip(texts, starts, ends, strict=True)]
+    word_n = held[word_at]
+    shares = fitted.word_shares(word_n)[ids]
+    before = word_n[np.concatenate([[0], ids[:-1]])]  # place 0 is the end token, also between texts
+    pairs = np.minimum(held[pair_at], before)
+    logs = np.log10((pairs + fitted.model.mu * shares) / (before + fitted.model.mu))
+    distinct = _hashed(chunk.words)
+    known, exact = np.zeros(len(distinct), bool), np.zeros(len(distinct))
+    if len(fitted.exact):
+        spot = np.minimum(np.searchsorted(fitted.exact, distinct), len(fitted.exact) - 1)
+        known = fitted.exact[spot] == distinct
+        exact = np.where(known, fitted.exact_n[spot], 0)
+    is_known = known[ids]
+    base = np.where(known, np.log10(exact + 0.5), 0.0)[ids]
+    rare, texts = np.flatnonzero(~is_known), np.repeat(np.arange(len(sizes)), sizes)
+    uses, times = np.unique(texts[rare] * len(distinct) + ids[rare], return_counts=True)
+    cuts = np.searchsorted(uses, np.arange(len(sizes) + 1) * len(distinct))
     return pd.DataFrame(
         {
-            "row": first_row + np.arange(len(texts)),
-            "doc_id": batch["doc_id"].map(lambda x: None if pd.isna(x) else int(x)).astype("Int64"),
-            "held_out": batch["held_out"],
+            "row": (int(row["chunk"]) << 20) + np.arange(len(sizes)),
+            "doc_id": pd.array([None if pd.isna(x) else int(x) for x in row["doc_ids"]], "Int64"),
+            "held_out": np.asarray(row["held_out"], bool),
             "n_tokens": sizes,
             "n_known": np.add.reduceat(is_known.astype(np.int64), starts),
             "base": np.add.reduceat(base, starts),
             "score": np.add.reduceat(logs, starts),
-            "words": [list(r) for r in rare],
-            "times": [list(r.values()) for r in rare],
+            "words": [
+                [chunk.words[i] for i in uses[a:b] % len(distinct)] for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+            ],
+            "times": [times[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
         }
     )
 
 
 def scored(docs: DataFrame, model: Model = Model()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    split = with_split(docs)
-    fitted, words = trained(split, model)
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            if len(batch):
-                yield _score_batch(batch, shared.value, row)
-                row += len(batch)
-
-    exact = split.withColumn("doc_id", F.col("doc_id").cast("decimal(20,0)"))
-    rows = written(exact.mapInPandas(score, SCORED), "scored")
+    spark = docs.sparkSession
+    chunks = chunked(with_split(docs))
+    n_sections = 1 + (chunks.agg(F.sum("n_tokens").alias("n")).first()["n"] or 0) // SECTION_TOKENS
+    words = word_counts(chunks)
+    fitted = trained(words, model)
+    answers = levels(chunks, n_sections, model)
+    release(spark)
+    shared = spark.sparkContext.broadcast(fitted)
+
+    def score(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return _score_chunk(chunk.iloc[0], answers, shared.value, n_sections)
+
+    # doc_ids as text: pandas would turn a list with nulls into floats.
+    exact = chunks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>"))
+    rows = written(exact.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(score, SCORED), "scored")
+    discard(chunks, answers)
     pairs = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "row", F.col("w.words").alias("word"), F.col("w.times").alias("times")
     )

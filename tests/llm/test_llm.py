@@ -351,6 +351,29 @@ def test_filter_levels(spark):
     assert held.contains(others).mean() < 0.05
 
 
+def test_rare_grams_count_whatever_the_share(spark, monkeypatch):
+    """Words and pairs far below any share of a large corpus are held, over many chunks and sections."""
+    monkeypatch.setattr(bloom_lm, "CHUNK_TOKENS", 3000)
+    monkeypatch.setattr(bloom_lm, "SECTION_TOKENS", 2000)
+    train = [d for d in range(400) if zlib.crc32(str(d).encode()) % 5 != 1]
+    held = [d for d in range(400) if zlib.crc32(str(d).encode()) % 5 == 1][:3]
+    texts = [(d, words(200, d)) for d in train] + [(held[0], words(200, train[0])), (held[1], " ".join(
+        reversed(words(200, train[0]).split()))), (held[2], " ".join(f"unseen{i}" for i in range(200)))]
+    model = bloom_lm.Model(share=1e-3, exact_share=1e-2)  # a floor of about 64 counts, by the share
+    found = {r["doc_id"]: r for r in bloom_lm.scored(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    seen, turned, unseen = (found[d]["score"] for d in held)
+    assert seen > turned + 1 > unseen + 2  # pairs seen once, words seen once, nothing seen
+    counts = collections.Counter(w for d, t in texts if d in train for w in bloom_lm.tokens(t.encode()))
+    pairs = collections.Counter(p for d, t in texts if d in train for p in zip([bloom_lm.END, *t.encode().split()], bloom_lm.tokens(t.encode())))
+    n = sum(counts.values())
+    text = bloom_lm.tokens(texts[-3][1].encode())
+    exact = sum(
+        np.log10((pairs[v, w] + 30 * (counts[w] / n if counts[w] else 0.5 / (n + 0.5))) / (counts[v] + 30))
+        for v, w in zip([bloom_lm.END, *text], text)
+    )
+    assert abs(seen - exact) < 0.02 * abs(exact)  # levels are within a factor of the counts
+
+
 # ---------------------------------------------------------------- op7
 
 
