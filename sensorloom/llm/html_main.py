@@ -3,9 +3,14 @@
 A page becomes a row of lines (blocks of text). Each line has a text-to-tag ratio: its characters over
 the tags met in it. The ratios are smoothed with a Gaussian kernel; lines above a share of their
 standard deviation form the content clusters. The region is the deepest element that holds nearly all
-text of the clusters, or the article or main element around it. The region's lines are returned
-whole and in page order, but for those in menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments, which are known by element, role or class and never count as content.
+text of the clusters. An article or main element around it takes its place and bounds the text; without
+one, lines of the clusters outside the region (title, introduction, ending) count too, but for links.
+Within the region all lines stay, in page order, but for blocks of links: three or more lines in a row that
+are mostly link text and whose own ratio is below the clusters'.
+
+Menus, headers, footers, sidebars, notices, adverts, forms and reader comments are known by element, role
+or class and left out. A block left out by role or class alone is taken back if it holds nearly all text
+of the clusters and no article or main element beside it has text.
 
 Defined results: a null or empty html, or one without text, gives an empty text; unclosed elements end
 with the element around them; equal rows give equal texts; an empty table gives no rows. Other columns
@@ -49,40 +54,51 @@ SPACE = re.compile(r"\s+")
 SIGMA = 1.5
 THRESHOLD = 0.3
 REGION_SHARE = 0.8
+LINK_LINES = 3
+#: Elements that leave a head open; any other ends it.
+IN_HEAD = frozenset("base head link meta noscript script style template title".split())
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "hidden", "mass")
+    __slots__ = ("tag", "parent", "hidden", "named", "mass")
 
-    def __init__(self, tag: str, parent: "_Element | None", hidden: bool):
-        self.tag, self.parent, self.hidden, self.mass = tag, parent, hidden, 0.0
+    def __init__(self, tag: str, parent: "_Element | None", hidden: bool, named: bool = False):
+        self.tag, self.parent, self.hidden, self.named, self.mass = tag, parent, hidden, named, 0.0
+
+    def chain(self):
+        """The element and those around it."""
+        element = self
+        while element is not None:
+            yield element
+            element = element.parent
 
 
 class _Lines(HTMLParser):
-    """Collects lines as (text, tags, element)."""
+    """Collects lines as (text, tags, element, characters in links)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = _Element("", None, False)
         self.open: list[_Element] = [self.root]
-        self.lines: list[tuple[str, int, _Element]] = []
+        self.lines: list[tuple[str, int, _Element, int]] = []
         self.parts: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
+        self.in_link = False
 
     def _end_line(self) -> None:
         if self.parts:
             text = SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.lines.append((text, self.tags, self.open[-1]))
+                self.lines.append((text, self.tags, self.open[-1], self.linked))
             self.parts = []
-        self.tags = 0
-
-    def _left_out(self, tag: str, attributes: list) -> bool:
-        if tag in LEFT_OUT:
-            return True
-        if tag == "header":
-            return not any(e.tag in ("article", "main") for e in self.open)
-        if tag in ("html", "body", "article", "main"):
+        self.tags = self.linked = 0
+
+    def _left_out(self, tag: str) -> bool:
+        return tag in LEFT_OUT or tag == "header" and not any(e.tag in ("article", "main") for e in self.open)
+
+    def _named(self, tag: str, attributes: list) -> bool:
+        """Whether a role, class or id tells that it is no content."""
+        if tag in ("header", "html", "body", "article", "main"):
             return False
         for name, value in attributes:
             if not value:
@@ -93,7 +109,15 @@ class _Lines(HTMLParser):
                 return True
         return False
 
+    def _end_head(self) -> None:
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == "head":
+                del self.open[i:]
+                break
+
     def handle_starttag(self, tag, attrs):
+        if self.open[-1].tag == "head" and tag not in IN_HEAD or tag == "body":
+            self._end_head()
         if tag in BLOCKS:
             self._end_line()
             if len(self.open) > 1 and self.open[-1].tag == "p":
@@ -103,12 +127,14 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        hidden = self._left_out(tag, attrs)
-        if hidden or tag in CONTAINERS:
-            if not self.open[-1].hidden and hidden:
-                self._end_line() if tag in BLOCKS else None
+        if tag == "a":
+            self.in_link = True
+        hidden, named = self._left_out(tag), self._named(tag, attrs)
+        if named and tag not in BLOCKS:  # within a line, whose text goes on after it
+            hidden = True
+        if hidden or named or tag in CONTAINERS:
             above = self.open[-1]
-            self.open.append(_Element(tag, above, hidden or above.hidden))
+            self.open.append(_Element(tag, above, hidden or above.hidden, named))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -118,6 +144,8 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._end_line()
+        if tag == "a" or tag in BLOCKS:
+            self.in_link = False
         self.tags += 1
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
@@ -125,8 +153,11 @@ class _Lines(HTMLParser):
                 break
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and data.strip():
+            self._end_head()
         if not self.open[-1].hidden:
             self.parts.append(data)
+            self.linked += len(data) if self.in_link else 0
 
     def close(self):
         super().close()
@@ -140,27 +171,65 @@ def _smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def _clusters(lines: list) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of the lines that are content by their smoothed ratio, else 0; and whether each line's own
+    ratio is below the clusters'."""
+    sizes = np.array([len(text) for text, *_ in lines], float)
+    ratios = sizes / np.maximum([tags for _, tags, *_ in lines], 1)
+    smooth = _smoothed(ratios)
+    least = THRESHOLD * smooth.std()
+    content = np.where(smooth >= least, sizes, 0.0)
+    return content if content.any() else sizes, ratios < least
+
+
+def _without_named(lines: list) -> list:
+    """The lines but for those in blocks that a role or class leaves out."""
+    marked = [[e for e in element.chain() if e.named] for _, _, element, _ in lines]
+    if not any(marked):
+        return lines
+    semantic = any(
+        not names and any(e.tag in ("article", "main") for e in line[2].chain())
+        for line, names in zip(lines, marked, strict=True)
+    )
+    back = set()
+    if not semantic:
+        content, _ = _clusters(lines)
+        mass: dict[_Element, float] = {}
+        for size, names in zip(content, marked, strict=True):
+            for e in names:
+                mass[e] = mass.get(e, 0.0) + size
+        back = {e for e, m in mass.items() if m >= REGION_SHARE * content.sum()}
+    return [line for line, names in zip(lines, marked, strict=True) if back.issuperset(names)]
+
+
+def _link_blocks(lines: list, low: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """Lines in runs of LINK_LINES or more low lines of links."""
+    found = np.zeros(len(lines) + 2, bool)
+    found[1:-1] = low & links
+    edges = np.flatnonzero(found[1:] != found[:-1])
+    for start, end in edges.reshape(-1, 2):
+        if end - start < LINK_LINES:
+            found[start + 1 : end + 1] = False
+    return found[1:-1]
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page."""
     page = _Lines()
     page.feed(html if isinstance(html, str) else "")
     page.close()
-    if not page.lines:
+    lines = _without_named(page.lines)
+    if not lines:
         return ""
-    sizes = np.array([len(text) for text, _, _ in page.lines], float)
-    ratios = sizes / np.maximum([tags for _, tags, _ in page.lines], 1)
-    smooth = _smoothed(ratios)
-    content = np.where(smooth >= THRESHOLD * smooth.std(), sizes, 0.0)
-    if not content.any():
-        content = sizes
+    content, low = _clusters(lines)
     total = content.sum()
     best, depth_of_best = page.root, 0
-    for mass, (_, _, element) in zip(content, page.lines, strict=True):
+    for mass, (_, _, element, _) in zip(content, lines, strict=True):
         while element is not None:
             element.mass += mass
             element = element.parent
     seen: dict[int, int] = {}
-    for _, _, element in page.lines:
+    for _, _, element, _ in lines:
         chain = []
         while element is not None and id(element) not in seen:
             chain.append(element)
@@ -187,7 +256,13 @@ def main_text(html: str | None) -> str:
         inside.update(dict.fromkeys(path, answer))
         return answer
 
-    return "\n".join(text for text, _, element in page.lines if within(element))
+    links = np.array([2 * linked > len(text) for text, _, _, linked in lines])
+    blocks = _link_blocks(lines, low, links)
+    return "\n".join(
+        text
+        for (text, _, element, _), size, link, block in zip(lines, content, links, blocks, strict=True)
+        if (not block if within(element) else around is None and size > 0 and not link)
+    )
 
 
 @F.pandas_udf(StringType())

@@ -513,3 +513,26 @@ def test_extraction_on_pages(spark):
 )
 def test_extraction_defined_results(page, text):
     assert html_main.main_text(page) == text
+
+
+PARAGRAPHS = [f"{PROSE} number {i}." for i in range(12)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+LINKS = "<ul class=x1>" + "".join(f"<li><a href=/{i}>go {i}</a></li>" for i in range(9)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # no article or main: title, introduction and ending outside the element with most text
+        (f"<body><h1>Title</h1><p>Intro of it</p><div>{BODY}</div><p>The end of it</p></body>", ["Title", "Intro of it", *PARAGRAPHS, "The end of it"]),
+        (f"<body>{LINKS}<div>{BODY}</div>{LINKS}</body>", PARAGRAPHS),  # links around it
+        (f"<article>{BODY}{LINKS}{BODY}</article>", PARAGRAPHS * 2),  # links within it, whatever their class
+        (f"<body><div class='social page'>{BODY}<div class=ad>buy it</div></div></body>", PARAGRAPHS),  # a name around all text
+        (f"<body><article><p>Short text</p></article><div class=comments>{BODY}</div></body>", ["Short text"]),
+        (f"<head><title>T</title><meta charset=utf-8><body><div>{BODY}</div>", PARAGRAPHS),  # a head left open
+        (f"<head><title>T</title><div>{BODY}</div>", PARAGRAPHS),
+        ("<article><p>See <a href=/x>one</a><span class=ad>buy</span> and go</p></article>", ["See one and go"]),
+    ],
+)
+def test_extraction_by_ratio(page, text):
+    assert html_main.main_text(page) == "\n".join(text)
