@@ -6,9 +6,13 @@ computed from the corpus itself: per language, the mean histogram of all its tex
 rules. Character classes alone are judged from ``min_chars`` word characters on, both histograms
 together from ``min_words`` words on; shorter texts give too coarse a histogram and pass.
 
-Defined results: a null or empty text has no words and fails the base rules; a language that is null
-or has no reference is no obstacle, as every text is held against its nearest reference; where no
-reference exists (an empty table, or no text passes the base rules) only the base rules count. Equal
+Languages with a word list have references of both kinds, and their texts are held against the nearest of
+these. Any other label of at least ``min_texts`` such texts has a reference of character classes; its texts
+are held against that one too, by character classes alone.
+
+Defined results: a null or empty text has no words and fails the base rules; where the
+language is null or has no reference (in an empty table, or where no text of it passes the base rules)
+only the base rules count. Equal
 rows are judged alike; other columns pass through.
 """
 
@@ -52,6 +56,7 @@ class Limits:
     min_words: int = 50
     both_class: float = 0.13
     both_word: float = 0.26
+    min_texts: int = 20
 
 
 def _class_of_byte() -> np.ndarray:
@@ -190,8 +195,19 @@ def references(judged: DataFrame, limits: Limits) -> list[tuple[str, list[float]
     ]
 
 
-def js_distance(shares: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance between an array of shares and a fixed distribution."""
+def class_references(judged: DataFrame, limits: Limits) -> DataFrame:
+    """own_lang, own_classes: mean class histogram of each label without a word list."""
+    good = judged.where(~F.col("lang").isin(*COMMON_WORDS) & ~base_failed(F.col("f"), limits))
+    shares = good.select(F.col("lang").alias("own_lang"), _shares(F.col("f.classes")).alias("classes"))
+    means = [F.avg(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES))]
+    rows = shares.groupBy("own_lang").agg(F.count("*").alias("n"), *means).where(F.col("n") >= limits.min_texts)
+    return rows.select("own_lang", F.array(*[f"c{i}" for i in range(len(CLASSES))]).alias("own_classes"))
+
+
+def js_distance(shares: Column, reference: list[float] | Column) -> Column:
+    """Jensen-Shannon distance between an array of shares and a distribution."""
+    if isinstance(reference, list):
+        reference = F.array(*[F.lit(float(x)) for x in reference])
 
     def part(p: Column, m: Column) -> Column:
         return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
@@ -200,7 +216,7 @@ def js_distance(shares: Column, reference: list[float]) -> Column:
         middle = (p + q) / 2
         return part(p, middle) + part(q, middle)
 
-    terms = F.zip_with(shares, F.array(*[F.lit(float(x)) for x in reference]), both)
+    terms = F.zip_with(shares, reference, both)
     divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
@@ -210,16 +226,18 @@ def judged(docs: DataFrame) -> DataFrame:
     return docs.withColumn("f", features(F.col("text")))
 
 
-def with_verdict(rows: DataFrame, refs: list, limits: Limits = Limits()) -> DataFrame:
-    """``rows`` (with ``f``) with base_failed, class_distance, word_distance and kept.
+def with_verdict(rows: DataFrame, refs: list, own: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``rows`` (with ``lang`` and ``f``) with base_failed, class_distance, word_distance and kept.
 
-    The distances are those to the reference that is nearest over all.
+    The distances are those to the reference that is nearest over all, or by classes to the one of the
+    text's own label in ``own``, which has no word distance.
     """
     order = list(COMMON_WORDS)
     rows = rows.withColumn("base_failed", base_failed(F.col("f"), limits))
-    if not refs:
-        none = F.lit(None).cast("double")
-        return rows.withColumns({"class_distance": none, "word_distance": none, "kept": ~F.col("base_failed")})
+    rows = rows.join(F.broadcast(own), F.col("lang") == F.col("own_lang"), "left")
+    own_class = F.when(
+        F.col("own_classes").isNotNull(), js_distance(_shares(F.col("f.classes")), F.col("own_classes"))
+    )
     pairs = [
         F.struct(
             js_distance(_shares(F.col("f.classes")), classes).alias("class"),
@@ -227,28 +245,47 @@ def with_verdict(rows: DataFrame, refs: list, limits: Limits = Limits()) -> Data
         )
         for lang, classes, words in refs
     ]
-    ranked = F.array_sort(
-        F.transform(F.array(*pairs), lambda p: F.struct((p["class"] + p["word"]).alias("sum"), p["class"], p["word"]))
-    )
-    rows = rows.withColumn("nearest", F.get(ranked, F.lit(0)))
-    strange = ((F.col("f.word_chars") >= limits.min_chars) & (F.col("nearest.class") > limits.class_distance)) | (
-        (F.col("f.n_words") >= limits.min_words)
-        & (F.col("nearest.class") > limits.both_class)
-        & (F.col("nearest.word") > limits.both_word)
+    nearest = F.lit(None).cast("struct<sum: double, class: double, word: double>")
+    if pairs:
+        ranked = F.array_sort(
+            F.transform(
+                F.array(*pairs), lambda p: F.struct((p["class"] + p["word"]).alias("sum"), p["class"], p["word"])
+            )
+        )
+        nearest = F.get(ranked, F.lit(0))
+    rows = rows.withColumns({"nearest": nearest, "own_class": own_class})
+    by_words = F.coalesce(F.col("lang").isin(*[lang for lang, _, _ in refs]), F.lit(False)) if refs else F.lit(False)
+    by_own = F.col("own_class").isNotNull() & (F.col("nearest").isNull() | (F.col("own_class") < F.col("nearest.class")))
+    long = F.col("f.word_chars") >= limits.min_chars
+    strange = (
+        F.when(
+            by_words,
+            (long & (F.col("nearest.class") > limits.class_distance))
+            | (
+                (F.col("f.n_words") >= limits.min_words)
+                & (F.col("nearest.class") > limits.both_class)
+                & (F.col("nearest.word") > limits.both_word)
+            ),
+        )
+        .when(
+            F.col("own_class").isNotNull(),
+            long & (F.least("own_class", F.col("nearest.class")) > limits.class_distance),
+        )
+        .otherwise(False)
     )
     return rows.withColumns(
         {
-            "class_distance": F.col("nearest.class"),
-            "word_distance": F.col("nearest.word"),
+            "class_distance": F.when(by_own, F.col("own_class")).otherwise(F.col("nearest.class")),
+            "word_distance": F.when(~by_own, F.col("nearest.word")),
             "kept": ~F.col("base_failed") & ~strange,
         }
-    ).drop("nearest")
+    ).drop("nearest", "own_class", "own_lang", "own_classes")
 
 
 def verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """doc_id, the features of the base rules, the distances and the verdict of every row."""
     rows = written(judged(docs.select("doc_id", "lang", "text")).drop("text"), "quality-features")
-    done = with_verdict(rows, references(rows, limits), limits)
+    done = with_verdict(rows, references(rows, limits), class_references(rows, limits), limits)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return done.select(
         "doc_id", *[F.col(f"f.{n}").alias(n) for n in names], "base_failed", "kept", "class_distance", "word_distance"
@@ -258,6 +295,7 @@ def verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged."""
     slim = docs.select(F.col("lang"), features(F.col("text")).alias("f"))
-    refs = references(written(slim, "quality-features"), limits)
-    packed = docs.select(F.struct(*docs.columns).alias("doc"), "text")  # no clash with other columns
-    return with_verdict(judged(packed), refs, limits).where("kept").select("doc.*")
+    seen = written(slim, "quality-features")
+    refs = references(seen, limits)
+    packed = docs.select(F.struct(*docs.columns).alias("doc"), "lang", "text")  # no clash with other columns
+    return with_verdict(judged(packed), refs, class_references(seen, limits), limits).where("kept").select("doc.*")

@@ -232,6 +232,20 @@ def test_quality_keeps_good_texts(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.2 * len(bad)
 
 
+def test_quality_of_languages_without_word_list(spark):
+    """Other scripts are held against their own label, and pass where it has no reference."""
+    rng = np.random.default_rng(3)
+    russian = [" ".join("".join(map(chr, rng.integers(0x430, 0x450, 6))) for _ in range(120)) for _ in range(40)]
+    english = [" ".join(rng.choice(PROSE.split(), 200)) for _ in range(40)]
+    junk = " ".join(f"#*$%&|<>{'#$%&|<>*'[i % 8:]}{'&%#'[i % 3:]}{i * i}" for i in range(200))
+    rows = [("ru", t) for t in russian] + [("en", t) for t in english] + [("el", russian[0]), (None, russian[1]), ("en", junk), ("ru", junk)]
+    for data in (rows, rows[:40] + rows[-1:]):  # also where no language has a word list
+        frame = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "doc_id long, lang string, text string")
+        kept = {r["doc_id"] for r in quality.kept_documents(frame).collect()}
+        assert kept == {i for i, (_, t) in enumerate(data) if t != junk}
+        assert kept == {r["doc_id"] for r in quality.verdicts(frame).collect() if r["kept"]}
+
+
 def test_js_distance(spark):
     one = spark.range(1).select(quality.js_distance(F.array(F.lit(1.0), F.lit(0.0)), [0.0, 1.0]).alias("d")).first()
     same = spark.range(1).select(quality.js_distance(F.array(F.lit(0.5), F.lit(0.5)), [0.5, 0.5]).alias("d")).first()
