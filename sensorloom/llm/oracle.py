@@ -94,9 +94,59 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(places.n, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN places USING (rid) LEFT JOIN items USING (rid)
 """
 
+def _ngrams(size: int) -> str:
+    return f"""SELECT lang, array_to_string(w[i:i + {size - 1}], ' ') AS p, count(*) AS f FROM (
+        SELECT lang, w, unnest(range(1, len(w) - {size - 2})) AS i FROM pieces WHERE len(w) >= {size}) GROUP BY ALL"""
+
+
+COLLOCATIONS = rf"""
+WITH cut AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOW}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+), pieces AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM cut),
+one AS ({_ngrams(1)}), two AS ({_ngrams(2)}), three AS ({_ngrams(3)}),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang),
+often2 AS (SELECT *, string_split(p, ' ') AS w FROM two WHERE f >= 10),
+often3 AS (SELECT *, string_split(p, ' ') AS w FROM three WHERE f >= 10),
+cuts AS (
+    SELECT c.lang, c.p, c.f AS a, 1 AS k, x.f AS l, y.f AS r FROM often2 c
+    JOIN one x ON x.lang = c.lang AND x.p = c.w[1] JOIN one y ON y.lang = c.lang AND y.p = c.w[2]
+    UNION ALL SELECT c.lang, c.p, c.f, 1, x.f, y.f FROM often3 c
+    JOIN one x ON x.lang = c.lang AND x.p = c.w[1]
+    JOIN often2 y ON y.lang = c.lang AND y.p = array_to_string(c.w[2:3], ' ')
+    UNION ALL SELECT c.lang, c.p, c.f, 2, x.f, y.f FROM often3 c
+    JOIN often2 x ON x.lang = c.lang AND x.p = array_to_string(c.w[1:2], ' ')
+    JOIN one y ON y.lang = c.lang AND y.p = c.w[3]
+), scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+low AS (SELECT lang, p, a, arg_min(l, score * 2 + k - 1) AS l, arg_min(r, score * 2 + k - 1) AS r, min(score) AS score
+    FROM scored GROUP BY lang, p, a),
+covered AS (
+    SELECT DISTINCT b.lang, b.p FROM often2 b JOIN (
+        SELECT lang, f, array_to_string(w[1:2], ' ') AS p FROM often3
+        UNION ALL SELECT lang, f, array_to_string(w[2:3], ' ') FROM often3
+    ) c ON c.lang = b.lang AND c.p = b.p AND 100 * c.f >= 50 * b.f
+), ranked AS (
+    SELECT low.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p ASC) AS rank
+    FROM low ANTI JOIN covered USING (lang, p)
+)
+SELECT lang, rank::BIGINT AS rank, p AS phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+HISTOGRAM_TOPK = """
+WITH v AS (
+    SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+    SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON c.rid <> q.rid AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id ASC NULLS LAST) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op1_ngram_join": NGRAM_JOIN,
     "op2_secret_ledger": SECRET_LEDGER,
     "op8_warc_dictionary": WARC,
     "op9_winnowing": WINNOWING,
+    "op11_collocation_tiles": COLLOCATIONS,
+    "op12_histogram_topk": HISTOGRAM_TOPK,
 }

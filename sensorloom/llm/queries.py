@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import bloom_lm, feistel_pii, html_main, lang_cnn, ngram_join, packing, quality, secret_ledger, warc, winnow
+from sensorloom.llm import (
+    bloom_lm,
+    collocations,
+    feistel_pii,
+    html_main,
+    lang_cnn,
+    ngram_join,
+    packing,
+    quality,
+    secret_ledger,
+    topk,
+    turns,
+    warc,
+    winnow,
+)
 from sensorloom.llm.common import small_batches, table
 from sensorloom.session import ship_package
 
@@ -80,3 +94,18 @@ def op9_winnowing(spark, sf_dir):
 @query
 def op10_text_tag_ratio(spark, sf_dir):
     return html_main.extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_collocation_tiles(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_histogram_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_viterbi_repair(spark, sf_dir):
+    return turns.repaired(table(spark, sf_dir, "conversations"))
