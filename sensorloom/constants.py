@@ -7,6 +7,17 @@ TOPIC_CLEANED = "data-topic-cleaned"
 TOPIC_PROCESSED = "processed-data-topic"
 TOPIC_SIGNALS = "signals-topic"
 
+#: The lifecycle channel and the topics, in the order in which records of one instant count.
+SOURCE_LIFECYCLE = "sensor-lifecycle"
+SOURCES = (
+    SOURCE_LIFECYCLE,
+    TOPIC_TEMPERATURE,
+    TOPIC_PRESSURE,
+    TOPIC_CLEANED,
+    TOPIC_PROCESSED,
+    TOPIC_SIGNALS,
+)
+
 TYPE_DATA = "DATA"
 TYPE_MARKER = "LATENCY_MARKER"
 TYPE_UNHANDLED = "UNHANDLED"

@@ -1,7 +1,7 @@
 """Running aggregates whose work is split inside a key.
 
 A plain ``Window.partitionBy(key).orderBy(order)`` sends a whole key to one task. Here a key is cut
-into chunks of its order column; each chunk is first reduced to one summary row (with map-side
+into chunks of its order's clock; each chunk is first reduced to one summary row (with map-side
 partial aggregation), the summaries are scanned per key, and what they add up to *before* a chunk is
 put in front of that chunk as one seed row. One window over (key, chunk) then yields the exact
 global running value, no task holding more than one chunk of a key, at the price of one shuffle.
@@ -37,23 +37,24 @@ class Running:
         return {"max": F.max, "min": F.min, "sum": F.sum}[self.op](name).over(window)
 
     def summary(self, name: str, order: str) -> Column:
+        """The value of a chunk. The order may be a struct."""
         if self.op == "last":
             return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(order)))
         return {"max": F.max, "min": F.min, "sum": F.sum}[self.op](name)
 
 
 def with_running(
-    df: DataFrame, keys: list[str], order: str, width: int, **values: Running
+    df: DataFrame, keys: list[str], order: str, width: int, clock: Column | None = None, **values: Running
 ) -> DataFrame:
     """Add one column per entry of ``values``, running over ``keys`` by ``order``.
 
-    ``order`` is a non-null LONG that orders the rows of a key (a record offset, say), unique
-    within the key. ``width`` is the chunk size in units of ``order``: with record offsets, a chunk
-    holds at most ``width`` rows however hot its key is. Small keys fit in one chunk and pay almost
-    nothing.
+    ``order`` is a non-null column, unique within the key: a LONG, or a struct such as an arrival order.
+    ``clock`` is a LONG that never falls along it (by default the order itself), and ``width`` the chunk size
+    in its units: a hot key is as many chunks as it has such stretches of time. Small keys fit in one chunk and pay
+    almost nothing. ``df`` is evaluated twice, so it should be a written table where it is costly.
     """
     inputs = {f"__in_{name}": value for name, value in values.items()}
-    rows = df.withColumn(_CHUNK, bucket_number(F.col(order), width))
+    rows = df.withColumn(_CHUNK, bucket_number(F.col(order) if clock is None else clock, width))
     rows = rows.withColumns({name: value.expr for name, value in inputs.items()})
 
     groups = [*keys, _CHUNK]

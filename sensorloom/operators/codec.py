@@ -11,6 +11,7 @@ from sensorloom.constants import (
     TYPE_DATA,
     TYPE_MARKER,
 )
+from sensorloom.functions.arrival import record_arrival
 from sensorloom.functions.scalars import first_nonzero, or_key, stable_id
 from sensorloom.functions.times import clock_text, parse_rfc3339, rfc3339_seconds
 
@@ -23,8 +24,8 @@ def parse_once(frame: DataFrame, **parsed: tuple[Column, object]) -> DataFrame:
     """Add struct columns parsed from JSON text, ``name=(text, schema)``, null for null text.
 
     Parsing is strict: quotes are double, numbers are numbers, and nothing follows the value. Spark's
-    parser stops at the end of a value, so the text is also read as one member of an object whose last
-    member must be reached; text after the value spoils that. That second reading builds no fields.
+    parser stops at the end of a value, so the text is read as one member of an object whose last member
+    must be reached; text after the value spoils that. One parse gives the value, the end and the corrupt text.
 
     Exploding a one-element array keeps the parse out of reach of the optimizer's filter push-down
     and projection merging, which would copy it into every expression that looks at a field.
@@ -37,16 +38,18 @@ def parse_once(frame: DataFrame, **parsed: tuple[Column, object]) -> DataFrame:
     }
     for name, (text, schema) in parsed.items():
         wrapped = F.concat(F.lit('{"value":'), text, F.lit(f',"{_LAST}":1}}'))
-        both = F.struct(
-            F.from_json(text, schema, options).alias("value"),
-            F.from_json(wrapped, T.StructType([T.StructField(_LAST, T.IntegerType())]), options)[_LAST].alias("end"),
+        fields = T.StructType([f for f in schema if f.name != schemas.CORRUPT])
+        whole = T.StructType(
+            [
+                T.StructField("value", fields),
+                T.StructField(_LAST, T.IntegerType()),
+                T.StructField(schemas.CORRUPT, T.StringType()),
+            ]
         )
-        frame = frame.select("*", F.explode(F.array(both)).alias("__both"))
-        corrupt = F.coalesce(
-            F.col(f"__both.value.{schemas.CORRUPT}"), F.when(F.col("__both.end").isNull(), text)
-        )
-        value = F.col("__both.value").withField(schemas.CORRUPT, corrupt)
-        frame = frame.withColumn(name, value).drop("__both")
+        frame = frame.select("*", F.explode(F.array(F.from_json(wrapped, whole, options))).alias("__whole"))
+        spoilt = F.col(f"__whole.{schemas.CORRUPT}").isNotNull() | F.col(f"__whole.{_LAST}").isNull()
+        value = F.col("__whole.value").withField(schemas.CORRUPT, F.when(spoilt, text))
+        frame = frame.withColumn(name, value).drop("__whole")
     return frame
 
 
@@ -57,7 +60,8 @@ def unusable(parsed: str) -> Column:
 def decode_envelope(records: DataFrame) -> DataFrame:
     """Add ``type, payload, ingress_ts_nano, has_marker, malformed`` parsed from ``value``.
 
-    The payload stays raw JSON text. A present marker without its number reads as 0.
+    The payload stays raw JSON text. A present marker without its number reads as 0. Nothing of a malformed
+    record is read: its type is empty.
     """
     parsed = parse_once(records, __env=(F.col("value"), schemas.ENVELOPE))
     return parsed.select(
@@ -140,7 +144,7 @@ def decode_telemetry(cleaned: DataFrame) -> DataFrame:
 
 
 def to_window_items(telemetry: DataFrame, now: Column) -> DataFrame:
-    """Telemetry as window input ``sensor_id, machine_id, ts, value, offset``.
+    """Telemetry as window input ``sensor_id, machine_id, ts, value, arrived``.
 
     A missing measure becomes 0.0 and an unreadable time becomes ``now``.
     """
@@ -149,7 +153,7 @@ def to_window_items(telemetry: DataFrame, now: Column) -> DataFrame:
         "machine_id",
         parse_rfc3339(F.col("event_time_text"), now).alias("ts"),
         first_nonzero(F.col("temperature_celsius"), F.col("pressure_bar")).alias("value"),
-        "offset",
+        record_arrival(),
     )
 
 
@@ -163,7 +167,7 @@ def to_telemetry_points(telemetry: DataFrame, now: Column) -> DataFrame:
         .alias("metric_type"),
         F.coalesce("temperature_celsius", "pressure_bar").alias("value"),
         parse_rfc3339(F.col("event_time_text"), now).alias("ts"),
-        F.col("offset").alias("arrival"),
+        record_arrival(),
     ).where(F.col("value").isNotNull())
 
 
@@ -221,7 +225,7 @@ def reading_envelope() -> Column:
 def encode_readings(clean: DataFrame) -> DataFrame:
     """Clean readings as cleaned-topic records ``key, value``, keyed by sensor."""
     return clean.select(
-        F.col("sensor_id").alias("key"), reading_envelope().alias("value"), "offset", "timestamp"
+        F.col("sensor_id").alias("key"), reading_envelope().alias("value"), "partition", "offset", "timestamp"
     )
 
 
@@ -256,9 +260,29 @@ def encode_windows(windows: DataFrame, emitted_at: Column) -> DataFrame:
     )
 
 
+def window_records(windows: DataFrame, emitted_at: Column) -> DataFrame:
+    """Window rows as records of the processed topic, with the columns a topic in files needs.
+
+    ``windows`` has ``session_no``. Records of one sensor are in order: two windows of one instant belong to
+    two sessions.
+    """
+    return windows.select(
+        F.col("sensor_id").alias("key"),
+        processed_envelope(emitted_at, F.col("session_no")).alias("value"),
+        F.lit(0).alias("partition"),
+        (F.unix_micros("window_end") + F.col("session_no")).alias("offset"),
+        emitted_at.alias("timestamp"),
+    )
+
+
+def marker_records(routed: DataFrame) -> DataFrame:
+    """Latency markers as records of the next topic, unchanged."""
+    return routed.where(F.col("route") == MARKER).select("key", "value", "partition", "offset", "timestamp")
+
+
 def markers(routed: DataFrame) -> DataFrame:
     """Latency markers, key and value unchanged."""
-    return routed.where(F.col("route") == MARKER).select("key", "value", "topic", "offset")
+    return routed.where(F.col("route") == MARKER).select("key", "value", "topic", "partition", "offset")
 
 
 def marker_latency_ms(ingress_ts_nano: Column, now_nano: Column) -> Column:

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom import schemas
 from sensorloom.constants import COMMAND_STOP, TYPE_DATA, TYPE_MARKER, TYPE_UNHANDLED
+from sensorloom.functions.arrival import ARRIVED, record_arrival
 from sensorloom.operators.codec import DATA, MARKER, UNHANDLED, parse_once, unusable
+from sensorloom.operators.points import last_write_wins
 
 LIMITS = ("min_threshold", "max_threshold", "max_std_dev", "max_drift")
 OUT_OF_RANGE, UNSTABLE, DRIFT = "out_of_range", "instability", "drift"
@@ -92,18 +94,20 @@ def alarms(judged: DataFrame) -> DataFrame:
 
 
 def encode_alarms(alarm_rows: DataFrame) -> DataFrame:
-    """Alarms as signal-topic records keyed by sensor."""
+    """Alarms as signal-topic records keyed by sensor; other columns go along."""
     body = F.struct(F.col("sensor_id").alias("sensorId"), "command")
-    return alarm_rows.select(F.col("sensor_id").alias("key"), F.to_json(body).alias("value"))
+    rest = [name for name in alarm_rows.columns if name not in ("sensor_id", "command")]
+    return alarm_rows.select(F.col("sensor_id").alias("key"), F.to_json(body).alias("value"), *rest)
 
 
 def decode_commands(records: DataFrame) -> DataFrame:
-    """Signal-topic records as ``sensor_id, command, offset``; malformed ones are skipped."""
+    """Signal-topic records as ``sensor_id, command, partition, offset``; malformed ones are skipped."""
     parsed = parse_once(records, __a=(F.col("value"), schemas.ALARM))
     return parsed.where(~unusable("__a")).select(
         "key",
         F.coalesce("__a.sensorId", F.lit("")).alias("sensor_id"),
         F.coalesce("__a.command", F.lit("")).alias("command"),
+        "partition",
         "offset",
     )
 
@@ -114,10 +118,9 @@ def stop_commands(records: DataFrame) -> DataFrame:
 
 
 def compacted(records: DataFrame) -> DataFrame:
-    """Log compaction: the last value per key."""
-    return records.groupBy("key").agg(
-        F.max_by("value", "offset").alias("value"), F.max("offset").alias("offset")
-    )
+    """Log compaction: the last record per key, in arrival order."""
+    keyed = records.select("key", "value", record_arrival())
+    return last_write_wins(keyed, ["key"], ARRIVED)
 
 
 def decision_outcomes(records: DataFrame, config: DataFrame) -> DataFrame:

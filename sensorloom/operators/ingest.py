@@ -110,7 +110,7 @@ def ingest_outcomes(
         .when(~_valid(checks), "out_of_range")
         .otherwise("accepted")
     )
-    return typed.select("key", "topic", "offset", outcome.alias("outcome"))
+    return typed.select("key", "topic", "partition", "offset", outcome.alias("outcome"))
 
 
 def reject_reasons(

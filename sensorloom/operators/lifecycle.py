@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.constants import MICROS, READY, STOPPED, WARM_UP
+from sensorloom.functions.arrival import ARRIVED, arrival_us
 from sensorloom.functions.running import Running, with_running
-from sensorloom.operators.windows import WindowSpec, with_event_clock
 from sensorloom.functions.times import bucket_number
+from sensorloom.operators.points import last_write_wins
+from sensorloom.operators.windows import WindowSpec, with_event_clock
+from sensorloom.session import written
 
 
 def parse_lifecycle(messages: DataFrame) -> DataFrame:
@@ -30,9 +33,9 @@ def parse_lifecycle(messages: DataFrame) -> DataFrame:
 
 def _heard(readings: DataFrame, lifecycle: DataFrame) -> DataFrame:
     """Lifecycle events that find their sensor already known."""
-    known = readings.groupBy("sensor_id").agg(F.min("offset").alias("__first"))
+    known = readings.groupBy("sensor_id").agg(F.min(ARRIVED).alias("__first"))
     return (
-        lifecycle.join(known, "sensor_id").where(F.col("offset") > F.col("__first")).drop("__first")
+        lifecycle.join(known, "sensor_id").where(F.col(ARRIVED) > F.col("__first")).drop("__first")
     )
 
 
@@ -45,16 +48,19 @@ def _state_values() -> dict[str, Running]:
     }
 
 
-def _merged(readings: DataFrame, lifecycle: DataFrame, chunk: int) -> DataFrame:
+def _merged(readings: DataFrame, lifecycle: DataFrame, chunk_us: int) -> DataFrame:
     """Readings and the lifecycle events they hear, each with the state in force from it on:
-    ``state, session_no, stopped`` and ``is_event``."""
+    ``state, session_no, stopped`` and ``is_event``.
+
+    Both kinds are written as one table first, which the running values read twice.
+    """
     tagged = readings.withColumns({"__state": F.lit(None).cast("string"), "is_event": F.lit(False)})
     heard = _heard(readings, lifecycle).withColumns(
         {"__state": F.col("state"), "is_event": F.lit(True)}
     )
     heard = heard.drop("state", *set(heard.columns) & {"machine_id", "value", "ts"})
-    merged = tagged.unionByName(heard, allowMissingColumns=True)
-    states = with_running(merged, ["sensor_id"], "offset", chunk, **_state_values())
+    merged = written(tagged.unionByName(heard, allowMissingColumns=True), "heard")
+    states = with_running(merged, ["sensor_id"], ARRIVED, chunk_us, arrival_us(), **_state_values())
     return states.select(
         *[name for name in merged.columns],
         "state",
@@ -64,25 +70,25 @@ def _merged(readings: DataFrame, lifecycle: DataFrame, chunk: int) -> DataFrame:
 
 
 def with_lifecycle(
-    readings: DataFrame, lifecycle: DataFrame, chunk: int = WindowSpec.chunk
+    readings: DataFrame, lifecycle: DataFrame, chunk_us: int = WindowSpec().chunk_us
 ) -> DataFrame:
     """Readings with the lifecycle in force on their arrival: ``state`` (null before the first
     event), ``session_no`` and ``stopped``.
 
-    Both frames need ``sensor_id`` and an ``offset`` on one arrival order.
+    Both frames need ``sensor_id`` and ``arrived``, on one arrival order over all their sources.
     """
-    merged = _merged(readings, lifecycle.select("sensor_id", "state", "offset"), chunk)
+    merged = _merged(readings, lifecycle.select("sensor_id", "state", ARRIVED), chunk_us)
     return merged.where(~F.col("is_event")).select(
         *readings.columns, "state", "session_no", "stopped"
     )
 
 
 def accepted(
-    readings: DataFrame, lifecycle: DataFrame, chunk: int = WindowSpec.chunk
+    readings: DataFrame, lifecycle: DataFrame, chunk_us: int = WindowSpec().chunk_us
 ) -> DataFrame:
     """Readings of running sensors with their ``session_no``."""
     return (
-        with_lifecycle(readings, lifecycle, chunk)
+        with_lifecycle(readings, lifecycle, chunk_us)
         .where(~F.col("stopped"))
         .select(*readings.columns, "session_no")
     )
@@ -91,53 +97,52 @@ def accepted(
 def stop_purges(
     readings: DataFrame, lifecycle: DataFrame, spec: WindowSpec = WindowSpec()
 ) -> DataFrame:
-    """What each STOPPED event leaves of the sensor's buffer: ``sensor_id, offset, stop_ts,
+    """What each STOPPED event leaves of the sensor's buffer: ``sensor_id, session_no, arrived, stop_ts,
     n_kept, n_purged``.
 
     A stop keeps buffered items with ``ts <= stop_ts``; a stop without a readable time keeps none.
     ``lifecycle`` carries ``stop_ts``.
+
+    An item is in the buffer from its arrival until the event clock leaves it a window behind, or until the
+    first stop that purges it. So an item looks up the stops of the two stretches of the event clock in which it
+    can live, folds them in order, and counts for each stop up to the first that purges it: one equi-join, no
+    pairs of items, and no join back.
     """
     keys = ["sensor_id", "session_no"]
-    merged = _merged(
-        readings, lifecycle.select("sensor_id", "state", "offset", "stop_ts"), spec.chunk
-    )
+    merged = _merged(readings, lifecycle.select("sensor_id", "state", ARRIVED, "stop_ts"), spec.chunk_us)
     relevant = merged.where(
         F.when(F.col("is_event"), F.col("__state") == STOPPED).otherwise(~F.col("stopped"))
-    )
-    clocked = with_event_clock(relevant, keys, spec)
-    items = clocked.where(~F.col("is_event") & ~F.col("is_late")).select(
+    ).select(*keys, ARRIVED, "ts", "stop_ts", "is_event")
+    clocked = with_event_clock(written(relevant, "relevant"), keys, spec)
+    clocked = clocked.where(F.col("is_event") | ~F.col("is_late")).select(
+        *keys, ARRIVED, "ts_us", "stop_ts", "is_event", "max_us", bucket_number(F.col("max_us"), spec.size_us).alias("__b")
+    )
+    clocked = written(clocked, "clocked")
+    stops = clocked.where("is_event")
+    stop = F.struct(ARRIVED, F.col("max_us").alias("at_us"), F.unix_micros("stop_ts").alias("stop_us"))
+    # A stop is looked up from its own stretch and the one before. Arrays are per stretch of a session.
+    probes = stops.where("max_us is not null").select(*keys, F.explode(F.array("__b", F.col("__b") - 1)).alias("__b"), stop.alias("stop"))
+    probes = probes.groupBy(*keys, "__b").agg(F.array_sort(F.collect_list("stop")).alias("__stops"))
+    met = F.filter(
+        "__stops",
+        lambda s: (s[ARRIVED] > F.col(ARRIVED)) & (s["at_us"] <= F.col("max_us") + F.lit(spec.size_us)),
+    )
+    stays = F.transform("__met", lambda s: F.coalesce(F.col("ts_us") <= s["stop_us"], F.lit(False)))
+    gone = F.array_position("__stays", F.lit(False))
+    alive = F.when(gone > 0, gone).otherwise(F.size("__met")).cast("int")
+    fates = (
+        clocked.where(~F.col("is_event"))
+        .join(probes, [*keys, "__b"])
+        .withColumn("__met", met)
+        .where(F.size("__met") > 0)
+        .withColumn("__stays", stays)
+        .select(*keys, F.explode(F.slice(F.arrays_zip("__met", "__stays"), F.lit(1), alive)).alias("fate"))
+        .groupBy(*keys, F.col(f"fate.__met.{ARRIVED}").alias(ARRIVED))
+        .agg(F.count_if("fate.__stays").alias("n_kept"), F.count_if(~F.col("fate.__stays")).alias("n_purged"))
+    )
+    return stops.join(fates, [*keys, ARRIVED], "left").select(
         *keys,
-        F.col("offset").alias("item"),
-        "ts_us",
-        "max_us",
-        bucket_number(F.col("max_us"), spec.size_us).alias("__b"),
-    )
-    stops = clocked.where("is_event").select(
-        *keys, "offset", "stop_ts", F.col("max_us").alias("at_us")
-    )
-    at = bucket_number(F.col("at_us"), spec.size_us)
-    probes = stops.where("at_us is not null").withColumn(
-        "__b", F.explode(F.array(at - 1, at))
-    )
-    held = items.join(probes, [*keys, "__b"]).where(
-        (F.col("item") < F.col("offset"))
-        & (F.col("max_us") >= F.col("at_us") - F.lit(spec.size_us))
-    )
-    stays = F.coalesce(F.col("ts_us") <= F.unix_micros("stop_ts"), F.lit(False))
-    purged_at = held.where(~stays).groupBy(*keys, "item").agg(F.min("offset").alias("__gone"))
-    fate = (
-        held.join(purged_at, [*keys, "item"], "left")
-        .where(F.col("__gone").isNull() | (F.col("__gone") >= F.col("offset")))
-        .groupBy(*keys, "offset")
-        .agg(
-            F.count_if(stays).alias("n_kept"),
-            F.count_if(~stays).alias("n_purged"),
-        )
-    )
-    return stops.join(fate, [*keys, "offset"], "left").select(
-        "sensor_id",
-        "session_no",
-        "offset",
+        ARRIVED,
         "stop_ts",
         F.coalesce("n_kept", F.lit(0)).alias("n_kept"),
         F.coalesce("n_purged", F.lit(0)).alias("n_purged"),
@@ -145,22 +150,23 @@ def stop_purges(
 
 
 def latest_status(lifecycle: DataFrame) -> DataFrame:
-    """The current status per sensor, by the last lifecycle event."""
-    return lifecycle.groupBy("sensor_id").agg(
-        F.max_by("machine_id", "offset").alias("machine_id"),
-        F.max_by("state", "offset").alias("status"),
-    )
+    """The current status per sensor, by the last lifecycle event to arrive."""
+    events = lifecycle.select("sensor_id", "machine_id", F.col("state").alias("status"), ARRIVED)
+    return last_write_wins(events, ["sensor_id"], ARRIVED).drop(ARRIVED)
 
 
-def state_intervals(lifecycle: DataFrame, chunk: int = WindowSpec.chunk) -> DataFrame:
+def state_intervals(lifecycle: DataFrame, chunk_us: int = WindowSpec().chunk_us) -> DataFrame:
     """Time spent in each state: ``sensor_id, state, start_ts, end_ts, seconds``; the running
     state of a sensor has no end yet."""
-    backwards = lifecycle.withColumn("__back", -F.col("offset"))
+    back = F.struct(
+        (-arrival_us()).alias("at"), *[(-F.col(f"{ARRIVED}.{f}")).alias(f) for f in ("source", "partition", "offset")]
+    )
     following = with_running(
-        backwards,
+        lifecycle.withColumn("__back", back),
         ["sensor_id"],
         "__back",
-        chunk,
+        chunk_us,
+        -arrival_us(),
         end_ts=Running("last", F.col("event_ts"), inclusive=False),
     )
     span: Column = F.unix_micros("end_ts") - F.unix_micros("event_ts")

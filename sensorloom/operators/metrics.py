@@ -10,6 +10,7 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.constants import LATENCY_BOUNDS, MICROS, SEEDED_COUNTERS
+from sensorloom.functions.arrival import ARRIVED
 from sensorloom.functions.running import Running, with_running
 from sensorloom.functions.times import micros
 from sensorloom.session import written
@@ -53,8 +54,8 @@ def latency_histogram(seconds_rows: DataFrame, seconds: str) -> DataFrame:
     return totals.select(F.inline(rows), "total_seconds", "total_n")
 
 
-def last_lag(rows: DataFrame, lag_seconds: Column, order: str = "offset") -> DataFrame:
-    """The processing-lag gauge: the last value set per sensor."""
+def last_lag(rows: DataFrame, lag_seconds: Column, order: str = ARRIVED) -> DataFrame:
+    """The processing-lag gauge: the last value set per sensor, in arrival order."""
     return (
         rows.select("sensor_id", order, lag_seconds.alias("__lag"))
         .groupBy("sensor_id")

@@ -17,19 +17,14 @@ SERIES = ("machine_id", "sensor_id")
 
 
 def last_write_wins(points: DataFrame, identity: list[str], arrival: str) -> DataFrame:
-    """One row per identity: that of the last arrival.
+    """One row per identity: that of the last arrival (a LONG or an arrival order).
 
-    Aggregation rather than a ranking window, so duplicates already collapse before the shuffle.
+    Aggregation rather than a ranking window, so duplicates already collapse before the shuffle: the whole
+    last row is one maximum, of a struct that begins with the arrival.
     """
     others = [name for name in points.columns if name not in (*identity, arrival)]
-    return (
-        points.groupBy(*identity)
-        .agg(
-            *[F.max_by(name, arrival).alias(name) for name in others],
-            F.max(arrival).alias(arrival),
-        )
-        .select(points.columns)
-    )
+    last = points.groupBy(*identity).agg(F.max(F.struct(arrival, *others)).alias("__last"))
+    return last.select(*[F.col(n) if n in identity else F.col(f"__last.{n}").alias(n) for n in points.columns])
 
 
 def window_points(windows: DataFrame, time_col: str = "window_end") -> DataFrame:

@@ -15,20 +15,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.constants import LATENESS_SECONDS, MICROS, SLIDE_SECONDS, WINDOW_SECONDS
+from sensorloom.functions.arrival import ARRIVED, arrival_us
 from sensorloom.functions.running import Running, with_running
 from sensorloom.functions.times import bucket_number, micros
 from sensorloom.operators.gate import evaluation_points
 from sensorloom.session import written
 
 
+#: Half an hour of arrivals of one sensor.
+CHUNK_SECONDS = 1800
+
+
 @dataclass(frozen=True)
 class WindowSpec:
-    """Durations in seconds; ``chunk`` is the offset range one task handles per sensor."""
+    """Durations in seconds; ``chunk`` is the stretch of arrivals one task handles per sensor."""
 
     size: float = WINDOW_SECONDS
     slide: float = SLIDE_SECONDS
     lateness: float = LATENESS_SECONDS
-    chunk: int = 1 << 20
+    chunk: float = CHUNK_SECONDS
 
     @property
     def size_us(self) -> int:
@@ -42,18 +47,24 @@ class WindowSpec:
     def lateness_us(self) -> int:
         return micros(self.lateness)
 
+    @property
+    def chunk_us(self) -> int:
+        return micros(self.chunk)
+
 
 def with_event_clock(readings: DataFrame, keys: list[str], spec: WindowSpec) -> DataFrame:
     """Add ``ts_us``, the running maximum ``max_us``, ``is_new_max``, ``watermark_us``, ``is_late``.
 
-    Late rows cannot raise the maximum, so it may run over all rows.
+    The maximum runs over the arrival order of all sources and partitions. Late rows cannot raise it, so it may
+    run over all rows.
     """
     ts_us = F.unix_micros("ts")
     tracked = with_running(
         readings.withColumn("ts_us", ts_us),
         keys,
-        "offset",
-        spec.chunk,
+        ARRIVED,
+        spec.chunk_us,
+        arrival_us(),
         max_us=Running("max", F.col("ts_us")),
         __before=Running("max", F.col("ts_us"), inclusive=False),
     )
@@ -117,7 +128,7 @@ def sliding_windows(
 ) -> DataFrame:
     """One row per evaluation of every sensor (and session, if among ``keys``).
 
-    ``readings`` has ``sensor_id, machine_id, ts, value, offset``. The kept rows are written once
+    ``readings`` has ``sensor_id, machine_id, ts, value, arrived``. The kept rows are written once
     to the shared folder, since the gate and the buffers both read them.
     """
     keys = keys or ["sensor_id"]

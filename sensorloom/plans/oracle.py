@@ -9,7 +9,6 @@ from __future__ import annotations
 HOUR_US = 3_600_000_000
 SIZE, SLIDE, LATENESS = 60 * HOUR_US, 30 * HOUR_US, 15 * HOUR_US
 RANGE, BUCKET = 180 * HOUR_US, 120 * HOUR_US
-EPOCH = 1_704_067_200_000_000
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 COUNTER_NOW = "TIMESTAMP '2024-01-16 12:00:00'"
 STATS = ("min_value", "mean_value", "max_value", "std_dev", "rate_of_change")
@@ -23,8 +22,14 @@ def r(expr: str, digits: int = 6) -> str:
     return f"(round({expr}, {digits}) + 0.0::DOUBLE)"
 
 
-def offset(ts: str, tie: str) -> str:
-    return f"((epoch_us({ts}) - {EPOCH}::BIGINT) * 2097152::BIGINT + {tie})::BIGINT"
+def arrived(at: str, source: str, partition: str, offset: str) -> str:
+    """The arrival order over sources and partitions; structs are compared field by field."""
+    return f"""{{'at': {at}, 'source': ({source})::INTEGER, 'partition': ({partition})::INTEGER,
+      'offset': ({offset})::BIGINT}}"""
+
+
+SPREAD = """arrived."at" AS recorded, arrived.source AS source, arrived."partition" AS "partition",
+  arrived."offset" AS "offset\""""
 
 
 BASE = f"""base AS (
@@ -35,8 +40,9 @@ BASE = f"""base AS (
          ELSE 'temperature-topic-sensor' END AS topic,
     CASE WHEN event_id % 100 = 0 THEN CAST(-999.99 AS DOUBLE) ELSE value END AS value,
     ts + to_hours(CAST((event_id * 7919) % 48 AS INTEGER)) AS arrival,
-    {offset("ts + to_hours(CAST((event_id * 7919) % 48 AS INTEGER))",
-            "1048576 + event_id % 1048576")} AS "offset"
+    (event_id % 4)::INTEGER AS "partition", event_id // 4 AS "offset",
+    {arrived("ts + to_hours(CAST((event_id * 7919) % 48 AS INTEGER))",
+             "CASE WHEN user_id % 2 = 0 THEN 2 ELSE 1 END", "event_id % 4", "event_id // 4")} AS arrived
   FROM events)"""
 
 RECORDS = """records AS (
@@ -69,10 +75,10 @@ def sliding(keys: tuple[str, ...] = ("sensor_id",)) -> str:
     ek = ", ".join(f"e.{c}" for c in keys)
     return f"""clocked AS (
   SELECT *, epoch_us(ts) AS ts_us,
-    max(epoch_us(ts)) OVER (PARTITION BY {k} ORDER BY "offset" ROWS UNBOUNDED PRECEDING) AS max_us
+    max(epoch_us(ts)) OVER (PARTITION BY {k} ORDER BY arrived ROWS UNBOUNDED PRECEDING) AS max_us
   FROM items),
 kept AS (
-  SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY "offset") AS rn
+  SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY arrived) AS rn
   FROM clocked WHERE ts_us >= max_us - {LATENESS}::BIGINT),
 replay AS (
   SELECT {k}, rn, max_us AS last_us, true AS fires FROM kept WHERE rn = 1
@@ -148,22 +154,25 @@ normal AS (
     max_std_dev::FLOAT::DOUBLE AS max_std_dev, max_drift::FLOAT::DOUBLE AS max_drift
   FROM requests)"""
 
-LIFECYCLE = f"""messages AS (
+def lifecycle_of(rows: str = "base") -> str:
+    """CTEs from the readings ``rows`` (``sensor_id, arrived, event_id``) to ``in_force``: each with the
+    lifecycle that its sensor has heard of by then."""
+    return f"""messages AS (
   SELECT sensor_id, machine_id, state, event_id, ts + to_hours(after) AS event_ts,
     CASE WHEN state = 'STOPPED' THEN ts - to_hours(10) END AS stop_ts,
-    {offset("ts + to_hours(after)", "event_id % 1048576")} AS "offset"
-  FROM base, (VALUES ('STOPPED', 0), ('WARM-UP', 20), ('READY', 24)) AS s(state, after)
+    {arrived("ts + to_hours(after)", "0", "0", "event_id * 3 + number")} AS arrived
+  FROM base, (VALUES ('STOPPED', 0, 0), ('WARM-UP', 20, 1), ('READY', 24, 2)) AS s(state, after, number)
   WHERE event_id % 29 = 3),
 lifecycle AS (SELECT * FROM messages WHERE event_id % 23 <> 5),
 heard AS (
   SELECT l.* FROM lifecycle l
-  JOIN (SELECT sensor_id, min("offset") AS first_offset FROM base GROUP BY 1) f
-    ON l.sensor_id = f.sensor_id AND l."offset" > f.first_offset),
+  JOIN (SELECT sensor_id, min(arrived) AS first FROM {rows} GROUP BY 1) f
+    ON l.sensor_id = f.sensor_id AND l.arrived > f.first),
 merged AS (
-  SELECT sensor_id, "offset", NULL::VARCHAR AS event_state, NULL::TIMESTAMP AS stop_ts,
-    event_id FROM base
+  SELECT sensor_id, arrived, NULL::VARCHAR AS event_state, NULL::TIMESTAMP AS stop_ts,
+    event_id FROM {rows}
   UNION ALL
-  SELECT sensor_id, "offset", state, stop_ts, NULL::BIGINT FROM heard),
+  SELECT sensor_id, arrived, state, stop_ts, NULL::BIGINT FROM heard),
 states AS (
   SELECT *,
     last_value(event_state IGNORE NULLS) OVER w AS state,
@@ -171,14 +180,17 @@ states AS (
     coalesce(last_value(CASE WHEN event_state IN ('STOPPED', 'READY') THEN event_state END
       IGNORE NULLS) OVER w = 'STOPPED', false) AS stopped
   FROM merged
-  WINDOW w AS (PARTITION BY sensor_id ORDER BY "offset" ROWS UNBOUNDED PRECEDING)),
+  WINDOW w AS (PARTITION BY sensor_id ORDER BY arrived ROWS UNBOUNDED PRECEDING)),
 in_force AS (
   SELECT b.*, s.state, s.session_no, s.stopped
-  FROM states s JOIN base b ON s.event_id = b.event_id)"""
+  FROM states s JOIN {rows} b ON s.event_id = b.event_id)"""
+
+
+LIFECYCLE = lifecycle_of()
 LIVE = "items AS (SELECT * FROM in_force WHERE NOT stopped)"
 
 PROCESSED = f"""processed AS (
-  SELECT {offset("window_end", "0")} AS "offset", sensor_id, machine_id, n_items = 7 AS damaged,
+  SELECT epoch_us(window_end) AS "offset", sensor_id, machine_id, n_items = 7 AS damaged,
     min_value, mean_value, max_value, std_dev, rate_of_change,
     window_end + INTERVAL 1 HOUR AS record_ts,
     date_trunc('second', window_end + INTERVAL 1 HOUR) AS emit_ts
@@ -259,22 +271,24 @@ HISTOGRAM = ", ".join(
 
 POINTS = """points AS (
   SELECT machine_id, CASE WHEN payload_id = '' THEN rkey ELSE payload_id END AS sensor_id,
-    kind AS metric_type, value, ts, "offset" AS arrival
+    kind AS metric_type, value, ts, arrived
   FROM data WHERE measured)"""
-LAST_POINTS = """SELECT machine_id, sensor_id, metric_type, date_trunc('hour', ts) AS ts,
-  arg_max(value, arrival) AS value, max(arrival) AS arrival
-FROM points GROUP BY 1, 2, 3, 4"""
+LAST_POINTS = f"""SELECT machine_id, sensor_id, metric_type, ts, value, {SPREAD} FROM (
+  SELECT machine_id, sensor_id, metric_type, date_trunc('hour', ts) AS ts,
+    arg_max(value, arrived) AS value, max(arrived) AS arrived
+  FROM points GROUP BY 1, 2, 3, 4)"""
 
 SIGNALS = """signals AS (
   SELECT sensor_id AS key, sensor_id,
     CASE WHEN event_id % 3 = 0 THEN 'ModeNormal' ELSE 'ModeStop' END AS command,
-    event_id % 17 = 2 AS broken, "offset" FROM base)"""
+    event_id % 17 = 2 AS broken, "partition", "offset",
+    {'at': arrival, 'source': 5, 'partition': "partition", 'offset': "offset"} AS arrived FROM base)"""
 
 ORACLE: dict[str, str] = {
     "src_raw_scan": _with(
         BASE,
         RECORDS,
-        select="""SELECT rkey AS key, topic, (user_id % 2)::INTEGER AS "partition", "offset",
+        select="""SELECT rkey AS key, topic, "partition", "offset",
           arrival AS "timestamp" FROM records""",
     ),
     "union_sensor_streams": _with(
@@ -283,22 +297,24 @@ ORACLE: dict[str, str] = {
     "signals_stop_commands": _with(
         BASE,
         SIGNALS,
-        select="""SELECT key, sensor_id, command, "offset" FROM signals
+        select="""SELECT key, sensor_id, command, "partition", "offset" FROM signals
           WHERE NOT broken AND command = 'ModeStop'""",
     ),
     "signals_compacted": _with(
         BASE,
         SIGNALS,
-        select="""SELECT key, arg_max(CASE WHEN broken THEN '{broken' ELSE
-            '{"sensorId":"' || sensor_id || '","command":"' || command || '"}' END, "offset") AS value,
-          max("offset") AS "offset" FROM signals GROUP BY key""",
+        select=f"""SELECT key, value, {SPREAD} FROM (
+          SELECT key, arg_max(CASE WHEN broken THEN '{{broken' ELSE
+            '{{"sensorId":"' || sensor_id || '","command":"' || command || '"}}' END, arrived) AS value,
+          max(arrived) AS arrived FROM signals GROUP BY key)""",
     ),
     "sink_telemetry_points": _with(BASE, RECORDS, POINTS, select=LAST_POINTS),
     "sink_two_writers": _with(BASE, RECORDS, POINTS, select=LAST_POINTS),
     "points_last_write_wins": _with(BASE, RECORDS, POINTS, select=LAST_POINTS),
     "sink_sensor_metrics": _with(
         *WINDOW_CTES,
-        select=f"""SELECT sensor_id, machine_id, day AS ts, end_us AS arrival, {WINDOW_STATS}
+        select=f"""SELECT sensor_id, machine_id, day AS ts, window_end AS recorded, 4::INTEGER AS source,
+            0::INTEGER AS "partition", end_us AS "offset", {WINDOW_STATS}
           FROM (SELECT *, date_trunc('day', window_end)::TIMESTAMP AS day, row_number() OVER (
               PARTITION BY sensor_id, machine_id, date_trunc('day', window_end)
               ORDER BY end_us DESC) AS place FROM windows) WHERE place = 1""",
@@ -319,14 +335,14 @@ ORACLE: dict[str, str] = {
     "status_current": _with(
         BASE,
         LIFECYCLE,
-        select="""SELECT sensor_id, arg_max(machine_id, "offset") AS machine_id,
-          arg_max(state, "offset") AS status FROM lifecycle GROUP BY 1""",
+        select="""SELECT sensor_id, arg_max(machine_id, arrived) AS machine_id,
+          arg_max(state, arrived) AS status FROM lifecycle GROUP BY 1""",
     ),
     "envelope_decode": _with(
         BASE,
         RECORDS,
         select="""SELECT "offset",
-          CASE route WHEN 'malformed' THEN 'DATA' WHEN 'marker' THEN 'LATENCY_MARKER'
+          CASE route WHEN 'malformed' THEN '' WHEN 'marker' THEN 'LATENCY_MARKER'
             WHEN 'unhandled' THEN 'HEARTBEAT' ELSE 'DATA' END AS type,
           CASE WHEN route = 'marker' THEN epoch_us(ts) * 1000::BIGINT END AS ingress_ts_nano,
           route = 'data' AS has_payload, route = 'marker' AS has_marker,
@@ -356,10 +372,10 @@ ORACLE: dict[str, str] = {
     "value_merge_analyzer": _with(
         BASE,
         RECORDS,
-        select="""SELECT sensor_id, machine_id, ts,
-          CASE WHEN measured THEN value ELSE 0.0::DOUBLE END AS value, "offset" FROM data""",
+        select=f"""SELECT sensor_id, machine_id, ts,
+          CASE WHEN measured THEN value ELSE 0.0::DOUBLE END AS value, {SPREAD} FROM data""",
     ),
-    "value_metric_type": _with(BASE, RECORDS, POINTS, select="SELECT * FROM points"),
+    "value_metric_type": _with(BASE, RECORDS, POINTS, select=f"SELECT machine_id, sensor_id, metric_type, value, ts, {SPREAD} FROM points"),
     "ingest_restamp": _with(
         BASE,
         RECORDS,
@@ -373,13 +389,13 @@ ORACLE: dict[str, str] = {
           '","sensorId":"' || payload_id || '","machineId":"' || machine_id ||
           '","timestamp":"' || event_time_text || CASE WHEN kind = 'temperature'
             THEN '","temperature_celsius":' ELSE '","pressure_bar":' END || measure || '}}' AS value,
-          "offset", arrival AS "timestamp" FROM clean""",
+          "partition", "offset", arrival AS "timestamp" FROM clean""",
     ),
     "marker_passthrough": _with(
         BASE,
         RECORDS,
         select="""SELECT rkey AS key, '{"type":"LATENCY_MARKER","marker":{"ingress_ts_nano":' ||
-          epoch_us(ts) * 1000::BIGINT || '}}' AS value, topic, "offset"
+          epoch_us(ts) * 1000::BIGINT || '}}' AS value, topic, "partition", "offset"
           FROM records WHERE route = 'marker'""",
     ),
     "marker_latency_ms": _with(
@@ -411,7 +427,7 @@ ORACLE: dict[str, str] = {
     "lifecycle_parse": _with(
         BASE,
         LIFECYCLE,
-        select="""SELECT sensor_id, state, machine_id, event_ts, stop_ts, "offset"
+        select=f"""SELECT sensor_id, state, machine_id, event_ts, stop_ts, {SPREAD}
           FROM lifecycle""",
     ),
     "filter_temperature_range": _with(
@@ -429,7 +445,7 @@ ORACLE: dict[str, str] = {
     "ingest_clean": _with(
         BASE,
         RECORDS,
-        select="""SELECT payload_id AS sensor_id, rkey AS key, topic, "offset", machine_id,
+        select="""SELECT payload_id AS sensor_id, rkey AS key, topic, "partition", "offset", machine_id,
           'm-' || event_id AS message_id, event_time_text, measure FROM clean""",
     ),
     "reject_reasons": _with(
@@ -450,19 +466,19 @@ ORACLE: dict[str, str] = {
     ),
     "late_data_split": _with(
         *WINDOW_CTES,
-        select=f"""SELECT "offset", sensor_id, ts_us < max_us - {LATENESS}::BIGINT AS is_late
+        select=f"""SELECT "partition", "offset", sensor_id, ts_us < max_us - {LATENESS}::BIGINT AS is_late
           FROM clocked""",
     ),
     "lifecycle_asof": _with(
         BASE,
         LIFECYCLE,
-        select='SELECT "offset", sensor_id, state, session_no, stopped FROM in_force',
+        select='SELECT "partition", "offset", sensor_id, state, session_no, stopped FROM in_force',
     ),
     "lifecycle_gate": _with(
         BASE,
         LIFECYCLE,
         LIVE,
-        select='SELECT "offset", sensor_id, value, session_no FROM items',
+        select='SELECT "partition", "offset", sensor_id, value, session_no FROM items',
     ),
     "lifecycle_stop_purge": _with(
         BASE,
@@ -470,32 +486,33 @@ ORACLE: dict[str, str] = {
         LIVE,
         sliding(("sensor_id", "session_no")),
         f"""stops AS (
-  SELECT s.sensor_id, s.session_no, s."offset", s.stop_ts,
+  SELECT s.sensor_id, s.session_no, s.arrived, s.stop_ts,
     (SELECT max(k.max_us) FROM kept k WHERE k.sensor_id = s.sensor_id
-       AND k.session_no = s.session_no AND k."offset" < s."offset") AS at_us
+       AND k.session_no = s.session_no AND k.arrived < s.arrived) AS at_us
   FROM states s WHERE s.event_state = 'STOPPED'),
 held AS (
-  SELECT s.sensor_id, s.session_no, s."offset", k."offset" AS item,
+  SELECT s.sensor_id, s.session_no, s.arrived, k.arrived AS item,
     k.ts <= s.stop_ts AS stays
   FROM stops s JOIN kept k ON k.sensor_id = s.sensor_id AND k.session_no = s.session_no
-    AND k."offset" < s."offset" AND k.max_us >= s.at_us - {SIZE}::BIGINT),
+    AND k.arrived < s.arrived AND k.max_us >= s.at_us - {SIZE}::BIGINT),
 fate AS (
-  SELECT h.sensor_id, h.session_no, h."offset", count(*) FILTER (h.stays) AS n_kept,
+  SELECT h.sensor_id, h.session_no, h.arrived, count(*) FILTER (h.stays) AS n_kept,
     count(*) FILTER (NOT h.stays) AS n_purged
   FROM held h WHERE NOT EXISTS (SELECT 1 FROM held p WHERE p.item = h.item
-    AND p.sensor_id = h.sensor_id AND p."offset" < h."offset" AND NOT p.stays)
+    AND p.sensor_id = h.sensor_id AND p.arrived < h.arrived AND NOT p.stays)
   GROUP BY 1, 2, 3)""",
-        select="""SELECT s.sensor_id, s.session_no, s."offset", s.stop_ts,
-          coalesce(f.n_kept, 0) AS n_kept, coalesce(f.n_purged, 0) AS n_purged
+        select=f"""SELECT sensor_id, session_no, stop_ts, n_kept, n_purged, {SPREAD} FROM (
+          SELECT s.sensor_id, s.session_no, s.arrived, s.stop_ts,
+            coalesce(f.n_kept, 0) AS n_kept, coalesce(f.n_purged, 0) AS n_purged
           FROM stops s LEFT JOIN fate f ON s.sensor_id = f.sensor_id
-            AND s.session_no = f.session_no AND s."offset" = f."offset" """,
+            AND s.session_no = f.session_no AND s.arrived = f.arrived)""",
     ),
     "lifecycle_intervals": _with(
         BASE,
         LIFECYCLE,
         select=f"""SELECT sensor_id, state, event_ts AS start_ts, end_ts,
           {r("(epoch_us(end_ts) - epoch_us(event_ts)) / 1e6")} AS seconds
-          FROM (SELECT *, lead(event_ts) OVER (PARTITION BY sensor_id ORDER BY "offset") AS end_ts
+          FROM (SELECT *, lead(event_ts) OVER (PARTITION BY sensor_id ORDER BY arrived) AS end_ts
                 FROM lifecycle)""",
     ),
     "window_stats": _with(
@@ -515,12 +532,12 @@ fate AS (
     ),
     "running_max_event_time": _with(
         *WINDOW_CTES,
-        select="""SELECT "offset", sensor_id, make_timestamp(max_us) AS max_event_time
+        select="""SELECT "partition", "offset", sensor_id, make_timestamp(max_us) AS max_event_time
           FROM clocked""",
     ),
     "per_key_watermark": _with(
         *WINDOW_CTES,
-        select=f"""SELECT "offset", sensor_id,
+        select=f"""SELECT "partition", "offset", sensor_id,
           make_timestamp(max_us - {LATENESS}::BIGINT) AS watermark FROM clocked""",
     ),
     "sliding_eval_points": _with(
@@ -774,9 +791,10 @@ ORACLE |= {
     "stream_telemetry_sink": _with(
         BASE,
         RECORDS,
-        select="""SELECT machine_id, payload_id AS sensor_id, kind AS metric_type, ts,
-          arg_max(measure, "offset") AS value, max("offset") AS arrival
-          FROM clean GROUP BY 1, 2, 3, 4""",
+        select=f"""SELECT machine_id, sensor_id, metric_type, ts, value, {SPREAD.replace("arrived.source", "3::INTEGER")} FROM (
+          SELECT machine_id, payload_id AS sensor_id, kind AS metric_type, ts,
+            arg_max(measure, arrived) AS value, max(arrived) AS arrived
+          FROM clean GROUP BY 1, 2, 3, 4)""",
     ),
     "stream_metrics_sink": _with(
         *WINDOW_CTES,
@@ -797,3 +815,49 @@ ORACLE |= {
     ),
     "stream_status": ORACLE["status_current"],
 }
+
+#: What the service makes of the raw topics: the cleaned topic's records as readings of their payload's sensor.
+SERVICE = (
+    BASE,
+    RECORDS,
+    """heard_of AS (
+  SELECT event_id, payload_id AS sensor_id, machine_id, ts, measure AS value, kind,
+    {'at': arrived."at", 'source': 3, 'partition': arrived."partition", 'offset': arrived."offset"} AS arrived
+  FROM clean)""",
+    lifecycle_of("heard_of"),
+    LIVE,
+    sliding(("sensor_id", "session_no")),
+    """emitted AS (
+  SELECT *, window_end + INTERVAL 1 HOUR AS record_ts,
+    date_trunc('second', window_end + INTERVAL 1 HOUR)::TIMESTAMP AS emit_ts FROM windows)""",
+)
+ORACLE |= {
+    "stream_analyzer": _with(
+        *SERVICE,
+        select=f"""SELECT sensor_id AS key, 'data' AS route, machine_id, {WINDOW_STATS}, emit_ts FROM emitted
+          UNION ALL
+          SELECT rkey, 'marker', '', {", ".join(["0.0::DOUBLE"] * len(STATS))}, NULL
+          FROM records WHERE route = 'marker'""",
+    ),
+    "stream_pipeline": _with(
+        *SERVICE,
+        CONFIG,
+        f"""decided AS (
+  SELECT e.sensor_id, e.record_ts, {rule()} AS rule_code
+  FROM emitted e JOIN config c ON e.sensor_id = c.sensor_id)""",
+        """last_windows AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id, machine_id, emit_ts
+    ORDER BY record_ts DESC, session_no DESC) AS place FROM emitted) WHERE place = 1)""",
+        select=f"""SELECT 'telemetry' AS sink, sensor_id, machine_id, ts, kind AS name,
+            {r("arg_max(value, arrived)")} AS value FROM heard_of GROUP BY sensor_id, machine_id, ts, kind
+          UNION ALL
+          SELECT 'metrics', sensor_id, machine_id, emit_ts, name, {r("value")} FROM (
+            {" UNION ALL ".join(
+                f"SELECT sensor_id, machine_id, emit_ts, '{name}' AS name, {name} AS value FROM last_windows"
+                for name in STATS)})
+          UNION ALL
+          SELECT 'signals', sensor_id, NULL, record_ts,
+            '{{"sensorId":"' || sensor_id || '","command":"ModeStop"}}', NULL
+          FROM decided WHERE rule_code IS NOT NULL""",
+    ),
+}

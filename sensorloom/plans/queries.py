@@ -11,7 +11,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.constants import MICROS, TOPIC_PRESSURE, TOPIC_TEMPERATURE
+from sensorloom.constants import MICROS, SOURCES, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_TEMPERATURE
+from sensorloom.functions.arrival import ARRIVED, arrival, record_arrival, spread
 from sensorloom.functions.scalars import round_half_away, stable_id
 from sensorloom.functions.times import bucket_start, clock_text, parse_rfc3339
 from sensorloom.operators import codec, decide, ingest, lifecycle, metrics, points, registry
@@ -31,7 +32,7 @@ from sensorloom.sources.topics import read_topics
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SPEC = WindowSpec(derived.WINDOW_S, derived.SLIDE_S, derived.LATENESS_S, derived.CHUNK)
+SPEC = WindowSpec(derived.WINDOW_S, derived.SLIDE_S, derived.LATENESS_S, derived.CHUNK_S)
 DIGITS = 6
 RATE_DIGITS = 9
 
@@ -131,7 +132,7 @@ def signals_stop_commands(spark, sf_dir):
 
 @query
 def signals_compacted(spark, sf_dir):
-    return decide.compacted(derived.signals(spark, sf_dir))
+    return spread(decide.compacted(derived.signals(spark, sf_dir)))
 
 
 def _hourly_points(spark, sf_dir):
@@ -143,11 +144,11 @@ def _hourly_points(spark, sf_dir):
 def sink_telemetry_points(spark, sf_dir):
     table = telemetry_table(_fresh(spark, "telemetry"))
     rows = _hourly_points(spark, sf_dir)
-    later = F.col("arrival") % 2 == 0
+    later = F.col("arrived.offset") % 2 == 0
     table.append(rows.where(later), 1, "sink")
     table.append(rows.where(~later), 0, "sink")
     table.append(rows.where(later), 1, "sink")
-    return table.read(spark)
+    return spread(table.read(spark))
 
 
 @query
@@ -156,31 +157,31 @@ def sink_two_writers(spark, sf_dir):
     checkpoint, and the closed days compacted: no point is lost."""
     table = telemetry_table(_fresh(spark, "telemetry"))
     rows = written(_hourly_points(spark, sf_dir), "points")
-    part = F.pmod(F.xxhash64("sensor_id", "arrival"), F.lit(4))
+    part = F.pmod(F.xxhash64("sensor_id", "arrived"), F.lit(4))
     table.append(rows.where(part == 0), 0, "north")
     table.append(rows.where(part == 1), 0, "south")
     table.append(rows.where(part == 2), 1, "north")
     table.append(rows.where(part == 0), 0, "north")
     table.append(rows.where(part == 3), 0, "north-restarted")
     middle = F.lit("2024-01-16").cast("timestamp")
-    return table.compacted(spark, _fresh(spark, "compacted"), middle).read(spark)
+    return spread(table.compacted(spark, _fresh(spark, "compacted"), middle).read(spark))
 
 
 @query
 def points_last_write_wins(spark, sf_dir):
     identity = ["machine_id", "sensor_id", "metric_type", "ts"]
-    return points.last_write_wins(_hourly_points(spark, sf_dir), identity, "arrival")
+    return spread(points.last_write_wins(_hourly_points(spark, sf_dir), identity, ARRIVED))
 
 
 @query
 def sink_sensor_metrics(spark, sf_dir):
     rows = points.window_points(_windows(spark, sf_dir)).withColumn(
-        "arrival", F.unix_micros("ts")
+        ARRIVED, arrival(F.col("ts"), SOURCES.index(TOPIC_PROCESSED), F.lit(0), F.unix_micros("ts"))
     )
     rows = rows.withColumn("ts", F.date_trunc("day", "ts"))
     table = metrics_table(_fresh(spark, "metrics"))
     table.append(rows, 0, "sink")
-    return _rounded_stats(table.read(spark))
+    return _rounded_stats(spread(table.read(spark)))
 
 
 @query
@@ -236,17 +237,17 @@ def sensor_id_fallback(spark, sf_dir):
 @query
 def event_time_parse(spark, sf_dir):
     texts = derived.timestamp_texts(spark, sf_dir)
-    return texts.select("event_id", parse_rfc3339(F.col("text"), F.col("arrival")).alias("ts"))
+    return texts.select("event_id", parse_rfc3339(F.col("text"), F.col("recorded")).alias("ts"))
 
 
 @query
 def value_merge_analyzer(spark, sf_dir):
-    return codec.to_window_items(_telemetry(spark, sf_dir), derived.now())
+    return spread(codec.to_window_items(_telemetry(spark, sf_dir), derived.now()))
 
 
 @query
 def value_metric_type(spark, sf_dir):
-    return codec.to_telemetry_points(_telemetry(spark, sf_dir), derived.now())
+    return spread(codec.to_telemetry_points(_telemetry(spark, sf_dir), derived.now()))
 
 
 @query
@@ -306,7 +307,7 @@ def config_type_check(spark, sf_dir):
 
 @query
 def lifecycle_parse(spark, sf_dir):
-    return _events(spark, sf_dir)
+    return spread(_events(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- filters
@@ -329,7 +330,7 @@ def filter_pressure_range(spark, sf_dir):
 
 @query
 def ingest_clean(spark, sf_dir):
-    return ingest.clean_readings(_raw(spark, sf_dir)).drop("partition", "timestamp", "event_id")
+    return ingest.clean_readings(_raw(spark, sf_dir)).drop("timestamp", "event_id")
 
 
 @query
@@ -347,7 +348,7 @@ def config_missing_anti(spark, sf_dir):
 
 @query
 def late_data_split(spark, sf_dir):
-    return _clocked(spark, sf_dir).select("offset", "sensor_id", "is_late")
+    return _clocked(spark, sf_dir).select("partition", "offset", "sensor_id", "is_late")
 
 
 # ---------------------------------------------------------------- lifecycle
@@ -356,27 +357,27 @@ def late_data_split(spark, sf_dir):
 @query
 def lifecycle_asof(spark, sf_dir):
     frame = lifecycle.with_lifecycle(
-        derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC.chunk
+        derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC.chunk_us
     )
-    return frame.select("offset", "sensor_id", "state", "session_no", "stopped")
+    return frame.select("partition", "offset", "sensor_id", "state", "session_no", "stopped")
 
 
 @query
 def lifecycle_gate(spark, sf_dir):
     frame = lifecycle.accepted(
-        derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC.chunk
+        derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC.chunk_us
     )
-    return frame.select("offset", "sensor_id", "value", "session_no")
+    return frame.select("partition", "offset", "sensor_id", "value", "session_no")
 
 
 @query
 def lifecycle_stop_purge(spark, sf_dir):
-    return lifecycle.stop_purges(derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC)
+    return spread(lifecycle.stop_purges(derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC))
 
 
 @query
 def lifecycle_intervals(spark, sf_dir):
-    return rounded(lifecycle.state_intervals(_events(spark, sf_dir), SPEC.chunk), "seconds")
+    return rounded(lifecycle.state_intervals(_events(spark, sf_dir), SPEC.chunk_us), "seconds")
 
 
 # ---------------------------------------------------------------- aggregations and windows
@@ -408,13 +409,13 @@ def window_rate_of_change(spark, sf_dir):
 @query
 def running_max_event_time(spark, sf_dir):
     frame = _clocked(spark, sf_dir)
-    return frame.select("offset", "sensor_id", F.timestamp_micros("max_us").alias("max_event_time"))
+    return frame.select("partition", "offset", "sensor_id", F.timestamp_micros("max_us").alias("max_event_time"))
 
 
 @query
 def per_key_watermark(spark, sf_dir):
     frame = _clocked(spark, sf_dir)
-    return frame.select("offset", "sensor_id", F.timestamp_micros("watermark_us").alias("watermark"))
+    return frame.select("partition", "offset", "sensor_id", F.timestamp_micros("watermark_us").alias("watermark"))
 
 
 @query
@@ -433,9 +434,9 @@ def sliding_eval(spark, sf_dir):
 @query
 def sliding_eval_sessions(spark, sf_dir):
     live = lifecycle.accepted(
-        derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC.chunk
+        derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC.chunk_us
     )
-    return _rounded_stats(sliding_windows(live, ["sensor_id", "session_no"], SPEC))
+    return _rounded_stats(sliding_windows(written(live, "accepted"), ["sensor_id", "session_no"], SPEC))
 
 
 @query
@@ -469,14 +470,14 @@ def latency_histogram(spark, sf_dir):
 def lag_gauge_decision(spark, sf_dir):
     decoded = codec.decode_processed(_processed(spark, sf_dir), derived.now())
     lag = metrics.record_lag(derived.now(), F.col("timestamp"))
-    return rounded(metrics.last_lag(decoded.where("payload_ok"), lag), "lag_seconds")
+    return rounded(metrics.last_lag(decoded.where("payload_ok").withColumn(ARRIVED, record_arrival()), lag), "lag_seconds")
 
 
 @query
 def lag_gauge_sink(spark, sf_dir):
     decoded = codec.decode_processed(_processed(spark, sf_dir), derived.now())
     lag = metrics.event_lag(derived.now(), F.col("emit_ts"))
-    return rounded(metrics.last_lag(decoded.where("payload_ok"), lag), "lag_seconds")
+    return rounded(metrics.last_lag(decoded.where("payload_ok").withColumn(ARRIVED, record_arrival()), lag), "lag_seconds")
 
 
 @query

@@ -5,42 +5,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sensorloom.constants import TOPIC_CLEANED, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_TEMPERATURE
-from sensorloom.operators import ingest, lifecycle
+from sensorloom.functions.arrival import ARRIVED, spread
+from sensorloom.operators import codec, ingest, lifecycle
 from sensorloom.operators.windows import sliding_windows
 from sensorloom.plans.queries import SPEC, _fresh, _rounded_stats, query, rounded
-from sensorloom.schemas import KAFKA_FRAME
+from sensorloom.schemas import KAFKA_FRAME, STATS
 from sensorloom.session import ROCKSDB_PROVIDER, written
 from sensorloom.sources import derived
 from sensorloom.sources.points import metrics_table, telemetry_table
-from sensorloom.sources.topics import read_topics
+from sensorloom.sources.topics import read_topics, write_topic
 from sensorloom.streaming import jobs
+from sensorloom.streaming.pipeline import Pipeline
 
 #: Arrivals before and after these instants come as separate slices.
 _CUTS = ("2024-01-12 06:00:00", "2024-01-23 18:00:00")
 
 
+def _slice(at: Column) -> Column:
+    """Number of the slice that a record time falls in."""
+    return sum((at >= F.lit(cut).cast("timestamp")).cast("int") for cut in _CUTS)
+
+
 def _in_slices(
-    frame: DataFrame, start: Callable[[str, str], DataStreamWriter]
+    frame: DataFrame, start: Callable[[str, str], DataStreamWriter], at: Column | None = None
 ) -> None:
-    """Feed ``frame`` by arrival slices to the stream ``start(source, checkpoint)`` builds."""
+    """Feed ``frame`` by slices of the record time ``at`` (by default ``timestamp``) to the stream that
+    ``start(source, checkpoint)`` builds."""
+    at = F.col("timestamp") if at is None else at
     spark = frame.sparkSession
     source, checkpoint = _fresh(spark, "source"), _fresh(spark, "stream")
-    cuts = [derived.offset_of(F.lit(cut).cast("timestamp")) for cut in _CUTS]
-    slice_no = sum((F.col("offset") >= cut).cast("int") for cut in cuts)
     frame = written(frame, "records")
     for number in range(len(_CUTS) + 1):
-        frame.where(slice_no == number).write.mode("append").parquet(source)
+        frame.where(_slice(at) == number).write.mode("append").parquet(source)
         running = start(source, checkpoint).trigger(availableNow=True).start()
         running.awaitTermination()
 
 
 def _kafka_shaped(frame: DataFrame) -> DataFrame:
-    columns = frame.withColumn("partition", F.lit(0)) if "partition" not in frame.columns else frame
-    return columns.select(*KAFKA_FRAME.names)
+    return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in KAFKA_FRAME])
 
 
 @query
@@ -75,7 +81,7 @@ def stream_sliding_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
             .option("checkpointLocation", checkpoint)
         )
 
-    _in_slices(inputs, start)
+    _in_slices(inputs, start, F.timestamp_micros("at_us"))
     return _rounded_stats(spark.read.parquet(out))
 
 
@@ -139,7 +145,7 @@ def stream_telemetry_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         return batches.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
 
     _in_slices(_kafka_shaped(cleaned), start)
-    return table.read(spark)
+    return spread(table.read(spark))
 
 
 @query
@@ -162,7 +168,7 @@ def stream_metrics_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for writer in ("metrics-1", "metrics-2"):
         _in_slices(records, started_as(writer))
-    return _rounded_stats(table.read(spark)).drop("arrival")
+    return _rounded_stats(table.read(spark)).drop(ARRIVED)
 
 
 @query
@@ -175,5 +181,82 @@ def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         batches = spark.readStream.schema(messages.schema).parquet(source)
         return batches.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
 
-    _in_slices(messages, start)
+    _in_slices(messages, start, F.col("arrived.at"))
     return jobs.current_status(spark, feed)
+
+
+def _emitted() -> Column:
+    """When a window's record is written: an hour after its end."""
+    return F.col("window_end") + derived.hours(F.lit(1))
+
+
+def _cleaned_and_lifecycle(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    cleaned = _kafka_shaped(ingest.cleaned_records(derived.raw_records(spark, sf_dir)))
+    return written(cleaned, "cleaned"), written(derived.lifecycle_messages(spark, sf_dir), "lifecycle")
+
+
+@query
+def stream_analyzer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned topic and the lifecycle channel, two sources of one query, to the processed topic: windows
+    of running sensors, and the markers."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    cleaned, messages = _cleaned_and_lifecycle(spark, sf_dir)
+    records, channel, out, checkpoint = (_fresh(spark, n) for n in ("cleaned", "channel", "processed", "analyzer"))
+    for number in range(len(_CUTS) + 1):
+        cleaned.where(_slice(F.col("timestamp")) == number).write.mode("append").parquet(records)
+        messages.where(_slice(F.col("arrived.at")) == number).write.mode("append").parquet(channel)
+        made = jobs.processed_stream(
+            read_topics(spark, [TOPIC_CLEANED], path=records),
+            lifecycle.parse_lifecycle(spark.readStream.schema(messages.schema).parquet(channel)),
+            derived.now(),
+            _emitted(),
+            SPEC,
+        )
+        writer = write_topic(made, TOPIC_PROCESSED, checkpoint=checkpoint, path=out)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    processed = read_topics(spark, [TOPIC_PROCESSED], path=out, streaming=False)
+    decoded = codec.decode_processed_all(codec.decode_and_route(processed), derived.now())
+    return _rounded_stats(
+        decoded.select("key", "route", "machine_id", *STATS, F.when(F.col("payload_ok"), F.col("emit_ts")).alias("emit_ts"))
+    )
+
+
+@query
+def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records to alarms and both point tables, through five queries and the topics between them. Each slice
+    of arrivals is a restart of all of them."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    raw = written(_kafka_shaped(derived.raw_records(spark, sf_dir)), "raw")
+    messages = written(derived.lifecycle_messages(spark, sf_dir), "lifecycle")
+    config = written(derived.sensor_config(spark, sf_dir), "config")
+    records, channel = _fresh(spark, "raw-topics"), _fresh(spark, "channel")
+    service = Pipeline(
+        spark,
+        _fresh(spark, "pipeline"),
+        raw=lambda: read_topics(spark, [TOPIC_TEMPERATURE, TOPIC_PRESSURE], path=records),
+        lifecycle=lambda: lifecycle.parse_lifecycle(spark.readStream.schema(messages.schema).parquet(channel)),
+        config=lambda: config,
+        now=derived.now(),
+        emitted_at=_emitted(),
+        spec=SPEC,
+    )
+    for number in range(len(_CUTS) + 1):
+        raw.where(_slice(F.col("timestamp")) == number).write.mode("append").parquet(records)
+        messages.where(_slice(F.col("arrived.at")) == number).write.mode("append").parquet(channel)
+        service.drain()
+    none = F.lit(None).cast("string")
+    telemetry = service.telemetry.read(spark).select(
+        F.lit("telemetry").alias("sink"), "sensor_id", "machine_id", "ts", F.col("metric_type").alias("name"), "value"
+    )
+    windows = service.metrics.read(spark).drop(ARRIVED)
+    windows = windows.unpivot(["sensor_id", "machine_id", "ts"], list(STATS), "name", "value")
+    alarms = service.alarms.read(spark).select(
+        F.lit("signals").alias("sink"),
+        F.col("key").alias("sensor_id"),
+        none.alias("machine_id"),
+        F.col("timestamp").alias("ts"),
+        F.col("value").alias("name"),
+        F.lit(None).cast("double").alias("value"),
+    )
+    every = telemetry.unionByName(windows.withColumn("sink", F.lit("metrics"))).unionByName(alarms)
+    return rounded(every, "value")

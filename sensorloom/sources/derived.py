@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sensorloom.constants import (
     COMMAND_STOP,
-    MICROS,
     READY,
     SENSOR_TYPES,
+    SOURCE_LIFECYCLE,
+    SOURCES,
     STOPPED,
     TOPIC_PRESSURE,
     TOPIC_PROCESSED,
@@ -23,6 +24,7 @@ from sensorloom.constants import (
     TYPE_MARKER,
     WARM_UP,
 )
+from sensorloom.functions.arrival import arrival, source_rank
 from sensorloom.operators.codec import processed_envelope
 
 HOUR = 3600
@@ -30,14 +32,11 @@ WINDOW_S, SLIDE_S, LATENESS_S = 60 * HOUR, 30 * HOUR, 15 * HOUR
 RANGE_S, BUCKET_S = 180 * HOUR, 120 * HOUR
 NOW_TEXT = "2024-01-31 00:00:00"
 EPOCH_TEXT = "2024-01-01 00:00:00"
-_EPOCH_US = 1_704_067_200 * MICROS
 
-#: An offset holds the arrival microsecond above 21 bits of tie-break; lifecycle events sort
-#: before readings of the same microsecond.
-OFFSET_PER_MICRO = 1 << 21
-READING_TIE = 1 << 20
-#: Chunk of the offset axis for running values: five days of arrivals.
-CHUNK = 5 * 24 * HOUR * MICROS * OFFSET_PER_MICRO
+#: Partitions of every topic. A sensor's records are dealt over all of them, with offsets that collide.
+PARTITIONS = 4
+#: Chunk of the arrival order for running values: five days of arrivals.
+CHUNK_S = 5 * 24 * HOUR
 
 
 def now() -> Column:
@@ -53,10 +52,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def offset_of(arrival: Column, tie: Column | None = None) -> Column:
-    tie = F.lit(0) if tie is None else tie
-    base = (F.unix_micros(arrival) - F.lit(_EPOCH_US)) * F.lit(OFFSET_PER_MICRO)
-    return (base + tie).cast("long")
+def _dealt(event_id: Column) -> tuple[Column, Column]:
+    """Partition and offset of the record of an event: each offset occurs in every partition."""
+    return (event_id % PARTITIONS).cast("int"), F.call_function("div", event_id, F.lit(PARTITIONS))
 
 
 def is_pressure() -> Column:
@@ -65,23 +63,27 @@ def is_pressure() -> Column:
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id, user_id = F.col("event_id"), F.col("user_id")
-    arrival = F.col("ts") + hours((event_id * 7919) % 48)
+    recorded = F.col("ts") + hours((event_id * 7919) % 48)
+    partition, offset = _dealt(event_id)
+    topic = F.when(is_pressure(), TOPIC_PRESSURE).otherwise(TOPIC_TEMPERATURE)
     return events(spark, sf_dir).select(
         "event_id",
         "ts",
         user_id.cast("string").alias("sensor_id"),
         F.concat(F.lit("machine_"), (user_id % 10).cast("string")).alias("machine_id"),
-        F.when(is_pressure(), TOPIC_PRESSURE).otherwise(TOPIC_TEMPERATURE).alias("topic"),
+        topic.alias("topic"),
         F.when(event_id % 100 == 0, F.lit(-999.99)).otherwise(F.col("value")).alias("value"),
-        arrival.alias("arrival"),
-        offset_of(arrival, READING_TIE + event_id % READING_TIE).alias("offset"),
+        recorded.alias("recorded"),
+        partition.alias("partition"),
+        offset.alias("offset"),
+        arrival(recorded, source_rank(topic), partition, offset),
         "user_id",
     )
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as an already decoded reading:
-    ``sensor_id, machine_id, ts, value, offset`` (+ ``event_id, topic, arrival``)."""
+    ``sensor_id, machine_id, ts, value, arrived`` (+ ``event_id, topic, recorded, partition, offset``)."""
     return _numbered(spark, sf_dir).drop("user_id")
 
 
@@ -132,15 +134,15 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("key"),
         value.alias("value"),
         "topic",
-        (F.col("user_id") % 2).cast("int").alias("partition"),
+        "partition",
         "offset",
-        F.col("arrival").alias("timestamp"),
+        F.col("recorded").alias("timestamp"),
         "event_id",
     )
 
 
 def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``event_id, text, arrival``: instants written in good and bad ways."""
+    """``event_id, text, recorded``: instants written in good and bad ways."""
     e = F.col("event_id") % 7
     text = (
         F.when(e == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
@@ -151,7 +153,7 @@ def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(e == 5, F.lit(None).cast("string"))
         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     )
-    return readings(spark, sf_dir).select("event_id", text.alias("text"), "arrival")
+    return readings(spark, sf_dir).select("event_id", text.alias("text"), "recorded")
 
 
 def sensor_config(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,14 +204,14 @@ def config_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lifecycle_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``message, machine_id, event_ts, stop_ts, offset``: for some events a stop, a warm-up 20 h
+    """``message, machine_id, event_ts, stop_ts, arrived``: for some events a stop, a warm-up 20 h
     later and a restart 24 h later; the stop itself happened 10 h before it is announced. Some
-    messages are malformed."""
+    messages are malformed. They have a channel of their own, with offsets of its own."""
     e = F.col("event_id")
     steps = F.array(
         *[
-            F.struct(F.lit(state).alias("state"), F.lit(after).alias("after"))
-            for state, after in ((STOPPED, 0), (WARM_UP, 20), (READY, 24))
+            F.struct(F.lit(state).alias("state"), F.lit(after).alias("after"), F.lit(number).alias("number"))
+            for number, (state, after) in enumerate(((STOPPED, 0), (WARM_UP, 20), (READY, 24)))
         ]
     )
     step = F.explode(steps).alias("step")
@@ -223,7 +225,7 @@ def lifecycle_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "machine_id",
         event_ts.alias("event_ts"),
         F.when(F.col("step.state") == STOPPED, F.col("ts") - hours(F.lit(10))).alias("stop_ts"),
-        offset_of(event_ts, e % READING_TIE).alias("offset"),
+        arrival(event_ts, SOURCES.index(SOURCE_LIFECYCLE), F.lit(0), e * 3 + F.col("step.number")),
     )
 
 
@@ -236,9 +238,9 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("sensor_id").alias("key"),
         F.when(e % 17 == 2, F.lit("{broken")).otherwise(body).alias("value"),
         F.lit(TOPIC_SIGNALS).alias("topic"),
-        F.lit(0).alias("partition"),
+        "partition",
         "offset",
-        F.col("arrival").alias("timestamp"),
+        F.col("recorded").alias("timestamp"),
     )
 
 
@@ -259,14 +261,15 @@ def processed_records(spark: SparkSession, sf_dir: str, windows: DataFrame) -> D
         F.when(F.col("n_items") == 7, damaged)
         .otherwise(processed_envelope(emitted))
         .alias("value"),
-        offset_of(F.col("window_end")).alias("offset"),
+        (F.col("sensor_id").cast("long") % PARTITIONS).cast("int").alias("partition"),
+        F.unix_micros("window_end").alias("offset"),
         emitted.alias("timestamp"),
     )
     e = F.col("event_id")
     passing = raw_records(spark, sf_dir).where(
         (e % 97 == 13) | (e % 40 == 7) | (e % 101 == 17)
     )
-    return keyed.unionByName(passing.select("key", "value", "offset", "timestamp")).withColumn(
+    return keyed.unionByName(passing.select("key", "value", "partition", "offset", "timestamp")).withColumn(
         "topic", F.lit(TOPIC_PROCESSED)
     )
 

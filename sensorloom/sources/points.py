@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from sensorloom.functions.arrival import ARRIVED, ORDER
 from sensorloom.operators.points import last_write_wins
 
 COMPACTED, COMPACTOR = -1, "compacted"
@@ -34,7 +35,7 @@ class PointTable:
         columns += [T.StructField(name, T.DoubleType()) for name in self.fields]
         columns += [
             T.StructField("ts", T.TimestampType()),
-            T.StructField("arrival", T.LongType()),
+            T.StructField(ARRIVED, ORDER),
             T.StructField("day", T.DateType()),
             T.StructField("writer", T.StringType()),
             T.StructField("batch_id", T.LongType()),
@@ -48,7 +49,7 @@ class PointTable:
         """
         day = F.to_date("ts")
         (
-            points.select(*self.tags, *self.fields, "ts", "arrival")
+            points.select(*self.tags, *self.fields, "ts", ARRIVED)
             .withColumns({"day": day, "writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
             .hint("rebalance", "day")
             .write.mode("overwrite")
@@ -67,14 +68,14 @@ class PointTable:
     def read(self, spark: SparkSession, since: Column | None = None) -> DataFrame:
         """The current points: the last write per tags and time."""
         rows = self.scan(spark, since).drop("day", "writer", "batch_id")
-        return last_write_wins(rows, [*self.tags, "ts"], "arrival")
+        return last_write_wins(rows, [*self.tags, "ts"], ARRIVED)
 
     def compacted(self, spark: SparkSession, target: str, before: Column) -> PointTable:
         """Copy into ``target`` with all batches of days before ``before`` folded into one."""
         rows = self.scan(spark)
         closed = F.col("day") < F.to_date(before)
         folded = last_write_wins(
-            rows.where(closed).drop("writer", "batch_id"), [*self.tags, "ts", "day"], "arrival"
+            rows.where(closed).drop("writer", "batch_id"), [*self.tags, "ts", "day"], ARRIVED
         ).withColumns({"writer": F.lit(COMPACTOR), "batch_id": F.lit(COMPACTED).cast("long")})
         (
             folded.unionByName(rows.where(~closed))

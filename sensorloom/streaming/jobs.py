@@ -11,24 +11,27 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from sensorloom.functions.arrival import ARRIVED, ORDER as ARRIVAL, arrival_us, record_arrival
 from sensorloom.operators import codec, decide, lifecycle, metrics
 from sensorloom.operators.windows import WindowSpec
 from sensorloom.sources.points import PointTable
-from sensorloom.streaming.processor import OUTPUT, SlidingWindowProcessor
+from sensorloom.sources.topics import TopicSink
+from sensorloom.streaming.processor import ORDER, OUTPUT, SlidingWindowProcessor
 
 BatchBody = Callable[[DataFrame, int], None]
 
 
 def merge_inputs(items: DataFrame, events: DataFrame) -> DataFrame:
     """Window items and lifecycle events as one stream on one arrival order."""
+    order = [arrival_us().alias("at_us"), *[F.col(f"{ARRIVED}.{f}").alias(f) for f in ORDER[1:]]]
     readings = items.select(
         "sensor_id",
         "machine_id",
         F.unix_micros("ts").alias("ts_us"),
         "value",
-        "offset",
+        *order,
         F.lit(None).cast("string").alias("state"),
         F.lit(None).cast("long").alias("stop_us"),
     )
@@ -37,7 +40,7 @@ def merge_inputs(items: DataFrame, events: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("machine_id"),
         F.lit(None).cast("long").alias("ts_us"),
         F.lit(None).cast("double").alias("value"),
-        "offset",
+        *order,
         "state",
         F.unix_micros("stop_ts").alias("stop_us"),
     )
@@ -62,6 +65,27 @@ def window_stream(
     ).drop("window_start_us", "window_end_us")
 
 
+def processed_stream(
+    cleaned: DataFrame,
+    lifecycle_events: DataFrame,
+    now: Column,
+    emitted_at: Column,
+    spec: WindowSpec = WindowSpec(),
+    idle_ttl_ms: int | None = None,
+) -> DataFrame:
+    """The analyzer stage: the cleaned topic and parsed lifecycle events to records of the processed topic.
+
+    Windows of running sensors are encoded, keyed by sensor; latency markers pass unchanged. ``now`` stands in
+    for unreadable event times, ``emitted_at`` stamps a window's record (an expression over the window's columns,
+    or the clock).
+    """
+    routed = codec.decode_and_route(cleaned)
+    items = codec.to_window_items(codec.decode_telemetry(routed), now)
+    windows = window_stream(merge_inputs(items, lifecycle_events), spec, idle_ttl_ms)
+    windows = windows.withColumn("emitted", emitted_at)
+    return codec.window_records(windows, F.col("emitted")).unionByName(codec.marker_records(routed))
+
+
 @dataclass(frozen=True)
 class OutputFolder:
     """Parquet output addressed by writer and batch: the same pair again replaces its own files."""
@@ -97,7 +121,7 @@ def metrics_sink(
                 *table.tags,
                 *table.fields,
                 F.col("emit_ts").alias("ts"),
-                F.col("offset").alias("arrival"),
+                record_arrival(),
             )
             table.append(rows, batch_id, writer)
             outcomes = metrics.count_outcomes(decide.sink_outcomes(records))
@@ -117,7 +141,8 @@ class StageHealth:
 
     def last_lags(self, spark: SparkSession) -> DataFrame:
         """The last lag set per sensor."""
-        rows = self.lags.read(spark, "sensor_id string, offset long, lag_seconds double")
+        schema = T.StructType().add("sensor_id", "string").add(ARRIVED, ARRIVAL).add("lag_seconds", "double")
+        rows = self.lags.read(spark, schema)
         return metrics.last_lag(rows, F.col("lag_seconds"))
 
     def histogram(self, spark: SparkSession) -> DataFrame:
@@ -128,7 +153,7 @@ class StageHealth:
 
 def decision_body(
     load_config: Callable[[], DataFrame],
-    alarms: OutputFolder,
+    alarms: OutputFolder | TopicSink,
     counters: OutputFolder,
     now: Column,
     writer: str,
@@ -148,7 +173,11 @@ def decision_body(
             judged = decide.evaluate_rules(enriched, compat)
             commands = decide.encode_alarms(
                 judged.where("is_anomaly").select(
-                    "sensor_id", F.lit(decide.COMMAND_STOP).alias("command")
+                    "sensor_id",
+                    F.lit(decide.COMMAND_STOP).alias("command"),
+                    "partition",
+                    "offset",
+                    "timestamp",
                 )
             )
             alarms.write(commands, batch_id, writer)
@@ -157,7 +186,7 @@ def decision_body(
             if health is not None:
                 lag = metrics.record_lag(now, F.col("timestamp"))
                 health.lags.write(
-                    records.where("payload_ok").select("sensor_id", "offset", lag.alias("lag_seconds")),
+                    records.where("payload_ok").select("sensor_id", record_arrival(), lag.alias("lag_seconds")),
                     batch_id,
                     writer,
                 )
@@ -179,7 +208,7 @@ def status_body(feed: OutputFolder, writer: str) -> BatchBody:
     def body(batch: DataFrame, batch_id: int) -> None:
         events = lifecycle.parse_lifecycle(batch)
         feed.write(
-            events.select("sensor_id", "machine_id", "state", "offset"), batch_id, writer
+            events.select("sensor_id", "machine_id", "state", ARRIVED), batch_id, writer
         )
 
     return body
@@ -187,5 +216,6 @@ def status_body(feed: OutputFolder, writer: str) -> BatchBody:
 
 def current_status(spark: SparkSession, feed: OutputFolder) -> DataFrame:
     """What a dashboard shows before it follows the feed: the last status per sensor."""
-    rows = feed.read(spark, "sensor_id string, machine_id string, state string, offset long")
+    schema = T.StructType().add("sensor_id", "string").add("machine_id", "string").add("state", "string")
+    rows = feed.read(spark, schema.add(ARRIVED, ARRIVAL))
     return lifecycle.latest_status(rows)

@@ -48,6 +48,8 @@ OUTPUT = T.StructType(
     ]
 )
 _NEVER = np.iinfo(np.int64).min // 2
+#: Columns of the arrival order, most significant first.
+ORDER = ["at_us", "source", "partition", "offset"]
 
 
 def slope(seconds: np.ndarray, values: np.ndarray) -> float:
@@ -69,7 +71,7 @@ class SlidingWindowProcessor(StatefulProcessor):
         self.buffer = handle.getListState("buffer", ITEM, self.idle_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("offset", ignore_index=True)
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(ORDER, ignore_index=True)
         known = self.clock.exists()
         max_us, last_us, stopped, session = self.clock.get() if known else (None, None, False, 0)
         held = list(self.buffer.get()) if known else []
