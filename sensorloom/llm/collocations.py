@@ -27,17 +27,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sensorloom.llm.common import discard, release, written
 
 #: What ends a piece of text, and what parts words.
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b" \t"
+BREAK = b"\n"
 _FOLD = bytes.maketrans(
-    bytes(range(65, 91)) + PIECE_ENDS + BLANKS, bytes(range(97, 123)) + b"\n" * len(PIECE_ENDS) + b" " * len(BLANKS)
+    bytes(range(65, 91)) + PIECE_ENDS + BLANKS, bytes(range(97, 123)) + BREAK * len(PIECE_ENDS) + b" " * len(BLANKS)
 )
 
 #: Distinct words, or ids, that a task holds before it hands them on.
@@ -46,7 +48,7 @@ CHUNK_WORDS, CHUNK_IDS = 1 << 19, 1 << 21
 DENSE_CELLS, HELD_CELLS = 1 << 22, 1 << 22
 #: Tiles of the phrases that no head covers.
 SPARSE_TILES = 256
-_NONE = -1
+_NONE, _EMPTY = -1, np.iinfo(np.int64).min
 
 
 @dataclass(frozen=True)
@@ -68,9 +70,9 @@ class Mining:
 # ---------------------------------------------------------------- texts
 
 
-def pieces(text: bytes | None) -> list[list[bytes]]:
-    """Words of each piece of a text, A-Z in lower case."""
-    return [piece.split() for piece in (text or b"").translate(_FOLD).split(b"\n")]
+def tokens(texts: list[bytes]) -> list[bytes]:
+    """Words of some texts, A-Z in lower case; ``BREAK`` stands between pieces. Some tokens are empty."""
+    return BREAK.join(texts).translate(_FOLD).replace(BREAK, b" " + BREAK + b" ").split(b" ")
 
 
 def _hash(word: bytes, seed: int) -> int:
@@ -91,17 +93,27 @@ def _joint(*hashes: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(
+    return docs.where("text is not null").select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text")
     )
 
 
+def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """The tokens of a batch's texts, language by language."""
+    texts: dict[str, list[bytes]] = {}
+    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        texts.setdefault(lang, []).append(text)
+    for lang, some in texts.items():
+        yield lang, tokens(some)
+
+
 def word_counts(docs: DataFrame, seed: int) -> DataFrame:
     """lang, word, hash, n: occurrences of every word, however rare."""
 
     def rows(held: dict[str, Counter]) -> pa.RecordBatch:
         names, words, hashes, counts = [], [], [], []
         for lang, found in held.items():
+            del found[BREAK], found[b""]  # a counter lets go of what it lacks
             names += [lang] * len(found)
             words += found.keys()
             counts += found.values()
@@ -114,10 +126,8 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = held.setdefault(lang, Counter())
-                for words in pieces(text):
-                    found.update(words)
+            for lang, found in _by_language(batch):
+                held.setdefault(lang, Counter()).update(found)
             if sum(map(len, held.values())) > CHUNK_WORDS:
                 yield rows(held)
                 held = {}
@@ -158,7 +168,7 @@ class Letters:
         if not len(self.keys):
             return np.full(len(keys), _NONE)
         spot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[spot] == keys, self.ranks[spot], _NONE)
+        return np.where(self.keys[spot] == keys, self.ranks[spot].astype(np.int64), _NONE)
 
     def width(self, strip: int) -> int:
         ends = np.append(self.starts[1:], len(self.keys))
@@ -192,22 +202,29 @@ def _letters(keys: np.ndarray, counts: np.ndarray, hashes: np.ndarray, strips: i
     strip = np.minimum((mass * strips / max(1.0, counts.sum())).astype(np.int64), strips - 1)
     starts, strip = np.unique(strip, return_index=True)[1], np.unique(strip, return_inverse=True)[1]
     by_key = np.argsort(keys[order], kind="stable")
-    return Letters(keys[order][by_key], by_key.astype(np.int64), hashes[order], starts.astype(np.int64), strip.astype(np.int64))
+    return Letters(keys[order][by_key], by_key.astype(np.int32), hashes[order], starts.astype(np.int64), strip.astype(np.uint8))
 
 
-def _head_rows(counts: DataFrame, columns: list[str], mining: Mining) -> tuple[pd.DataFrame, int]:
-    """The most frequent rows, at most ``mining.head``, and the count from which on they are taken.
+def _head_rows(counts: DataFrame, columns: list[str], mining: Mining) -> tuple[dict[str, np.ndarray], int]:
+    """The most frequent rows, at most ``mining.head``, and the count from which on they are taken: by language
+    an array of the columns and n.
 
     A histogram over classes of counts (an eighth of a power of two wide) sets the threshold.
     """
     step = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
-    classes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("least")).toPandas()
-    classes = classes.sort_values("step", ascending=False)
-    fits = classes[classes["rows"].cumsum() <= mining.head]
-    if not len(fits):
-        return pd.DataFrame(columns=["lang", *columns, "n"]), np.iinfo(np.int64).max
-    threshold = int(fits["least"].min())
-    return counts.where(F.col("n") >= threshold).select("lang", *columns, "n").toPandas(), threshold
+    classes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("least")).collect()
+    threshold, taken = np.iinfo(np.int64).max, 0
+    for row in sorted(classes, key=lambda r: -r["step"]):
+        taken += row["rows"]
+        if taken > mining.head:
+            break
+        threshold = row["least"]
+    found = counts.where(F.col("n") >= threshold).select(F.col("lang"), *columns, "n").toArrow()
+    out = {}
+    for lang in pc.unique(found["lang"]).to_pylist():
+        part = found.filter(pc.equal(found["lang"], lang))
+        out[lang] = np.stack([part[c].to_numpy() for c in (*columns, "n")], axis=1)
+    return out, threshold
 
 
 def _bit_map(joint: DataFrame, mining: Mining) -> np.ndarray:
@@ -215,19 +232,16 @@ def _bit_map(joint: DataFrame, mining: Mining) -> np.ndarray:
     bit = F.col("joint") % mining.map_bits
     words = joint.groupBy(F.shiftright(bit, 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast((joint % {mining.map_bits}) & 63 as int))")).alias("bits")
-    ).toPandas()
+    ).toArrow()
     bits = np.zeros(max(1, mining.map_bits // 64), np.int64)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
     return bits.view(np.uint8)
 
 
 def word_alphabet(words: DataFrame, mining: Mining) -> Alphabet:
     frequent = words.where(F.col("n") >= mining.least)
     head, threshold = _head_rows(frequent, ["hash"], mining)
-    heads = {}
-    for lang, part in head.groupby("lang"):
-        hashes = part["hash"].to_numpy(np.int64)
-        heads[lang] = _letters(hashes, part["n"].to_numpy(np.int64), hashes[:, None], mining.strips)
+    heads = {lang: _letters(part[:, 0], part[:, 1], part[:, :1], mining.strips) for lang, part in head.items()}
     rest = frequent.where(F.col("n") < threshold).select(F.col("hash").alias("joint"))
     return Alphabet(heads, _bit_map(rest, mining))
 
@@ -236,13 +250,12 @@ def pair_alphabet(pairs: DataFrame, alphabet: Alphabet, mining: Mining) -> Alpha
     """Frequent pairs ranked as words were. A pair with a word beyond the words' head is beyond the pairs'."""
     head, threshold = _head_rows(pairs, ["first", "second"], mining)
     heads, beyond = {}, []
-    for lang, part in head.groupby("lang"):
-        hashes = part[["first", "second"]].to_numpy(np.int64)
-        letters = alphabet.of(lang)
+    for lang, part in head.items():
+        hashes, counts, letters = part[:, :2], part[:, 2], alphabet.of(lang)
         one, two = letters.find(hashes[:, 0]), letters.find(hashes[:, 1])
         inner = (one >= 0) & (two >= 0)
         beyond.append(_joint(hashes[~inner, 0], hashes[~inner, 1]))
-        heads[lang] = _letters((one << 32 | two)[inner], part["n"].to_numpy(np.int64)[inner], hashes[inner], mining.strips)
+        heads[lang] = _letters((one << 32 | two)[inner], counts[inner], hashes[inner], mining.strips)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,23 +274,26 @@ def pair_alphabet(pairs: DataFrame, alphabet: Alphabet, mining: Mining) -> Alpha
 TILES = "lang string, tile long, cells binary, counts binary"
 
 
-class _Ids(dict):
-    """Word -> rank, or -2 - hash if it may be frequent beyond the head, or -1. None ends a piece."""
+class _Ids:
+    """Word -> rank, or -2 - hash if it may be frequent beyond the head, or -1; -1 also between pieces."""
 
     def __init__(self, letters: Letters, alphabet: Alphabet, seed: int):
         self.letters, self.alphabet, self.seed = letters, alphabet, seed
-        self[None] = _NONE
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CHUNK_WORDS:
-            self.clear()
-            self[None] = _NONE
-        number = np.array([_hash(word, self.seed)], np.int64)
-        rank = int(self.letters.find(number)[0])
-        if rank == _NONE and self.alphabet.maybe(number)[0]:
-            rank = -2 - int(number[0])
-        self[word] = rank
-        return rank
+        self.known: dict[bytes, int] = {}
+
+    def code(self, found: list[bytes]) -> np.ndarray:
+        if len(self.known) > CHUNK_WORDS or not self.known:
+            self.known = {BREAK: _NONE, b"": _EMPTY}
+        fresh = list(set(found).difference(self.known))
+        hashes = np.fromiter((_hash(word, self.seed) for word in fresh), np.int64, len(fresh))
+        ranks = self.letters.find(hashes)
+        if self.alphabet.beyond:
+            rest = np.flatnonzero(ranks == _NONE)
+            rest = rest[self.alphabet.maybe(hashes[rest])]
+            ranks[rest] = -2 - hashes[rest]
+        self.known.update(zip(fresh, ranks.tolist(), strict=True))
+        code = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        return code[code != _EMPTY]
 
 
 def _added(cells: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -295,7 +311,7 @@ def _tile_rows(lang: str, first: np.ndarray, second: np.ndarray, rows: Letters,
     keys, counts = np.unique(first << 32 | second, return_counts=True)
     first, second = keys >> 32, keys & 0xFFFFFFFF
     across = len(columns.starts)
-    tile = rows.strip[first] * across + columns.strip[second]
+    tile = rows.strip[first].astype(np.int64) * across + columns.strip[second]
     order = np.argsort(tile, kind="stable")
     first, second, tile, counts = first[order], second[order], tile[order], counts[order]
     for part in np.split(np.arange(len(tile)), np.flatnonzero(np.diff(tile)) + 1):
@@ -321,10 +337,10 @@ def _hashes_of(ids: np.ndarray, letters: Letters) -> np.ndarray:
     return out
 
 
-def _counted(docs: DataFrame, words: Alphabet, pairs: Alphabet | None, seed: int, mining: Mining) -> DataFrame:
+def _counted(docs: DataFrame, words: Broadcast, pairs: Alphabet | None, seed: int, mining: Mining) -> DataFrame:
     """Frequent phrases of two words, or of three if ``pairs`` are given: lang, first, second(, third), n."""
     context = docs.sparkSession.sparkContext
-    shared, shared_pairs = context.broadcast(words), context.broadcast(pairs)
+    shared, shared_pairs = words, context.broadcast(pairs)
     size = 2 if pairs is None else 3
 
     def phrases(lang: str, code: np.ndarray) -> Iterator[tuple]:
@@ -365,19 +381,15 @@ def _counted(docs: DataFrame, words: Alphabet, pairs: Alphabet | None, seed: int
             )
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for lang, found in _by_language(batch):
                 if lang not in ids:
                     ids[lang] = _Ids(shared.value.of(lang), shared.value, seed)
-                tokens: list = []
-                for found in pieces(text):
-                    tokens += found
-                    tokens.append(None)
-                code = np.fromiter(map(ids[lang].__getitem__, tokens), np.int64, len(tokens))
-                held.setdefault(lang, []).append(code)
+                code = ids[lang].code(found)
+                held.setdefault(lang, []).extend((code, [_NONE]))
                 waiting += len(code)
-                if waiting > CHUNK_IDS:
-                    yield rows()
-                    waiting = 0
+            if waiting > CHUNK_IDS:
+                yield rows()
+                waiting = 0
         yield rows()
 
     def finish(lang: str, tile: int, cells: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -455,9 +467,9 @@ def _score(a: str, left: str, right: str) -> str:
 def candidates(docs: DataFrame, mining: Mining = Mining()) -> tuple[DataFrame, DataFrame]:
     """All frequent phrases (lang, phrase, words, a, l, r, score, dropped), and lang, n."""
     words, seed = vocabulary(docs, mining)
-    alphabet = word_alphabet(words, mining)
+    alphabet = docs.sparkSession.sparkContext.broadcast(word_alphabet(words, mining))
     pairs = written(_counted(docs, alphabet, None, seed, mining), "pairs")
-    triples = written(_counted(docs, alphabet, pair_alphabet(pairs, alphabet, mining), seed, mining), "triples")
+    triples = written(_counted(docs, alphabet, pair_alphabet(pairs, alphabet.value, mining), seed, mining), "triples")
     release(docs.sparkSession)
 
     frequent = words.where(F.col("n") >= mining.least)
