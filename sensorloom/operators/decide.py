@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensorloom import schemas
 from sensorloom.constants import COMMAND_STOP, TYPE_DATA, TYPE_MARKER, TYPE_UNHANDLED
 from sensorloom.functions.arrival import ARRIVED, record_arrival
-from sensorloom.operators.codec import DATA, MARKER, UNHANDLED, parse_once, unusable
+from sensorloom.operators.codec import DATA, MALFORMED, MARKER, UNHANDLED, parse_once, unusable
 from sensorloom.operators.points import last_write_wins
 
 LIMITS = ("min_threshold", "max_threshold", "max_std_dev", "max_drift")
@@ -131,14 +131,33 @@ def decision_outcomes(records: DataFrame, config: DataFrame) -> DataFrame:
     """
     looked_up = F.when(F.col("payload_ok"), F.col("sensor_id"))
     keyed = records.select("route", "payload_ok", looked_up.alias("sensor_id"))
+    return enriched_outcomes(with_config(keyed, config))
+
+
+def enriched_outcomes(enriched: DataFrame) -> DataFrame:
+    """``decision_outcomes`` of rows that are joined with the configuration already."""
     return _outcomes(
-        with_config(keyed, config),
+        enriched,
         F.when(~F.col("payload_ok"), "unmarshal_payload_error")
         .when(F.col("has_config"), "success")
         .otherwise("redis_config_missing"),
     )
 
 
+def decision_rejects(enriched: DataFrame) -> DataFrame:
+    """Records of the processed topic that the stage gives up, as they came, with the ``reason``.
+
+    ``enriched`` are all rows, decoded once and joined with the configuration.
+    """
+    reason = (
+        F.when(F.col("route") == MALFORMED, "malformed_envelope")
+        .when((F.col("route") == DATA) & ~F.col("payload_ok"), "unmarshal_payload_error")
+        .when((F.col("route") == DATA) & ~F.col("has_config"), "redis_config_missing")
+    )
+    named = enriched.withColumn("reason", reason).where("reason is not null")
+    return named.select("key", "value", "topic", "partition", "offset", "timestamp", "reason")
+
+
 def sink_outcomes(records: DataFrame) -> DataFrame:
     """``type, status`` of every processed-topic record, as the metrics sink counts them."""
     counted = records.where(F.col("route").isin(DATA, MARKER))

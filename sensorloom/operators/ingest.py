@@ -24,6 +24,8 @@ from sensorloom.operators.codec import (
 )
 
 Validity = Callable[[Column], Column]
+#: Outcomes of records that are given up, unlike those that are none of the stage's business.
+REJECTED = ("malformed_envelope", "malformed_payload", "out_of_range")
 
 
 def plausible_temperature(value: Column) -> Column:
@@ -79,7 +81,13 @@ def cleaned_records(
 ) -> DataFrame:
     """The whole ingest stage on topic records, batch or streaming, in one pass over its source:
     valid readings re-encoded and keyed by sensor, markers unchanged, the rest dropped."""
-    typed = decode_typed_payload(decode_and_route(records))
+    return cleaned_of(decode_typed_payload(decode_and_route(records)), checks, restamp)
+
+
+def cleaned_of(
+    typed: DataFrame, checks: Mapping[str, Validity | None] = RANGE_CHECKS, restamp: Column | None = None
+) -> DataFrame:
+    """``cleaned_records`` of records that are parsed already."""
     is_marker = F.col("route") == MARKER
     typed = typed.where(is_marker | (F.col("payload_ok") & _valid(checks)))
     if restamp is not None:
@@ -102,7 +110,11 @@ def ingest_outcomes(
     Outcomes are ``malformed_envelope``, ``unhandled``, ``marker``, ``malformed_payload``,
     ``out_of_range`` and ``accepted``.
     """
-    typed = decode_typed_payload(decode_and_route(records))
+    return outcomes_of(decode_typed_payload(decode_and_route(records)), checks)
+
+
+def outcomes_of(typed: DataFrame, checks: Mapping[str, Validity | None] = RANGE_CHECKS) -> DataFrame:
+    """``ingest_outcomes`` of records that are parsed already."""
     outcome = (
         F.when(F.col("route") == MALFORMED, "malformed_envelope")
         .when(F.col("route") != DATA, F.col("route"))
@@ -110,7 +122,12 @@ def ingest_outcomes(
         .when(~_valid(checks), "out_of_range")
         .otherwise("accepted")
     )
-    return typed.select("key", "topic", "partition", "offset", outcome.alias("outcome"))
+    return typed.select("key", "value", "topic", "partition", "offset", "timestamp", outcome.alias("outcome"))
+
+
+def rejects_of(typed: DataFrame, checks: Mapping[str, Validity | None] = RANGE_CHECKS) -> DataFrame:
+    """Rejected records as they came, with the ``reason``."""
+    return outcomes_of(typed, checks).where(F.col("outcome").isin(*REJECTED)).withColumnRenamed("outcome", "reason")
 
 
 def reject_reasons(
@@ -119,7 +136,7 @@ def reject_reasons(
     """Rejected records counted by topic and reason."""
     return (
         ingest_outcomes(records, checks)
-        .where(F.col("outcome").isin("malformed_envelope", "malformed_payload", "out_of_range"))
+        .where(F.col("outcome").isin(*REJECTED))
         .groupBy("topic", F.col("outcome").alias("reason"))
         .agg(F.count("*").alias("n"))
     )

@@ -13,7 +13,7 @@ from sensorloom.functions.arrival import ARRIVED, arrival_us
 from sensorloom.functions.running import Running, with_running
 from sensorloom.functions.times import bucket_number
 from sensorloom.operators.points import last_write_wins
-from sensorloom.operators.windows import WindowSpec, with_event_clock
+from sensorloom.operators.windows import WindowSpec, windows_of, with_event_clock
 from sensorloom.session import written
 
 
@@ -94,54 +94,65 @@ def accepted(
     )
 
 
-def stop_purges(
-    readings: DataFrame, lifecycle: DataFrame, spec: WindowSpec = WindowSpec()
-) -> DataFrame:
-    """What each STOPPED event leaves of the sensor's buffer: ``sensor_id, session_no, arrived, stop_ts,
-    n_kept, n_purged``.
+KEYS = ["sensor_id", "session_no"]
 
-    A stop keeps buffered items with ``ts <= stop_ts``; a stop without a readable time keeps none.
-    ``lifecycle`` carries ``stop_ts``.
+
+def _buffered(readings: DataFrame, lifecycle: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Readings that enter a buffer and the stops, written, each with the event clock of its session."""
+    events = lifecycle.select("sensor_id", "state", ARRIVED, "stop_ts")
+    merged = _merged(readings, events, spec.chunk_us)
+    relevant = merged.where(
+        F.when(F.col("is_event"), F.col("__state") == STOPPED).otherwise(~F.col("stopped"))
+    ).select(*KEYS, ARRIVED, "machine_id", "ts", "value", "stop_ts", "is_event")
+    clocked = with_event_clock(written(relevant, "relevant"), KEYS, spec)
+    clocked = clocked.where(F.col("is_event") | ~F.col("is_late")).drop("ts", "watermark_us", "is_late")
+    return written(clocked.withColumn("__b", bucket_number(F.col("max_us"), spec.size_us)), "clocked")
+
+
+def _with_stops(clocked: DataFrame, spec: WindowSpec, how: str) -> DataFrame:
+    """Items with ``__met``, the stops that find them in the buffer in order of arrival, and for each of these
+    whether it lets the item stay (``__stays``), and the number of the first that does not (``__gone``, or 0).
 
     An item is in the buffer from its arrival until the event clock leaves it a window behind, or until the
     first stop that purges it. So an item looks up the stops of the two stretches of the event clock in which it
-    can live, folds them in order, and counts for each stop up to the first that purges it: one equi-join, no
-    pairs of items, and no join back.
+    can live and folds them in order: one equi-join, no pairs of items.
     """
-    keys = ["sensor_id", "session_no"]
-    merged = _merged(readings, lifecycle.select("sensor_id", "state", ARRIVED, "stop_ts"), spec.chunk_us)
-    relevant = merged.where(
-        F.when(F.col("is_event"), F.col("__state") == STOPPED).otherwise(~F.col("stopped"))
-    ).select(*keys, ARRIVED, "ts", "stop_ts", "is_event")
-    clocked = with_event_clock(written(relevant, "relevant"), keys, spec)
-    clocked = clocked.where(F.col("is_event") | ~F.col("is_late")).select(
-        *keys, ARRIVED, "ts_us", "stop_ts", "is_event", "max_us", bucket_number(F.col("max_us"), spec.size_us).alias("__b")
-    )
-    clocked = written(clocked, "clocked")
-    stops = clocked.where("is_event")
     stop = F.struct(ARRIVED, F.col("max_us").alias("at_us"), F.unix_micros("stop_ts").alias("stop_us"))
     # A stop is looked up from its own stretch and the one before. Arrays are per stretch of a session.
-    probes = stops.where("max_us is not null").select(*keys, F.explode(F.array("__b", F.col("__b") - 1)).alias("__b"), stop.alias("stop"))
-    probes = probes.groupBy(*keys, "__b").agg(F.array_sort(F.collect_list("stop")).alias("__stops"))
+    probes = clocked.where("is_event and max_us is not null").select(
+        *KEYS, F.explode(F.array("__b", F.col("__b") - 1)).alias("__b"), stop.alias("stop")
+    )
+    probes = probes.groupBy(*KEYS, "__b").agg(F.array_sort(F.collect_list("stop")).alias("__stops"))
     met = F.filter(
         "__stops",
         lambda s: (s[ARRIVED] > F.col(ARRIVED)) & (s["at_us"] <= F.col("max_us") + F.lit(spec.size_us)),
     )
     stays = F.transform("__met", lambda s: F.coalesce(F.col("ts_us") <= s["stop_us"], F.lit(False)))
-    gone = F.array_position("__stays", F.lit(False))
-    alive = F.when(gone > 0, gone).otherwise(F.size("__met")).cast("int")
+    items = clocked.where(~F.col("is_event")).join(probes, [*KEYS, "__b"], how).drop("__b")
+    items = items.withColumn("__met", met).withColumn("__stays", stays)
+    return items.withColumn("__gone", F.array_position("__stays", F.lit(False)).cast("int")).drop("__stops")
+
+
+def stop_purges(
+    readings: DataFrame, lifecycle: DataFrame, spec: WindowSpec = WindowSpec()
+) -> DataFrame:
+    """What each STOPPED event leaves of the sensor's buffer: ``sensor_id, session_no, arrived, stop_ts,
+    n_kept, n_purged``.
+
+    A stop keeps buffered items with ``ts <= stop_ts``; a stop without a readable time keeps none.
+    ``lifecycle`` carries ``stop_ts``. Every item counts for each stop up to the first that purges it.
+    """
+    clocked = _buffered(readings, lifecycle, spec)
+    alive = F.when(F.col("__gone") > 0, F.col("__gone")).otherwise(F.size("__met"))
     fates = (
-        clocked.where(~F.col("is_event"))
-        .join(probes, [*keys, "__b"])
-        .withColumn("__met", met)
+        _with_stops(clocked, spec, "inner")
         .where(F.size("__met") > 0)
-        .withColumn("__stays", stays)
-        .select(*keys, F.explode(F.slice(F.arrays_zip("__met", "__stays"), F.lit(1), alive)).alias("fate"))
-        .groupBy(*keys, F.col(f"fate.__met.{ARRIVED}").alias(ARRIVED))
+        .select(*KEYS, F.explode(F.slice(F.arrays_zip("__met", "__stays"), F.lit(1), alive)).alias("fate"))
+        .groupBy(*KEYS, F.col(f"fate.__met.{ARRIVED}").alias(ARRIVED))
         .agg(F.count_if("fate.__stays").alias("n_kept"), F.count_if(~F.col("fate.__stays")).alias("n_purged"))
     )
-    return stops.join(fates, [*keys, ARRIVED], "left").select(
-        *keys,
+    return clocked.where("is_event").join(fates, [*KEYS, ARRIVED], "left").select(
+        *KEYS,
         ARRIVED,
         "stop_ts",
         F.coalesce("n_kept", F.lit(0)).alias("n_kept"),
@@ -149,6 +160,18 @@ def stop_purges(
     )
 
 
+def session_windows(
+    readings: DataFrame, lifecycle: DataFrame, spec: WindowSpec = WindowSpec()
+) -> DataFrame:
+    """The sliding windows of running sensors by session, as the streaming stage makes them: warm-ups empty the
+    buffer, stops purge it. ``lifecycle`` carries ``stop_ts``."""
+    items = _with_stops(_buffered(readings, lifecycle, spec), spec, "left")
+    gone = F.get(F.transform("__met", lambda s: s["at_us"]), F.col("__gone") - 1)
+    items = items.withColumn("gone_us", F.when(F.col("__gone") > 0, gone))
+    kept = items.select(*KEYS, "machine_id", "ts_us", "value", "max_us", "is_new_max", "gone_us")
+    return windows_of(written(kept, "kept"), KEYS, spec)
+
+
 def latest_status(lifecycle: DataFrame) -> DataFrame:
     """The current status per sensor, by the last lifecycle event to arrive."""
     events = lifecycle.select("sensor_id", "machine_id", F.col("state").alias("status"), ARRIVED)

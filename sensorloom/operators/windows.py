@@ -92,14 +92,17 @@ def window_members(
 
     An equi-join on buckets of one window size: a row meets the evaluations of its own and the next
     bucket only, and belongs to at most ``size / slide + 1`` of them. Of the rows sharing the
-    maximum of an evaluation only the one that triggered it had arrived by then.
+    maximum of an evaluation only the one that triggered it had arrived by then. Where rows have ``gone_us``, the
+    event clock at which a stop took them out, they count up to it.
     """
     bucket = bucket_number(F.col("max_us"), spec.size_us)
     end_bucket = bucket_number(F.col("end_us"), spec.size_us)
-    rows = kept.select(*keys, "ts_us", "value", "max_us", "is_new_max", bucket.alias("__b"))
+    gone = F.col("gone_us") if "gone_us" in kept.columns else F.lit(None).cast("long")
+    rows = kept.select(*keys, "ts_us", "value", "max_us", "is_new_max", gone.alias("__gone"), bucket.alias("__b"))
     probes = points.withColumn("__b", F.explode(F.array(end_bucket - 1, end_bucket)))
     return rows.join(probes, [*keys, "__b"]).where(
-        (F.col("max_us") >= F.col("end_us") - F.lit(spec.size_us))
+        (F.col("__gone").isNull() | (F.col("end_us") <= F.col("__gone")))
+        & (F.col("max_us") >= F.col("end_us") - F.lit(spec.size_us))
         & (
             (F.col("max_us") < F.col("end_us"))
             | (F.col("is_new_max") & (F.col("max_us") == F.col("end_us")))
@@ -136,6 +139,11 @@ def sliding_windows(
     kept = written(
         clocked.select(*keys, "machine_id", "ts_us", "value", "max_us", "is_new_max"), "kept"
     )
+    return windows_of(kept, keys, spec)
+
+
+def windows_of(kept: DataFrame, keys: list[str], spec: WindowSpec) -> DataFrame:
+    """``sliding_windows`` of rows that have their event clock, read from a written table."""
     points = evaluations(kept, keys, spec)
     members = window_members(kept, points, keys, spec)
     members = members.withColumn("t", (F.col("ts_us") - F.col("end_us")) / F.lit(float(MICROS)))

@@ -816,6 +816,88 @@ ORACLE |= {
     "stream_status": ORACLE["status_current"],
 }
 
+_SLICE = """((T >= TIMESTAMP '2024-01-12 06:00:00')::INTEGER + (T >= TIMESTAMP '2024-01-23 18:00:00')::INTEGER)"""
+
+
+def slice_of(at: str) -> str:
+    """Number of the slice of arrivals that streams take in one start."""
+    return _SLICE.replace("T >=", f"{at} >=")
+
+
+#: Everything that arrives on the processed topic, with the columns of a topic record.
+PROCESSED_ALL = """passing AS (
+  SELECT route, key, "partition", "offset", "timestamp", damaged, sensor_id FROM (
+    SELECT 'data' AS route, sensor_id AS key, (CAST(sensor_id AS BIGINT) % 4)::INTEGER AS "partition", "offset",
+      record_ts AS "timestamp", damaged, sensor_id FROM processed
+    UNION ALL
+    SELECT route, rkey, "partition", "offset", arrival, NULL, NULL FROM records
+    WHERE route IN ('malformed', 'marker', 'unhandled')))"""
+
+ORACLE |= {
+    "table_retained": _with(
+        BASE,
+        RECORDS,
+        POINTS,
+        select=f"SELECT * FROM ({LAST_POINTS}) WHERE ts >= {NOW} - INTERVAL 72 HOUR",
+    ),
+    "stream_rejects": _with(
+        *WINDOW_CTES,
+        RECORDS,
+        CONFIG,
+        PROCESSED,
+        PROCESSED_ALL,
+        select="""SELECT 'ingest' AS stage, reason, rkey AS key, topic, "partition", "offset", arrival AS "timestamp" FROM (
+            SELECT *, CASE WHEN route = 'malformed' THEN 'malformed_envelope'
+              WHEN route = 'data' AND broken THEN 'malformed_payload'
+              WHEN route = 'data' AND event_id NOT IN (SELECT event_id FROM clean) THEN 'out_of_range' END AS reason
+            FROM records) WHERE reason IS NOT NULL
+          UNION ALL
+          SELECT 'decision', reason, key, 'processed-data-topic', "partition", "offset", "timestamp" FROM (
+            SELECT p.*, CASE WHEN route = 'malformed' THEN 'malformed_envelope'
+              WHEN route = 'data' AND damaged THEN 'unmarshal_payload_error'
+              WHEN route = 'data' AND c.sensor_id IS NULL THEN 'redis_config_missing' END AS reason
+            FROM passing p LEFT JOIN config c ON p.sensor_id = c.sensor_id) WHERE reason IS NOT NULL""",
+    ),
+    "config_merge_table": ORACLE["config_upsert_latest"],
+    "stream_decision_config": _with(
+        *WINDOW_CTES,
+        PROCESSED,
+        REQUESTS,
+        f"""stored AS (
+  SELECT at_slice, r.* FROM (VALUES (0), (1), (2)) AS s(at_slice), (
+    SELECT n.*, {slice_of("b.ts")} AS slice FROM normal n JOIN base b ON b.event_id = n.request_no
+    WHERE n.sensor_id <> '' AND n.type <> 'HumiditySensor') r
+  WHERE slice <= at_slice
+  QUALIFY row_number() OVER (PARTITION BY at_slice, sensor_id ORDER BY request_no DESC) = 1)""",
+        select=f"""SELECT p.sensor_id AS key, '{{"sensorId":"' || p.sensor_id || '","command":"ModeStop"}}' AS value,
+            (CAST(p.sensor_id AS BIGINT) % 4)::INTEGER AS "partition", "offset", record_ts AS "timestamp"
+          FROM processed p JOIN stored c ON c.sensor_id = p.sensor_id AND c.at_slice = {slice_of("p.record_ts")}
+          WHERE NOT damaged AND {rule()} IS NOT NULL""",
+    ),
+    "window_state_snapshot": _with(
+        BASE,
+        LIFECYCLE,
+        LIVE,
+        sliding(("sensor_id", "session_no")),
+        f"""now_in AS (
+  SELECT sensor_id, max(session_no) AS session_no, arg_max(stopped, arrived) AS stopped FROM states GROUP BY 1),
+clock AS (
+  SELECT n.*, max(k.max_us) AS max_us FROM now_in n LEFT JOIN kept k USING (sensor_id, session_no) GROUP BY ALL),
+fired AS (SELECT sensor_id, session_no, max(end_us) AS last_us FROM evals GROUP BY 1, 2),
+purges AS (
+  SELECT s.sensor_id, s.session_no, s.arrived, s.stop_ts FROM states s WHERE s.event_state = 'STOPPED'),
+buffer AS (
+  SELECT k.* FROM kept k JOIN clock c USING (sensor_id, session_no)
+  WHERE k.max_us >= c.max_us - {SIZE}::BIGINT AND NOT EXISTS (
+    SELECT 1 FROM purges p WHERE p.sensor_id = k.sensor_id AND p.session_no = k.session_no
+      AND p.arrived > k.arrived AND NOT coalesce(k.ts <= p.stop_ts, false)))""",
+        select=f"""SELECT c.sensor_id, c.session_no, c.stopped, c.max_us, f.last_us, count(b.arrived) AS n_items,
+            min(b.ts_us) AS first_us, max(b.ts_us) AS last_item_us, {r("coalesce(sum(b.value), 0)")} AS value_sum
+          FROM clock c LEFT JOIN fired f USING (sensor_id, session_no) LEFT JOIN buffer b USING (sensor_id, session_no)
+          GROUP BY ALL""",
+    ),
+}
+
 #: What the service makes of the raw topics: the cleaned topic's records as readings of their payload's sensor.
 SERVICE = (
     BASE,

@@ -11,7 +11,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.constants import MICROS, SOURCES, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_TEMPERATURE
+from sensorloom.constants import MICROS, RETENTION_HOURS, SOURCES, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_TEMPERATURE
 from sensorloom.functions.arrival import ARRIVED, arrival, record_arrival, spread
 from sensorloom.functions.scalars import round_half_away, stable_id
 from sensorloom.functions.times import bucket_start, clock_text, parse_rfc3339
@@ -164,7 +164,25 @@ def sink_two_writers(spark, sf_dir):
     table.append(rows.where(part == 0), 0, "north")
     table.append(rows.where(part == 3), 0, "north-restarted")
     middle = F.lit("2024-01-16").cast("timestamp")
-    return spread(table.compacted(spark, _fresh(spark, "compacted"), middle).read(spark))
+    table.compact(spark, middle)
+    return spread(table.read(spark))
+
+
+@query
+def table_retained(spark, sf_dir):
+    """A point table in place: closed days compacted, days older than the retention of its topic dropped, and what
+    neither names deleted from disk. A late batch of a closed day is read along with the compacted one."""
+    table = telemetry_table(_fresh(spark, "telemetry"))
+    rows = written(_hourly_points(spark, sf_dir), "points")
+    part = F.pmod(F.xxhash64("sensor_id", "arrived"), F.lit(3))
+    for number in range(2):
+        table.append(rows.where(part == number), number, "sink")
+    table.compact(spark, F.lit("2024-01-29").cast("timestamp"))
+    table.append(rows.where(part == 2), 2, "sink")
+    hours = RETENTION_HOURS[TOPIC_PROCESSED]
+    table.retain(spark, derived.now(), hours)
+    table.log.vacuum(spark)
+    return spread(points.retained(table.read(spark), derived.now(), hours, "ts"))
 
 
 @query
@@ -433,10 +451,9 @@ def sliding_eval(spark, sf_dir):
 
 @query
 def sliding_eval_sessions(spark, sf_dir):
-    live = lifecycle.accepted(
-        derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC.chunk_us
+    return _rounded_stats(
+        lifecycle.session_windows(derived.readings(spark, sf_dir), _events(spark, sf_dir), SPEC)
     )
-    return _rounded_stats(sliding_windows(written(live, "accepted"), ["sensor_id", "session_no"], SPEC))
 
 
 @query

@@ -8,16 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from sensorloom.constants import TOPIC_CLEANED, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_TEMPERATURE
+from sensorloom.constants import TOPIC_CLEANED, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_SIGNALS, TOPIC_TEMPERATURE
 from sensorloom.functions.arrival import ARRIVED, spread
 from sensorloom.operators import codec, ingest, lifecycle
 from sensorloom.operators.windows import sliding_windows
 from sensorloom.plans.queries import SPEC, _fresh, _rounded_stats, query, rounded
-from sensorloom.schemas import KAFKA_FRAME, STATS
+from sensorloom.schemas import KAFKA_FRAME, REJECTS, STATS
 from sensorloom.session import ROCKSDB_PROVIDER, written
 from sensorloom.sources import derived
+from sensorloom.sources.config_table import ConfigTable
 from sensorloom.sources.points import metrics_table, telemetry_table
-from sensorloom.sources.topics import read_topics, write_topic
+from sensorloom.sources.topics import TopicSink, read_topics, write_topic
 from sensorloom.streaming import jobs
 from sensorloom.streaming.pipeline import Pipeline
 
@@ -260,3 +261,105 @@ def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     every = telemetry.unionByName(windows.withColumn("sink", F.lit("metrics"))).unionByName(alarms)
     return rounded(every, "value")
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ingest and decision stages give up, each from the one parse that feeds their main output."""
+    windows = sliding_windows(derived.readings(spark, sf_dir), spec=SPEC)
+    processed = _kafka_shaped(derived.processed_records(spark, sf_dir, windows))
+    config = written(derived.sensor_config(spark, sf_dir), "config")
+    rejects = {stage: jobs.OutputFolder(_fresh(spark, f"{stage}-rejects")) for stage in ("ingest", "decision")}
+    counters = [jobs.OutputFolder(_fresh(spark, "counters")) for _ in rejects]
+    cleaned = TopicSink(TOPIC_CLEANED, _fresh(spark, "cleaned"))
+    alarms = TopicSink(TOPIC_SIGNALS, _fresh(spark, "signals"))
+    bodies = {
+        "ingest": jobs.ingest_body(cleaned, rejects["ingest"], counters[0], "ingest"),
+        "decision": jobs.decision_body(
+            lambda: config, alarms, counters[1], derived.now(), "decision", rejects=rejects["decision"]
+        ),
+    }
+
+    def starting(body, *topics):
+        def start(source, checkpoint):
+            batches = read_topics(spark, topics, path=source)
+            return batches.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+
+        return start
+
+    raw = _kafka_shaped(derived.raw_records(spark, sf_dir))
+    _in_slices(raw, starting(bodies["ingest"], TOPIC_TEMPERATURE, TOPIC_PRESSURE))
+    _in_slices(processed, starting(bodies["decision"], TOPIC_PROCESSED))
+    found = [rejects[s].read(spark, REJECTS).withColumn("stage", F.lit(s)) for s in rejects]
+    return found[0].unionByName(found[1]).select("stage", "reason", "key", "topic", "partition", "offset", "timestamp")
+
+
+def _requests_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registration requests with the ``slice`` that they arrive in."""
+    requests = derived.config_requests(spark, sf_dir)
+    times = derived.events(spark, sf_dir).select(F.col("event_id").alias("request_no"), _slice(F.col("ts")).alias("slice"))
+    return written(requests.join(times, "request_no"), "requests")
+
+
+def _registering(spark: SparkSession, table: ConfigTable, requests: DataFrame) -> Callable[[int], None]:
+    """A stream of requests into the stored configuration, a slice at a time."""
+    source, checkpoint = _fresh(spark, "requests"), _fresh(spark, "registry")
+    rows = requests.drop("slice")
+
+    def arrive(number: int) -> None:
+        requests.where(F.col("slice") == number).drop("slice").write.mode("append").parquet(source)
+        batches = spark.readStream.schema(rows.schema).parquet(source)
+        writer = batches.writeStream.foreachBatch(jobs.config_body(table, "registry"))
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    return arrive
+
+
+@query
+def config_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests stream into the stored configuration, whose deltas are merged into its base on the way; a batch
+    that is replayed changes nothing."""
+    table = ConfigTable(_fresh(spark, "config"), deltas=1)
+    requests = _requests_in_slices(spark, sf_dir)
+    arrive = _registering(spark, table, requests)
+    for number in range(len(_CUTS) + 1):
+        arrive(number)
+    table.register(requests.where("slice = 0").drop("slice"), 0, "registry")
+    return table.snapshot(spark)
+
+
+@query
+def stream_decision_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions while registrations arrive: every batch is judged by the configuration stored at its time."""
+    windows = sliding_windows(derived.readings(spark, sf_dir), spec=SPEC)
+    records = written(_kafka_shaped(derived.processed_records(spark, sf_dir, windows)), "processed")
+    table = ConfigTable(_fresh(spark, "config"))
+    arrive = _registering(spark, table, _requests_in_slices(spark, sf_dir))
+    alarms = TopicSink(TOPIC_SIGNALS, _fresh(spark, "signals"))
+    counters = jobs.OutputFolder(_fresh(spark, "counters"))
+    body = jobs.decision_body(lambda: table.snapshot(spark), alarms, counters, derived.now(), "decision")
+    source, checkpoint = _fresh(spark, "source"), _fresh(spark, "decision")
+    for number in range(len(_CUTS) + 1):
+        arrive(number)
+        records.where(_slice(F.col("timestamp")) == number).write.mode("append").parquet(source)
+        batches = read_topics(spark, [TOPIC_PROCESSED], path=source)
+        writer = batches.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return alarms.read(spark).select("key", "value", "partition", "offset", "timestamp")
+
+
+@query
+def window_state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the window stage holds when it is stopped, read from its checkpoint: every sensor's clock and buffer."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    events = lifecycle.parse_lifecycle(derived.lifecycle_messages(spark, sf_dir))
+    inputs = jobs.merge_inputs(derived.readings(spark, sf_dir), events)
+    kept = []
+
+    def start(source, checkpoint):
+        kept.append(checkpoint)
+        rows = jobs.window_stream(spark.readStream.schema(inputs.schema).parquet(source), SPEC)
+        return rows.writeStream.format("noop").option("checkpointLocation", checkpoint)
+
+    _in_slices(inputs, start, F.timestamp_micros("at_us"))
+    return rounded(jobs.window_state(spark, kept[-1]), "value_sum")

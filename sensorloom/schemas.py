@@ -66,4 +66,6 @@ KAFKA_FRAME = _struct(
     ("offset", _L),
     ("timestamp", _TS),
 )
+#: Records that a stage gives up, as they came.
+REJECTS = T.StructType([*KAFKA_FRAME, T.StructField("reason", _S)])
 STATS = ("min_value", "mean_value", "max_value", "std_dev", "rate_of_change")

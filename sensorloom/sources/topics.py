@@ -99,8 +99,8 @@ def write_topic(
 class TopicSink:
     """A topic that ``foreachBatch`` bodies append to.
 
-    In files a batch has the folder of its writer and id, which a replay replaces; a broker gets a replayed batch
-    again, as with any producer that isn't transactional.
+    In files a batch has the folder of its writer and id: a replay leaves a finished one alone and replaces a
+    broken one. A broker gets a replayed batch again, as with any producer that isn't transactional.
     """
 
     topic: str
@@ -114,9 +114,11 @@ class TopicSink:
             return
         if self.path is None:
             raise ValueError("TopicSink needs servers= (Kafka) or path= (files)")
-        _placed(records, self.topic).write.mode("overwrite").parquet(
-            f"{self.path}/writer={writer}/batch_id={batch_id}"
-        )
+        folder = f"{self.path}/writer={writer}/batch_id={batch_id}"
+        context = records.sparkSession.sparkContext
+        done = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+        if not done.getFileSystem(context._jsc.hadoopConfiguration()).exists(done):
+            _placed(records, self.topic).write.mode("overwrite").parquet(folder)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All records of the topic so far."""

@@ -14,8 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.functions.arrival import ARRIVED, ORDER as ARRIVAL, arrival_us, record_arrival
-from sensorloom.operators import codec, decide, lifecycle, metrics
+from sensorloom.operators import codec, decide, ingest, lifecycle, metrics
 from sensorloom.operators.windows import WindowSpec
+from sensorloom.sources.config_table import ConfigTable
 from sensorloom.sources.points import PointTable
 from sensorloom.sources.topics import TopicSink
 from sensorloom.streaming.processor import ORDER, OUTPUT, SlidingWindowProcessor
@@ -65,6 +66,37 @@ def window_stream(
     ).drop("window_start_us", "window_end_us")
 
 
+def window_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The state of ``window_stream`` as its last committed batch left it, one row per sensor: whether it is
+    stopped, its session, event clock and last evaluation, and what its buffer holds."""
+
+    def read(name: str) -> DataFrame:
+        return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+
+    sensor = F.col("key.sensor_id").alias("sensor_id")
+    clocks = read("clock").select(sensor, "value.*")
+    items = read("buffer").select(sensor, F.explode("list_value").alias("item")) if "list_value" in read("buffer").columns else (
+        read("buffer").select(sensor, F.col("list_element").alias("item"))
+    )
+    held = items.groupBy("sensor_id").agg(
+        F.count("*").alias("n_items"),
+        F.min("item.ts_us").alias("first_us"),
+        F.max("item.ts_us").alias("last_item_us"),
+        F.sum("item.value").alias("value_sum"),
+    )
+    return clocks.join(held, "sensor_id", "left").select(
+        "sensor_id",
+        "session_no",
+        "stopped",
+        "max_us",
+        "last_us",
+        F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        "first_us",
+        "last_item_us",
+        F.coalesce("value_sum", F.lit(0.0)).alias("value_sum"),
+    )
+
+
 def processed_stream(
     cleaned: DataFrame,
     lifecycle_events: DataFrame,
@@ -132,6 +164,34 @@ def metrics_sink(
     return body
 
 
+def ingest_body(cleaned: TopicSink, rejects: OutputFolder, counters: OutputFolder, writer: str) -> BatchBody:
+    """Raw-topic batches to the cleaned topic, the rejected records with their reason, and counts of all outcomes.
+
+    A batch is parsed once.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        typed = codec.decode_typed_payload(codec.decode_and_route(batch)).persist()
+        try:
+            cleaned.write(ingest.cleaned_of(typed), batch_id, writer)
+            rejects.write(ingest.rejects_of(typed), batch_id, writer)
+            counts = ingest.outcomes_of(typed).groupBy("topic", "outcome").agg(F.count("*").alias("n"))
+            counters.write(counts, batch_id, writer)
+        finally:
+            typed.unpersist()
+
+    return body
+
+
+def config_body(table: ConfigTable, writer: str) -> BatchBody:
+    """Registration requests to the stored configuration."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        table.register(batch, batch_id, writer)
+
+    return body
+
+
 @dataclass(frozen=True)
 class StageHealth:
     """Where a stage leaves its lag gauges and the latency histogram of its markers, per batch."""
@@ -159,18 +219,20 @@ def decision_body(
     writer: str,
     compat: str = "intended",
     health: StageHealth | None = None,
+    rejects: OutputFolder | None = None,
 ) -> BatchBody:
-    """Processed-topic batches to alarm records, counters and, if given, the stage's health.
+    """Processed-topic batches to alarm records, counters and, if given, rejects and the stage's health.
 
-    ``load_config`` runs once per batch, so a batch sees the configuration of its own time.
+    ``load_config`` runs once per batch, so a batch sees the configuration of its own time. A batch is parsed
+    and joined with it once, and all outputs come from that.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        records = codec.decode_processed_all(codec.decode_and_route(batch), now).persist()
+        decoded = codec.decode_processed_all(codec.decode_and_route(batch), now)
+        sensor = F.when(F.col("payload_ok"), F.col("sensor_id"))
+        records = decide.with_config(decoded.withColumn("sensor_id", sensor), load_config()).persist()
         try:
-            config = load_config()
-            enriched = decide.with_config(records.where("payload_ok"), config)
-            judged = decide.evaluate_rules(enriched, compat)
+            judged = decide.evaluate_rules(records.where("payload_ok"), compat)
             commands = decide.encode_alarms(
                 judged.where("is_anomaly").select(
                     "sensor_id",
@@ -181,8 +243,9 @@ def decision_body(
                 )
             )
             alarms.write(commands, batch_id, writer)
-            outcomes = decide.decision_outcomes(records, config)
-            counters.write(metrics.count_outcomes(outcomes), batch_id, writer)
+            counters.write(metrics.count_outcomes(decide.enriched_outcomes(records)), batch_id, writer)
+            if rejects is not None:
+                rejects.write(decide.decision_rejects(records), batch_id, writer)
             if health is not None:
                 lag = metrics.record_lag(now, F.col("timestamp"))
                 health.lags.write(

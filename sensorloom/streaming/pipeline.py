@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sensorloom.constants import TOPIC_CLEANED, TOPIC_PRESSURE, TOPIC_PROCESSED, TOPIC_SIGNALS, TOPIC_TEMPERATURE
-from sensorloom.operators import ingest
 from sensorloom.operators.windows import WindowSpec
 from sensorloom.sources.points import PointTable, metrics_table, telemetry_table
 from sensorloom.sources.topics import TopicSink, read_topics, write_topic
@@ -44,6 +43,8 @@ class Pipeline:
     emitted_at: Column
     spec: WindowSpec = field(default_factory=WindowSpec)
     generation: str = "1"
+    #: Files of a topic that a micro-batch takes at most, so that a backlog is worked off in bounded steps.
+    max_files: int = 256
 
     def topic_path(self, topic: str) -> str:
         return f"{self.root}/topics/{topic}"
@@ -64,6 +65,10 @@ class Pipeline:
     def health(self) -> jobs.StageHealth:
         return jobs.StageHealth(self._folder("decision-lags"), self._folder("decision-latencies"))
 
+    def rejects(self, stage: str) -> jobs.OutputFolder:
+        """What a stage (``ingest`` or ``decision``) has given up, with the reason."""
+        return self._folder(f"{stage}-rejects")
+
     def _folder(self, name: str) -> jobs.OutputFolder:
         return jobs.OutputFolder(f"{self.root}/{name}")
 
@@ -71,14 +76,19 @@ class Pipeline:
         return f"{self.root}/checkpoints/{stage}-{self.generation}"
 
     def _reads(self, topic: str) -> DataFrame:
-        return read_topics(self.spark, [topic], path=self.topic_path(topic))
+        return read_topics(self.spark, [topic], path=self.topic_path(topic), max_per_trigger=self.max_files)
 
     def _each(self, topic: str, stage: str, body: jobs.BatchBody) -> DataStreamWriter:
         return self._reads(topic).writeStream.foreachBatch(body).option("checkpointLocation", self._checkpoint(stage))
 
     def ingest(self) -> DataStreamWriter:
-        clean = ingest.cleaned_records(self.raw())
-        return write_topic(clean, TOPIC_CLEANED, checkpoint=self._checkpoint("ingest"), path=self.topic_path(TOPIC_CLEANED))
+        body = jobs.ingest_body(
+            TopicSink(TOPIC_CLEANED, self.topic_path(TOPIC_CLEANED)),
+            self.rejects("ingest"),
+            self._folder("ingest-counters"),
+            self._writer("ingest"),
+        )
+        return self.raw().writeStream.foreachBatch(body).option("checkpointLocation", self._checkpoint("ingest"))
 
     def raw_points(self) -> DataStreamWriter:
         return self._each(TOPIC_CLEANED, "telemetry", jobs.telemetry_sink(self.telemetry, self.now, self._writer("telemetry")))
@@ -93,7 +103,13 @@ class Pipeline:
 
     def decision(self) -> DataStreamWriter:
         body = jobs.decision_body(
-            self.config, self.alarms, self._folder("decision-counters"), self.now, self._writer("decision"), health=self.health
+            self.config,
+            self.alarms,
+            self._folder("decision-counters"),
+            self.now,
+            self._writer("decision"),
+            health=self.health,
+            rejects=self.rejects("decision"),
         )
         return self._each(TOPIC_PROCESSED, "decision", body)
 
