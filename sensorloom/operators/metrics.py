@@ -3,7 +3,7 @@ stored metric samples ``ts, metric, labels, value``."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import add, and_
 
@@ -13,7 +13,6 @@ from sensorloom.constants import LATENCY_BOUNDS, MICROS, SEEDED_COUNTERS
 from sensorloom.functions.arrival import ARRIVED
 from sensorloom.functions.running import Running, with_running
 from sensorloom.functions.times import micros
-from sensorloom.session import written
 
 #: How long a gauge's last sample counts.
 LOOKBACK_SECONDS = 300.0
@@ -195,34 +194,76 @@ def latest_by(
     return per_series.groupBy(*by).agg(combine("value").alias("value"))
 
 
-def latency_percentiles(latencies: DataFrame, chunk: int = 1024) -> DataFrame:
-    """Successful operations' p50, p95, p99 and maximum latency by exact rank ``floor(n * p)``
-    from 0: ``statistic, latency_ms, n``.
+#: Leading bits that a first range of values keeps, and parts that a range is cut into when it is opened.
+LEADING_BITS, PARTS = 10, 4096
+
+
+def _magnitude(value: Column) -> Column:
+    """A number of the range that a LONG falls in: its sign, size and leading bits. Ranges keep the values' order,
+    and there are no more than some 64,000 of them."""
+    size = F.abs(value)
+    bits = F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double"))) + 1
+    shift = F.greatest(bits - LEADING_BITS, F.lit(0)).cast("int")
+    of = shift.cast("long") * (2 << LEADING_BITS) + F.call_function("shiftright", size, shift)
+    return F.when(value < 0, -of).otherwise(of)
+
 
-    Latencies are counted per distinct value first, and ranks are running sums over those counts,
-    so no task ever sorts the latencies themselves.
+def value_at_ranks(values: DataFrame, name: str, ranks: Callable[[int], dict[str, int]]) -> tuple[dict[str, int], int]:
+    """The values of the LONG column ``name`` at some ranks (from 0, nulls not counted), and how many there are.
+
+    ``ranks`` gives the wanted ranks by label, from the number of values. Values are counted by range; only the
+    ranges that hold a wanted rank are opened, cut into parts and counted again, until a range is one value. No
+    task sorts values and none holds more than the counts of its ranges: two scans find any rank of values below
+    2^32 or so, and each further one takes twelve more bits.
     """
-    counts = latencies.where("ok").groupBy("latency_ms").agg(F.count("*").alias("__c"))
-    counts = written(counts, "latency-counts")  # several steps read them
-    ranked = with_running(
-        counts, [], "latency_ms", chunk, __upto=Running("sum", F.col("__c"))
-    )
-    n = counts.agg(F.sum("__c")).scalar()
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("statistic"),
-                F.floor(n * F.lit(p)).cast("long").alias("__rank"),
-            )
-            for name, p in (("p50", 0.50), ("p95", 0.95), ("p99", 0.99))
-        ],
-        F.struct(F.lit("max").alias("statistic"), (n - 1).alias("__rank")),
-    )
-    return (
-        ranked.select("latency_ms", "__c", "__upto", F.inline(wanted), n.alias("n"))
-        .where("__rank >= __upto - __c and __rank < __upto")
-        .select("statistic", "latency_ms", "n")
-    )
+    values = values.select(F.col(name).alias("v")).where(F.col(name).isNotNull())
+
+    def counted(rows: DataFrame, *by: str) -> list:
+        found = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        return sorted((r["low"], r["high"], r["n"]) for r in found.collect())
+
+    ranges = counted(values.withColumn("range", _magnitude(F.col("v"))), "range")
+    total = sum(n for _, _, n in ranges)
+    wanted = {label: rank for label, rank in ranks(total).items() if 0 <= rank < total}
+    found: dict[str, int] = {}
+    opened, held = [((None, None), 0, ranges)], {label: (rank, (None, None)) for label, rank in wanted.items()}
+    while held:
+        inside, before = {}, {}
+        for of, base, parts in opened:
+            for low, high, n in parts:
+                for label, (rank, within) in held.items():
+                    if within == of and base <= rank < base + n:
+                        inside[label], before[low, high] = (rank, (low, high)), base
+                base += n
+        held = {label: x for label, x in inside.items() if x[1][0] < x[1][1]}
+        found |= {label: low for label, (_, (low, high)) in inside.items() if low == high}
+        open_ = sorted({within for _, within in held.values()})
+        if open_:
+            number, part = F.lit(None).cast("int"), F.lit(None).cast("long")
+            for i, (low, high) in enumerate(open_):
+                here, width = F.col("v").between(low, high), (high - low) // PARTS + 1
+                number = F.when(here, i).otherwise(number)
+                part = F.when(here, F.call_function("div", F.col("v") - low, F.lit(width))).otherwise(part)
+            rows = values.select("v", number.alias("range"), part.alias("part")).where("range is not null")
+            cut = counted(rows, "range", "part")
+            opened = [(r, before[r], [c for c in cut if r[0] <= c[0] <= r[1]]) for r in open_]
+    return found, total
+
+
+#: Labels of the reported statistics and the share of values below each.
+PERCENTILES = (("p50", 0.50), ("p95", 0.95), ("p99", 0.99))
+
+
+def latency_percentiles(latencies: DataFrame) -> DataFrame:
+    """Successful operations' p50, p95, p99 and maximum latency by exact rank ``floor(n * p)``
+    from 0: ``statistic, latency_ms, n``."""
+
+    def ranks(n: int) -> dict[str, int]:
+        return {name: int(n * p) for name, p in PERCENTILES} | {"max": n - 1}
+
+    found, n = value_at_ranks(latencies.where("ok"), "latency_ms", ranks)
+    rows = [(name, value, n) for name, value in found.items()]
+    return latencies.sparkSession.createDataFrame(rows, "statistic string, latency_ms long, n long")
 
 
 def latency_summary(latencies: DataFrame) -> DataFrame:

@@ -116,3 +116,29 @@ def test_a_cluster_must_name_its_shared_folder():
 def test_topics_need_a_place(spark):
     with pytest.raises(ValueError, match="servers="):
         read_topics(spark, ["a"])
+
+
+@pytest.mark.parametrize("spread", [3, 20_000, 10**9, 2**62])
+def test_ranks_are_found_by_ranges(spark, spread):
+    import random
+
+    rng = random.Random(spread)
+    values = [rng.randrange(-spread, spread) for _ in range(3000)] + [spread // 2] * 500 + [None] * 5
+    frame = spark.createDataFrame([(v,) for v in values], "x long").repartition(3)
+    ordered = sorted(v for v in values if v is not None)
+    ranks = {str(r): r for r in (0, 1, 1749, 1750, 3498, 3499, 3500, -1)}
+    found, n = metrics.value_at_ranks(frame, "x", lambda n: ranks)
+    assert n == 3500 and found == {k: ordered[r] for k, r in ranks.items() if 0 <= r < 3500}
+
+
+def test_ranks_take_two_scans_and_no_values_give_none(spark):
+    frame = spark.range(0, 200_000, 7, 4).select((F.col("id") * 37 % 20_000).alias("x"))
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "ranks")
+    found, n = metrics.value_at_ranks(frame, "x", lambda n: {"a": n // 2, "b": n - 1})
+    scans = [status.getJobInfo(j) for j in status.getJobIdsForGroup("ranks")]
+    spark.sparkContext.setJobGroup("", "")
+    assert n == 28572 and set(found) == {"a", "b"} and len(scans) <= 4  # a scan is one or two jobs
+    assert metrics.value_at_ranks(frame.where("x < 0"), "x", lambda n: {"a": 0}) == ({}, 0)
+    none = spark.createDataFrame([], "latency_ms long, ok boolean")
+    assert metrics.latency_percentiles(none).collect() == []
