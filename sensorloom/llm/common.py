@@ -52,6 +52,11 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def row_of(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct ``row``, so that no inner name can clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character kept.
 

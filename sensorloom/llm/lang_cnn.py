@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from sensorloom.llm.common import crc_bucket
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER_OR_NUMBER = re.compile(r"[^\W\d_]")
 #: Windows that are convolved at once.
 CHUNK = 128
 
@@ -96,9 +96,14 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; numbers such as superscripts and fractions are none."""
+    return any(found.group().isalpha() for found in LETTER_OR_NUMBER.finditer(text))
+
+
 def trained(texts: list[str], labels: list[str], settings: Settings = Settings()) -> Network | None:
     """Fit a network by Adam; None without texts that have letters."""
-    pairs = [(t, x) for t, x in zip(texts, labels, strict=True) if t and LETTER.search(t)]
+    pairs = [(t, x) for t, x in zip(texts, labels, strict=True) if t and has_letter(t)]
     if not pairs:
         return None
     random = np.random.default_rng(settings.seed)
@@ -228,7 +233,7 @@ def predict(texts: list[str | None], network: Network | None, tables: dict | Non
         held.clear()
 
     for i, text in enumerate(texts):
-        if not isinstance(text, str) or not LETTER.search(text):
+        if not isinstance(text, str) or not has_letter(text):
             continue
         data = _bytes(text)
         sizes[i] = len(data)

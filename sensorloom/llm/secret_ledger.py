@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sensorloom.llm.common import fresh_folder, let, written
+from sensorloom.llm.common import fresh_folder, let, row_of, written
 
 
 @dataclass(frozen=True)
@@ -226,11 +226,11 @@ def redact(docs: DataFrame, ledger: BlobLedger | None = None, rules: tuple[Rule,
     ledger = ledger or BlobLedger(docs.sparkSession)
     ledger.update(docs, rules)
     known = ledger.rows(rule_version(rules)).where(F.col("spans").isNotNull())
-    known = known.select(F.col("blob_id").alias("__blob"), F.col("spans").alias("__spans"))
-    joined_rows = docs.withColumn("__blob", blob_id(F.col("text"))).join(known, "__blob", "left")
-    text = redacted(F.col("text"), F.col("__spans"))
-    columns = {"text": text}
-    if "n_chars" in docs.columns:
-        changed = F.col("__spans").isNotNull()
-        columns["n_chars"] = F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return joined_rows.withColumns(columns).select(*docs.columns)
+    packed = docs.select(row_of(docs), blob_id(F.col("text")).alias("blob_id"))
+    joined_rows = packed.join(known.select("blob_id", "spans"), "blob_id", "left")
+    text = redacted(F.col("row.text"), F.col("spans"))
+    changed = F.col("spans").isNotNull()
+    made = {"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("row.n_chars"))}
+    return joined_rows.select(
+        *[made[c].alias(c) if c in made else F.col(f"row.`{c}`") for c in docs.columns]
+    )

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.common import ascii_lower, discard, let, written
+from sensorloom.llm.common import ascii_lower, discard, let, row_of, written
 
 # Fixed value: what separates words (letters, digits and everything beyond ASCII form words).
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -107,7 +107,7 @@ def benchmark_grams(items: DataFrame, window: int, gram: int) -> tuple[DataFrame
     size = F.size("words")
     brief = items.where(size < window).select(
         size.alias("size"),
-        F.get(whole_hash(F.col("folded")), F.lit(0)).alias("hash"),
+        F.get(whole_hash(F.col("folded"), window), F.lit(0)).alias("hash"),
         F.col("item_id").cast("string").alias("item_id"),
         size.alias("length"),
         F.lit(0).alias("lead"),
@@ -118,10 +118,10 @@ def benchmark_grams(items: DataFrame, window: int, gram: int) -> tuple[DataFrame
     return anchors, sorted(r["length"] for r in brief_sizes.collect())
 
 
-def whole_hash(words: Column) -> Column:
+def whole_hash(words: Column, window: int) -> Column:
     """As ``gram_hashes`` with the number of words as size, where that is below a window."""
     cases = F.lit(None).cast("array<bigint>")
-    for size in range(1, WINDOW):
+    for size in range(1, window):
         cases = F.when(F.size(words) == size, gram_hashes(words, size)).otherwise(cases)
     return cases
 
@@ -258,5 +258,5 @@ def digest(rows: DataFrame, hits: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``docs`` without the rows whose text shares a window with an item."""
     _, hits = judged(docs, items, window, gram)
-    keyed = docs.withColumn("__key", text_key(F.col("text")))
-    return keyed.join(hits.select(F.col("key").alias("__key")), "__key", "left_anti").select(*docs.columns)
+    packed = docs.select(row_of(docs), text_key(F.col("text")).alias("key"))
+    return packed.join(hits.select("key"), "key", "left_anti").select("row.*")

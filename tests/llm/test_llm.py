@@ -550,3 +550,21 @@ LINKS = "<ul class=x1>" + "".join(f"<li><a href=/{i}>go {i}</a></li>" for i in r
 )
 def test_extraction_by_ratio(page, text):
     assert html_main.main_text(page) == "\n".join(text)
+
+
+@pytest.mark.parametrize("window", [6, 10, 12])
+def test_contamination_of_items_around_a_window(spark, window):
+    """Items of fewer words than a window are one window, whatever its length."""
+    text = " ".join(f"word{i}" for i in range(40))
+    sizes = (1, window - 1, window, window + 1)
+    items = [(str(n), " ".join(f"word{i}" for i in range(5, 5 + n))) for n in sizes]
+    docs = spark.createDataFrame([(1, text), (2, "other words only"), (3, None)], "doc_id long, text string")
+    for one in items:
+        frame = spark.createDataFrame([one], "item_id string, text string")
+        found = {r["doc_id"]: r["n_hit"] for r in winnow.digest(*winnow.judged(docs, frame, window)).collect()}
+        assert found == {1: int(one[0]), 2: 0, 3: 0}
+
+
+def test_numbers_are_no_letters():
+    assert not any(map(lang_cnn.has_letter, ["² ½", "Ⅷ", "12 _ 3", "", "٣"]))
+    assert all(map(lang_cnn.has_letter, ["² a", "ß", "ª", "語"]))
