@@ -10,9 +10,11 @@ Steps, each a Spark job whose tasks hold a bounded number of sets:
 
 1. A sketch counts how many n-grams fall into each of a fixed number of buckets; it gives tokens a
    global order, rare ones first.
-2. Every text yields its class, its group and its first tokens in the global order. Groups of more than
-   ``BLOCK_MEMBERS`` are cut into blocks; before that their classes are compared with one of them
-   (linear in the size of the group), and those linked to it need no further comparison.
+2. Every text yields its class, its group and its family (least hashes of its tokens) and its first tokens in the
+   global order. A class is compared with the most central class of its group and of its family, that with the
+   most frequent tokens; this is linear in their size. Classes linked that way have a label and need no
+   comparison with each other: they form the groups of their label. The others are in one group if such comparisons
+   connect them, linked or not. Groups are cut into blocks of a bounded number of sets and tokens.
 3. Two linked sets share c of the |Q| - ceil(t |Q|) + c first tokens, for any c. Where a query of one
    group has that many first tokens in the union of another group's, it is checked against the blocks
    of the other: bound by the block's whole union, then member by member. The members of a block are checked with each other as well. A task returns
@@ -38,19 +40,23 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sensorloom.llm.common import discard, release, written
+from sensorloom.llm.common import discard, release, row_of, written
 from sensorloom.llm.components import components
 
 #: Buckets of the sketch that orders tokens, and rows that a task's counts are handed on in.
 SKETCH_BUCKETS, SKETCH_ROWS = 1 << 20, 16
 #: Bits of the map that tells which sets are needed.
 MAP_BITS = 1 << 26
-#: Members of a block, and queries checked in one task.
-BLOCK_MEMBERS, BLOCK_QUERIES = 256, 256
+#: Members of a block and queries checked in one task, and tokens of either (a longer set is alone).
+BLOCK_MEMBERS, BLOCK_QUERIES, BLOCK_TOKENS = 256, 256, 1 << 18
+#: Salts of the least hashes that make groups and families.
+FAMILIES = {"group": np.uint64(0xA24BAED4963EE407), "family": np.uint64(0x9FB21C651E98DF25)}
 #: One more common first token is asked for with each so many tokens of a set: a few tokens in common
 #: are chance in long texts.
 SHARE_OF = 50
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Tokens of the sets that a task hands on at a time.
+BATCH_TOKENS = 1 << 19
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -150,32 +156,36 @@ def sketch(docs: DataFrame, join: Join) -> np.ndarray:
     return out.reshape(-1)
 
 
-HEADS = "doc_id long, key string, n long, class long, group long, prefix array<long>"
+HEADS = (
+    "doc_id long, key string, n long, class long, group long, family long, centre long, prefix array<long>"
+)
 
 
 def heads(docs: DataFrame, counts: np.ndarray, join: Join) -> DataFrame:
-    """Per document: size, class and group of its set, and its first tokens in the global order."""
+    """Per document: size, class, group and family of its set, how frequent its tokens are, and the first of
+    them in the global order."""
     mean = max(1.0, float(counts.mean()))
     # On this scale the mean is 256; equal ranks are ordered by hash.
     ranks = np.minimum(counts * (256.0 / mean), 65535).astype(np.uint16)
-    usual_rank = int(min(65535, 256 / mean * (1.5 * mean + 8 * mean**0.5 + 8)))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
         for batch in batches:
-            n, classes, groups, prefix = [], [], [], []
+            n, classes, centres, prefix = [], [], [], []
+            families = {name: [] for name in FAMILIES}
             for text in batch.column("text").to_pylist():
                 found = tokens(text, join.size)
                 n.append(len(found))
                 if not len(found):
-                    classes.append(None), groups.append(None), prefix.append(None)
+                    for column in (classes, centres, prefix, *families.values()):
+                        column.append(None)
                     continue
                 often = ranks[_bucket(found)]
-                # Tokens that very many texts share make poor groups, unless there is nothing else.
-                usual = found[often <= max(usual_rank, int(often.min()))]
                 classes.append(_class_of(found))
-                groups.append(int(_mixed(usual * FACTOR).min()) - (1 << 63))
+                for name, salt in FAMILIES.items():
+                    families[name].append(int(_mixed(found ^ salt).min()) - (1 << 63))
+                centres.append(int(1024 * often.mean()))
                 first = np.argsort(often, kind="stable")[: join.prefix(len(found))]
                 prefix.append(found[first].view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -184,10 +194,11 @@ def heads(docs: DataFrame, counts: np.ndarray, join: Join) -> DataFrame:
                     batch.column("key").cast(pa.string()),
                     pa.array(n, pa.int64()),
                     pa.array(classes, pa.int64()),
-                    pa.array(groups, pa.int64()),
+                    *[pa.array(column, pa.int64()) for column in families.values()],
+                    pa.array(centres, pa.int64()),
                     pa.array(prefix, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key", "n", "class", "group", "prefix"],
+                names=["doc_id", "key", "n", "class", *families, "centre", "prefix"],
             )
 
     key = row_key(F.col("doc_id"), F.col("text")).alias("key")
@@ -207,18 +218,26 @@ def sets_of(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         needed = shared.value
+
+        def rows(made: dict[int, np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {"class": pa.array(list(made), pa.int64()), "tokens": pa.array(list(made.values()), pa.list_(pa.int64()))}
+            )
+
         for batch in batches:
-            made = {}
+            made, held = {}, 0
             for text in batch.column("text").to_pylist():
                 found = tokens(text, join.size)
                 if len(found):
                     number = _class_of(found)
                     place = number % MAP_BITS
-                    if needed[place >> 3] >> (place & 7) & 1:
+                    if number not in made and needed[place >> 3] >> (place & 7) & 1:
                         made[number] = found.view(np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {"class": pa.array(list(made), pa.int64()), "tokens": pa.array(list(made.values()), pa.list_(pa.int64()))}
-            )
+                        held += len(found)
+                        if held > BATCH_TOKENS:
+                            yield rows(made)
+                            made, held = {}, 0
+            yield rows(made)
 
     found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(make, "class long, tokens array<long>")
     sets = written(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "sets")
@@ -229,21 +248,45 @@ def sets_of(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
 # ---------------------------------------------------------------- links
 
 
-def _star_links(docs: DataFrame, classes: DataFrame, large: DataFrame, join: Join) -> DataFrame:
-    """a, b: links between the classes of large groups and the least class of their group."""
-    pairs = classes.join(large.hint("merge"), "group").where("class != pivot").select("class", "pivot")
-    pairs = written(pairs, "star-pairs")
-    needed = pairs.select("class").unionByName(large.select(F.col("pivot").alias("class")))
-    sets = sets_of(docs, needed, join)
+def _star_links(docs: DataFrame, classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
+    """a, b: links between classes and the most central class of their group and of their family; and class,
+    cluster of all classes that were compared."""
+    pairs = None
+    for family in FAMILIES:
+        centre = F.max(F.struct("centre", "class", "n")).alias("top")
+        centres = classes.groupBy(family).agg(F.count("*").alias("members"), centre).where("members > 1")
+        centres = centres.select(family, F.col("top.class").alias("pivot"), F.col("top.n").alias("pivot_n"))
+        some = classes.select("class", "n", family).join(centres.hint("merge"), family)
+        small, large = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
+        some = some.where((F.col("class") != F.col("pivot")) & (join.over * small >= join.least * large))
+        some = some.select("class", "pivot")
+        pairs = some if pairs is None else pairs.unionByName(some)
+    pairs = written(pairs.distinct(), "star-pairs")
+    sets = sets_of(docs, pairs.select("class").unionByName(pairs.select(F.col("pivot").alias("class"))), join)
     left = pairs.join(sets.hint("merge"), "class").withColumnRenamed("tokens", "own")
-    left = written(left, "star-sets")
     both = left.join(sets.hint("merge").withColumnRenamed("class", "pivot"), "pivot")
     common = F.size(F.array_intersect("own", "tokens"))
     union = F.size("own") + F.size("tokens") - common
     linked = both.where(join.over * common >= join.least * union)
     links = written(linked.select(F.col("class").alias("a"), F.col("pivot").alias("b")), "star-links")
-    discard(left, sets)
-    return links
+    clusters = components(pairs.select(F.col("class").alias("a"), F.col("pivot").alias("b")))
+    discard(pairs, sets)
+    release(docs.sparkSession)
+    return links, clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster"))
+
+
+def _placed(classes: DataFrame, labels: DataFrame, clusters: DataFrame) -> DataFrame:
+    """class, n, first_key, label (of classes linked already, else null) and unit: a group, or a block of it."""
+    placed = classes.select("class", "n", "first_key", "group").join(labels.hint("merge"), "class", "left")
+    placed = placed.join(clusters.hint("merge"), "class", "left")
+    placed = placed.withColumn("group", F.coalesce("label", "cluster", "group")).drop("cluster")
+    placed = written(placed, "grouped")
+    of = [F.col("group"), F.col("label").isNotNull().alias("labelled")]
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long")
+    sizes = placed.groupBy(*of).agg(blocks.alias("blocks"))
+    placed = placed.withColumn("labelled", F.col("label").isNotNull()).join(sizes.hint("merge"), ["group", "labelled"])
+    block = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    return written(placed.select("class", "n", "first_key", F.xxhash64("group", "labelled", block).alias("unit"), "label"), "placed")
 
 
 class _Forest:
@@ -294,8 +337,7 @@ def _checked(queries: pd.DataFrame, members: pd.DataFrame, inside: bool, join: J
 
 
 def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join) -> DataFrame:
-    """a, b: links between classes. ``placed``: class, n, first_key, unit (a group, or a block of a
-    large one) and label (of classes linked already, else null)."""
+    """a, b: links between classes of different groups, and of groups without a label. ``placed``: see there."""
     heads_of = rows.select("class", F.col("key").alias("first_key"), "prefix")
     spread = heads_of.join(
         placed.select("class", "first_key", F.coalesce("label", "unit").alias("mark")).hint("merge"),
@@ -320,13 +362,14 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
     index = written(index, "token-groups")
     asks = shared.join(index.hint("merge"), "token").where((F.col("unit") < F.col("to")) & close & apart)
     fewest = 1 + F.floor(F.least(F.min("n"), F.min("least")) / SHARE_OF)
-    asks = asks.groupBy("class", "to").agg(F.count("*").alias("common"), fewest.alias("fewest"))
-    asks = written(asks.where("common >= fewest").select("class", "to"), "group-queries")
+    asks = asks.groupBy("class", "to").agg(F.count("*").alias("common"), fewest.alias("fewest"), F.min("n").alias("n"))
+    asks = written(asks.where("common >= fewest").select("class", "to", "n"), "group-queries")
     discard(shared, index)
     release(docs.sparkSession)
     # Units of two or more classes that aren't linked yet are checked inside as well.
     inner = placed.where("label is null").groupBy("unit").agg(F.count("*").alias("n")).where("n > 1")
-    parts = asks.groupBy("to").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("parts"))
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK_QUERIES), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    parts = asks.groupBy("to").agg(parts.alias("parts"))
     parts = parts.join(inner.select(F.col("unit").alias("to"), F.lit(True).alias("inside")), "to", "full")
     parts = written(
         parts.select("to", F.coalesce("parts", F.lit(1)).alias("parts"), F.coalesce("inside", F.lit(False)).alias("inside")),
@@ -365,32 +408,20 @@ def joined(docs: DataFrame, join: Join = Join()) -> DataFrame:
     rows = written(heads(docs, sketch(docs, join), join), "heads")
     classes = rows.where("n > 0").groupBy("class").agg(
         F.min("n").alias("n"),
-        F.min("group").alias("group"),
+        *[F.min(name).alias(name) for name in (*FAMILIES, "centre")],
         F.min("key").alias("first_key"),
         F.min("doc_id").alias("least"),
         F.count("*").alias("copies"),
     )
     classes = written(classes, "classes")
-    large = classes.groupBy("group").agg(F.count("*").alias("members"), F.min("class").alias("pivot"))
-    large = written(large.where(F.col("members") > BLOCK_MEMBERS), "large-groups")
-    links = None
-    placed = classes.withColumns({"unit": F.col("group"), "label": F.lit(None).cast("long")})
-    if not large.isEmpty():
-        links = _star_links(docs, classes, large, join)
-        linked = links.select(F.col("a").alias("class"), F.col("b").alias("linked"))
-        placed = classes.join(large.hint("merge"), "group", "left").join(linked.hint("merge"), "class", "left")
-        label = F.when(F.col("class") == F.col("pivot"), F.col("pivot")).otherwise(F.col("linked"))
-        block = F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / BLOCK_MEMBERS))
-        unit = F.when(F.col("members").isNull(), F.col("group")).otherwise(
-            F.xxhash64("group", block, label.isNull())
-        )
-        placed = placed.withColumns({"unit": unit, "label": label})
+    links, clusters = _star_links(docs, classes, join)
+    labels = components(links).select(F.col("node").alias("class"), F.col("component").alias("label"))
     # The same row of the documents stands for a class everywhere, copies of it included.
-    placed = written(placed.select("class", "n", "first_key", "unit", "label"), "placed")
+    placed = _placed(classes, labels, clusters)
     found = _group_links(docs, rows.where("n > 0"), placed, join)
     slim = written(rows.select("doc_id", "key", "n", "class"), "document-classes")
     discard(rows)
-    joint = components(found if links is None else found.unionByName(links))
+    joint = components(found.unionByName(links))
     joint = joint.select(F.col("node").alias("class"), F.col("component").alias("joint"))
     # A class without links only needs an id of its own where it has copies.
     named = classes.select("class", "least", "copies").join(joint, "class", "left")
@@ -421,11 +452,11 @@ def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     first = written(rows.groupBy("joint").agg(F.min(rank).alias("first")), "first-rows")
     judged = rows.join(first.hint("merge"), "joint")
     judged = judged.groupBy("key").agg(
-        F.max(F.col("first.key") == F.col("key")).alias("__stays"), F.count("*").alias("__rows")
+        F.max(F.col("first.key") == F.col("key")).alias("stays"), F.count("*").alias("rows")
     )
-    judged = written(judged.where("not __stays or __rows > 1").withColumnRenamed("key", "__key"), "judged-rows")
-    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
-    marked = keyed.join(judged.hint("merge"), "__key", "left")
-    stays = marked.where("__stays is null")
-    repeated = marked.where("__stays").dropDuplicates(["__key"])
-    return stays.unionByName(repeated).select(*docs.columns)
+    judged = written(judged.where("not stays or rows > 1"), "judged-rows")
+    keyed = docs.select(row_of(docs), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    marked = keyed.join(judged.hint("merge"), "key", "left")
+    stays = marked.where("stays is null")
+    repeated = marked.where("stays").dropDuplicates(["key"])
+    return stays.unionByName(repeated).select("row.*")

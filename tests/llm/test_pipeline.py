@@ -82,3 +82,24 @@ def test_empty_tables(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like inner ones come out as they went in."""
+    names = ["row", "key", "__key", "__blob", "blob_id", "spans", "stays", "rows", "doc", "odd `name`"]
+    said = "the cat sat on the mat and looked at the dog that was by the door password=abcdefgh12"
+    rows = [(i, said + " " + "x" * (i % 2), "en", "s", 5, *[f"{n}{i}" for n in names]) for i in range(4)]
+    fields = [("doc_id", "long"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "long")]
+    schema = ", ".join([f"{n} {t}" for n, t in fields] + [f"`{n.replace('`', '``')}` string" for n in names])
+    docs = spark.createDataFrame(rows, schema)
+    items = spark.createDataFrame([("i", "nothing of this is in any of them at all, be sure")], "item_id string, text string")
+    from sensorloom.llm import ngram_join, secret_ledger, winnow
+
+    for made, ids in (
+        (ngram_join.one_of_each(docs, corpus_pipeline.NEAR_COPIES), {0}),
+        (winnow.decontaminate(docs, items), {0, 1, 2, 3}),
+        (secret_ledger.redact(docs), {0, 1, 2, 3}),
+    ):
+        assert made.columns == docs.columns
+        got = {r[0]: r for r in made.collect()}
+        assert got.keys() == ids and all(tuple(r)[5:] == rows[i][5:] for i, r in got.items())
