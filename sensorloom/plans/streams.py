@@ -362,4 +362,4 @@ def window_state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rows.writeStream.format("noop").option("checkpointLocation", checkpoint)
 
     _in_slices(inputs, start, F.timestamp_micros("at_us"))
-    return rounded(jobs.window_state(spark, kept[-1]), "value_sum")
+    return rounded(jobs.window_state(spark, kept[-1], SPEC), "value_sum")

@@ -66,7 +66,7 @@ def window_stream(
     ).drop("window_start_us", "window_end_us")
 
 
-def window_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+def window_state(spark: SparkSession, checkpoint: str, spec: WindowSpec = WindowSpec()) -> DataFrame:
     """The state of ``window_stream`` as its last committed batch left it, one row per sensor: whether it is
     stopped, its session, event clock and last evaluation, and what its buffer holds."""
 
@@ -75,10 +75,10 @@ def window_state(spark: SparkSession, checkpoint: str) -> DataFrame:
 
     sensor = F.col("key.sensor_id").alias("sensor_id")
     clocks = read("clock").select(sensor, "value.*")
-    items = read("buffer").select(sensor, F.explode("list_value").alias("item")) if "list_value" in read("buffer").columns else (
-        read("buffer").select(sensor, F.col("list_element").alias("item"))
-    )
-    held = items.groupBy("sensor_id").agg(
+    items = read("buffer").select(sensor, F.col("list_element").alias("item"))
+    live = items.join(clocks.select("sensor_id", "max_us"), "sensor_id")
+    held = live.where(F.col("item.max_us") >= F.col("max_us") - F.lit(spec.size_us))
+    held = held.groupBy("sensor_id").agg(
         F.count("*").alias("n_items"),
         F.min("item.ts_us").alias("first_us"),
         F.max("item.ts_us").alias("last_item_us"),

@@ -60,7 +60,11 @@ def slope(seconds: np.ndarray, values: np.ndarray) -> float:
 
 
 class SlidingWindowProcessor(StatefulProcessor):
-    """State per sensor: the event clock, the last evaluation, whether it is stopped, the buffer."""
+    """State per sensor: the event clock, the last evaluation, whether it is stopped, the buffer.
+
+    The buffer is a list that is appended to. Items that the clock has left behind stay at its front, unread, until
+    they are more than the live ones; only then, or when an event takes items out, is the list written anew.
+    """
 
     def __init__(self, spec: WindowSpec = WindowSpec(), idle_ttl_ms: int | None = None) -> None:
         self.spec = spec
@@ -79,6 +83,9 @@ class SlidingWindowProcessor(StatefulProcessor):
             np.array([item[i] for item in held], dtype=kind)
             for i, kind in enumerate((np.int64, np.float64, np.int64))
         )
+        behind = 0 if max_us is None else int(np.searchsorted(buffer[2], max_us - self.spec.size_us))
+        buffer = tuple(column[behind:] for column in buffer)
+        intact = True  # the list in the state, without its front, begins the buffer
 
         out: list[tuple] = []
         event = batch["state"].notna().to_numpy()
@@ -87,34 +94,46 @@ class SlidingWindowProcessor(StatefulProcessor):
             if not event[start]:
                 known = True
                 if not stopped:
-                    buffer, max_us, last_us = self._apply(
+                    buffer, max_us, last_us, left = self._apply(
                         key[0], session, batch.iloc[start:end], buffer, max_us, last_us, out
                     )
+                    behind += left
             elif known:
                 state = batch["state"].iloc[start]
                 if state == STOPPED:
                     stopped = True
                     stop = batch["stop_us"].iloc[start]
                     stays = buffer[0] <= stop if pd.notna(stop) else np.zeros(len(buffer[0]), bool)
+                    intact = intact and bool(stays.all())
                     buffer = tuple(column[stays] for column in buffer)
                 elif state == WARM_UP:
                     session += 1
                     max_us = last_us = None
+                    intact = False
                     buffer = tuple(column[:0] for column in buffer)
                 elif state == READY:
                     stopped = False
 
         if known:
             self.clock.update((max_us, last_us, stopped, session))
-            items = [(int(t), float(v), int(m)) for t, v, m in zip(*buffer)]
-            if items:
-                self.buffer.put(items)
-            else:
-                self.buffer.clear()
+            self._keep(buffer, len(held), behind, intact)
         yield pd.DataFrame(out, columns=OUTPUT.names)
 
+    def _keep(self, buffer, stored: int, behind: int, intact: bool) -> None:
+        """Bring the list state up to the buffer; ``behind`` items of its front are left behind by now."""
+        live = len(buffer[0])
+        append = intact and behind <= max(live, stored - behind)
+        fresh = max(0, stored - behind) if append else 0
+        items = [(int(t), float(v), int(m)) for t, v, m in zip(*(column[fresh:] for column in buffer))]
+        if append and items:
+            self.buffer.appendList(items)
+        elif not append and live:
+            self.buffer.put(items)
+        elif not append:
+            self.buffer.clear()
+
     def _apply(self, sensor, session, rows, buffer, max_us, last_us, out):
-        """Readings between two lifecycle events: returns the new buffer and clock."""
+        """Readings between two lifecycle events: returns the new buffer and clock, and how many items it left."""
         spec = self.spec
         ts = rows["ts_us"].to_numpy(dtype=np.int64)
         before = _NEVER if max_us is None else max_us
@@ -143,7 +162,7 @@ class SlidingWindowProcessor(StatefulProcessor):
             here += int(np.searchsorted(maxima[here:], end_us + spec.slide_us))
         max_us = int(clock[-1])
         low = int(np.searchsorted(seen, max_us - spec.size_us))
-        return (times[low:], values[low:], seen[low:]), max_us, last_us
+        return (times[low:], values[low:], seen[low:]), max_us, last_us, low
 
     def close(self) -> None:
         pass
