@@ -54,7 +54,12 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 def row_of(docs: DataFrame) -> Column:
     """All columns of ``docs`` as one struct ``row``, so that no inner name can clash with theirs."""
-    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")
+
+
+def quoted(name: str) -> str:
+    """A column's name as an identifier, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def ascii_lower(text: Column) -> Column:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sensorloom.llm.common import fresh_folder, let, row_of, written
+from sensorloom.llm.common import fresh_folder, let, quoted, row_of, written
 
 
 @dataclass(frozen=True)
@@ -232,5 +232,5 @@ def redact(docs: DataFrame, ledger: BlobLedger | None = None, rules: tuple[Rule,
     changed = F.col("spans").isNotNull()
     made = {"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("row.n_chars"))}
     return joined_rows.select(
-        *[made[c].alias(c) if c in made else F.col(f"row.`{c}`") for c in docs.columns]
+        *[made[c].alias(c) if c in made else F.col(f"row.{quoted(c)}") for c in docs.columns]
     )

@@ -73,7 +73,7 @@ def test_packing_stage(stages):
 
 def test_registered(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
