@@ -2,8 +2,11 @@
 
 Every version of every path is content-addressed (SHA-256 of its text). The ledger keeps one row for
 each pair of blob and rule version that was ever scanned, findings or not, so a later run scans only
-pairs that it lacks; findings are joined back to all paths that hold, or held, the blob. Everything is
-a DataFrame expression. Within one blob the spans of a rule are found from the alternation of gaps
+pairs that it lacks. It also keeps the blobs of every path of every run, so findings are joined back to
+all paths that hold, or held, the blob. A ledger lives in its folder and can be opened again, also by
+several writers at once: runs have names of their own, only committed ones are read, and a pair that two
+writers scanned counts once. Texts are not kept, so a changed rule set judges a blob when it is next
+given. Everything is a DataFrame expression. Within one blob the spans of a rule are found from the alternation of gaps
 (``split``) and matches (``regexp_extract_all``): the running sum of their lengths gives positions.
 
 Defined results: a null text counts as empty; an empty text has no findings; equal rows, also with
@@ -14,6 +17,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -134,18 +138,44 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 class BlobLedger:
-    """A table of scanned (blob_id, rule_version) pairs with their findings, in the shared folder."""
+    """The tables of a ledger in ``path`` (by default a new folder, deleted when the driver ends).
+
+    ``run-*`` hold scanned (blob_id, rule_version) pairs with their findings, ``paths-*`` the
+    (doc_id, blob_id) rows of each update.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or fresh_folder(spark, "secret-ledger")
-        self.runs: list[str] = []
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Find the committed runs below ``path``, those of other writers included."""
+        self.runs = self._committed("run-")
+        self.path_runs = self._committed("paths-")
+
+    def _committed(self, prefix: str) -> list[str]:
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        names = sorted(entry.getPath().getName() for entry in files.listStatus(folder))
+        done = context._jvm.org.apache.hadoop.fs.Path
+        found = [f"{self.path}/{name}" for name in names if name.startswith(prefix)]
+        return [path for path in found if files.exists(done(f"{path}/_SUCCESS"))]
+
+    def _new(self, prefix: str, before: list[str]) -> str:
+        return f"{self.path}/{prefix}{len(before):06d}-{uuid.uuid4().hex}"
 
     def rows(self, version: str) -> DataFrame | None:
+        """The blobs scanned under a rule version, each once, with their spans (null: none)."""
         if not self.runs:
             return None
-        stored = self.spark.read.parquet(*self.runs)
-        return stored.where(F.col("rule_version") == version)
+        stored = self.spark.read.parquet(*self.runs).where(F.col("rule_version") == version)
+        if len(self.runs) > 1:
+            stored = stored.groupBy("blob_id").agg(F.first("spans", ignorenulls=True).alias("spans"))
+        return stored.select("blob_id", "spans")
 
     def update(self, docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """Scan what the ledger lacks of ``docs``; returns (doc_id, blob_id) of all rows, written."""
@@ -153,7 +183,11 @@ class BlobLedger:
         texts = docs.select(
             "doc_id", blob_id(F.col("text")).alias("blob_id"), F.coalesce("text", F.lit("")).alias("text")
         )
-        paths = written(texts.select("doc_id", "blob_id"), "secret-paths")
+        kept = self._new("paths-", self.path_runs)
+        given = texts.select("doc_id", "blob_id")
+        given.write.parquet(kept)
+        self.path_runs.append(kept)
+        paths = self.spark.read.schema(given.schema).parquet(kept)
         seen = self.rows(version)
         new_ids, new_texts = paths.select("blob_id").distinct(), texts
         if seen is not None:
@@ -161,15 +195,22 @@ class BlobLedger:
             new_texts = new_texts.join(seen.select("blob_id"), "blob_id", "left_anti")
         suspects = new_texts.where(suspect(F.col("text"))).groupBy("blob_id").agg(F.min("text").alias("text"))
         findings = scan_blobs(written(suspects, "secret-suspects"), rules)
-        run = f"{self.path}/run-{len(self.runs):06d}"
+        run = self._new("run-", self.runs)
         new_ids.join(findings, "blob_id", "left").withColumn("rule_version", F.lit(version)).write.parquet(run)
         self.runs.append(run)
         return paths
 
     def findings(self, paths: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """One row per row of ``paths``, with the spans of its blob (null: none)."""
-        known = self.rows(rule_version(rules))
-        return paths.join(known.drop("rule_version"), "blob_id", "left")
+        return paths.join(self.rows(rule_version(rules)), "blob_id", "left")
+
+    def history(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """One row per path and blob that it holds or ever held, with the blob's spans (null: none).
+
+        Blobs that were never scanned under these rules have no row. The ledger must not be empty.
+        """
+        ever = self.spark.read.parquet(*self.path_runs).distinct()
+        return ever.join(self.rows(rule_version(rules)), "blob_id")
 
 
 def joined(spans: Column) -> Column:
