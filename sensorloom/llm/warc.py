@@ -7,7 +7,8 @@ longest record). A task writes to a name of its own attempt and only the names i
 are ever read, so repeated attempts after the loss of an executor do no harm.
 
 Of records with equal payloads of at least ``least_bytes``, that with the smallest page_id is a
-response, the others are revisits without payload. Defined results: a null html counts as empty; rows
+response, the others are revisits without payload that name the response's record, target and date.
+Defined results: a null html counts as empty; rows
 with equal page_id and payload are all responses where theirs is the smallest id; null ids never count
 as smallest unless no other is there; a null url writes no target. Equal rows write equal records. An
 empty table gives no rows. Other columns are ignored.
@@ -35,6 +36,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 LEAST_BYTES = 100
 FILE_BYTES = 32 << 20
+#: Archives that one task reads back.
+FILES_PER_TASK = 4
 DICTIONARY_BYTES = 64 << 10
 #: Bytes of a file's records that its dictionary is built from, and of any one record among them.
 SAMPLE_BYTES, SAMPLE_RECORD_BYTES = 2 << 20, 16 << 10
@@ -49,7 +52,8 @@ READ = (
 
 
 def with_types(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """page_id, url, payload, digest, refers_to (null for responses).
+    """page_id, url, payload, digest, refers_to (null for responses) and refers_url, the url of that page
+    (the first in order, where several rows have its id and payload).
 
     Only digests that occur twice are joined back, and both sides of the join can be split, so a
     payload that a third of the rows share does not gather in one task.
@@ -58,26 +62,45 @@ def with_types(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     large = F.octet_length("payload") >= least_bytes
-    shared = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    shared = written(shared.where("n > 1").drop("n"), "warc-shared")
+    known = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))
+    shared = rows.where(large).groupBy("digest").agg(F.min(known).alias("first"), F.count("*").alias("n"))
+    shared = shared.where("n > 1").select("digest", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url"))
+    shared = written(shared, "warc-shared")
     joined = rows.join(shared.withColumnRenamed("digest", "shared"), large & (F.col("digest") == F.col("shared")), "left")
     is_revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return joined.select("page_id", "url", "payload", "digest", F.when(is_revisit, F.col("first")).alias("refers_to"))
+    return joined.select(
+        "page_id",
+        "url",
+        "payload",
+        "digest",
+        F.when(is_revisit, F.col("first")).alias("refers_to"),
+        F.when(is_revisit, F.col("first_url")).alias("refers_url"),
+    )
+
+
+def record_id(page_id, url, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, json.dumps([page_id, url, digest]))}>"
+
+
+def _target(url) -> str | None:
+    return url and " ".join(url.split())
 
 
-def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
+def record(page_id, url, payload: bytes, digest: str, refers_to, refers_url=None) -> bytes:
     """One WARC record; the page's numbers and the payload's length travel in its own headers."""
     revisit = refers_to is not None
     head = HTTP_HEAD % len(payload)
     block = head if revisit else head + payload
-    name = uuid.uuid5(uuid.NAMESPACE_URL, json.dumps([page_id, url, digest]))
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{name}>"),
+        ("WARC-Record-ID", record_id(page_id, url, digest)),
         ("WARC-Date", DATE),
-        ("WARC-Target-URI", url and " ".join(url.split())),
+        ("WARC-Target-URI", _target(url)),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("WARC-Profile", PROFILE if revisit else None),
+        ("WARC-Refers-To", record_id(refers_to, refers_url, digest) if revisit else None),
+        ("WARC-Refers-To-Target-URI", _target(refers_url) if revisit else None),
+        ("WARC-Refers-To-Date", DATE if revisit else None),
         ("X-Page-Id", page_id),
         ("X-Refers-To-Page-Id", refers_to),
         ("X-Payload-Length", len(payload)),
@@ -156,13 +179,14 @@ def write_archives(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -
         columns = [c.split()[0] for c in INDEX.split(", ")]
         held, size = [], 0
         for batch in batches:
-            for page_id, url, payload, digest, refers_to in batch.itertuples(index=False):
+            for page_id, url, payload, digest, refers_to, refers_url in batch.itertuples(index=False):
                 whole = record(
                     None if pd.isna(page_id) else int(page_id),
                     url,
                     bytes(payload),
                     digest,
                     None if pd.isna(refers_to) else int(refers_to),
+                    refers_url,
                 )
                 if held and size + len(whole) > file_bytes:
                     yield pd.DataFrame(_write_file(folder, held), columns=columns)
@@ -173,7 +197,12 @@ def write_archives(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -
             yield pd.DataFrame(_write_file(folder, held), columns=columns)
 
     exact = rows.select(
-        F.col("page_id").cast("decimal(20,0)"), "url", "payload", "digest", F.col("refers_to").cast("decimal(20,0)")
+        F.col("page_id").cast("decimal(20,0)"),
+        "url",
+        "payload",
+        "digest",
+        F.col("refers_to").cast("decimal(20,0)"),
+        "refers_url",
     )
     return written(exact.mapInPandas(write, INDEX), "warc-index")
 
@@ -202,8 +231,9 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
     frames = F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("frames")
-    # An archive's records are bounded by its size; archives are dealt evenly to tasks.
-    return index.groupBy("file").agg(frames).mapInPandas(read, READ)
+    # The index is small beside what it lists, so tasks are counted in archives, not in its bytes.
+    tasks = -(-index.select("file").distinct().count() // FILES_PER_TASK)
+    return index.repartition(max(1, tasks), "file").groupBy("file").agg(frames).mapInPandas(read, READ)
 
 
 def archived(pages: DataFrame, folder: str | None = None, file_bytes: int = FILE_BYTES) -> DataFrame:

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from conftest import SMALL
 from oracle_check import connect, differences
 from pyspark.sql import functions as F
@@ -191,6 +192,33 @@ def test_ledger_scans_only_what_it_lacks(spark, docs):
     assert spark.read.parquet(ledger.runs[-1]).count() == runs[0]
 
 
+def test_a_ledger_is_opened_again_and_knows_all_paths(spark, tmp_path):
+    def given(*rows):
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    def spans(frame):
+        found = secret_ledger.digest(frame).collect()
+        return sorted((r["doc_id"], r["spans"]) for r in found)
+
+    place, secret = str(tmp_path / "ledger 1"), "token=abcdefgh"
+    secret_ledger.BlobLedger(spark, place).update(given((1, secret), (2, "plain")))
+    (tmp_path / "ledger 1" / "run-000009-broken").mkdir()  # a run that never was committed
+    again = secret_ledger.BlobLedger(spark, place)
+    paths = again.update(given((1, "changed"), (3, secret), (3, secret)))
+    assert [spark.read.parquet(p).count() for p in again.runs] == [2, 1]
+    assert spans(again.findings(paths)) == [(1, ""), (3, "assign:0:14"), (3, "assign:0:14")]
+    # the version that path 1 no longer holds is still joined to it
+    held = [(1, ""), (1, "assign:0:14"), (2, ""), (3, "assign:0:14")]
+    assert spans(again.history()) == held
+    # two writers that open the ledger at the same time scan the same blob; it counts once
+    one, two = (secret_ledger.BlobLedger(spark, place) for _ in range(2))
+    new = given((4, "secret: 12345678"))
+    one.update(new), two.update(new)
+    two.refresh()
+    assert len(two.runs) == 4 and spans(two.history()) == [*held, (4, "assign:0:16")]
+    assert two.rows(secret_ledger.rule_version()).count() == 4
+
+
 def test_redaction(spark, docs):
     out = {r["doc_id"]: r for r in secret_ledger.redact(docs).collect()}
     assert out[10]["text"] == '[SECRET]" 😀 [SECRET]'
@@ -460,6 +488,36 @@ def test_archives_round_trip(spark):
     assert rows_of(warc.archived(frame.limit(0))) == []
 
 
+def test_revisits_name_the_record_that_holds_their_payload(spark, tmp_path):
+    same = "<p>" + "same " * 40
+    pages = [(4, "http://a/4", same), (2, "http://a/ 2", same), (9, None, same), (None, "http://a/n", same), (3, None, same * 2), (5, "u", same * 2)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    folder = str(tmp_path / "archives")
+    heads = []
+    for row in warc.write_archives(warc.with_types(frame), folder).collect():
+        data = (tmp_path / "archives" / row["file"]).read_bytes()
+        size = int.from_bytes(data[4:8], "little")
+        words = zstandard.ZstdCompressionDict(data[8 : 8 + size]) if size else None
+        one = zstandard.ZstdDecompressor(dict_data=words).decompress(data[row["offset"] : row["offset"] + row["length"]])
+        heads.append(dict(line.split(": ", 1) for line in one.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:]))
+    by_id = {head["WARC-Record-ID"]: head for head in heads}
+    revisits = [head for head in heads if head["WARC-Type"] == "revisit"]
+    assert len(by_id) == len(pages) and len(revisits) == 4
+    for head in revisits:
+        meant = by_id[head["WARC-Refers-To"]]
+        assert meant["WARC-Type"] == "response" and meant["X-Page-Id"] == head["X-Refers-To-Page-Id"]
+        assert meant["WARC-Payload-Digest"] == head["WARC-Payload-Digest"]
+        assert head.get("WARC-Refers-To-Target-URI") == meant.get("WARC-Target-URI")
+        assert head["WARC-Refers-To-Date"] == meant["WARC-Date"]
+
+
+def test_archives_are_read_by_tasks_of_a_few_files(spark):
+    pages = [(i, None, f"<p>{words(60, i)}</p>") for i in range(80)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    out = warc.archived(frame, file_bytes=1000)
+    assert out.count() == 80 and out.rdd.getNumPartitions() >= 10
+
+
 # ---------------------------------------------------------------- op9
 
 
