@@ -7,20 +7,27 @@ octets, a date is a day of the calendar. Punctuation stays, and a phone number h
 however it is punctuated. The round function is SHA-256 of key, kind, round and the other half.
 Everything is a DataFrame expression.
 
-Kinds, in the order in which a text is searched: ``email`` (its local part), ``ip`` (IPv4), ``date``
-(year-month-day, or day.month.year and day/month/year, that is a day from 1900-01-01 to 2099-08-04),
-``phone`` (ten national digits after an optional country code), ``card`` (13 to 19 digits with a right
-check digit) and ``account`` (13 to 19 other digits). What fails validation stays as it is.
+Kinds, in the order in which a text is searched: ``email`` (its local part), ``ip`` (IPv4), ``date`` (a day
+of 1900 to 2099, year first with - or /, or last with . or /, days and months of one or two digits; a year
+last has the day first, or the month where only that is a day), ``phone`` (ten national digits after an
+optional country code, or ten digits alone), ``card`` (13 to 19 digits with a right check digit) and
+``account`` (9, 11 or 12 digits alone or in groups joined by -, three, two and four digits joined by
+blanks, and 13 to 19 digits that are no card). What fails validation stays as it is, as do shorter and
+longer numbers, digits within words and decimal places.
+
+A day up to the twelfth of its month stays one, and a later one a later one, so that a month-first
+pseudonym can only be read as such and a day has the same pseudonym in every notation.
 
 Defined results: a null text stays null and an empty one empty, without findings; equal rows get equal
-results; an empty table gives no rows. Other columns pass through.
+results; an empty table gives no rows. Other columns pass through, but for those named ``n_<kind>`` (in
+any case), which the counts replace.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.common import let
+from sensorloom.llm.common import let, quoted, row_of
 
 ROUNDS = 8
 # Formats of each kind.
@@ -29,17 +36,27 @@ PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?[0-9])",
     "date": (
-        r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}"
-        r"|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9./-]?[0-9])"
+        r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{1,2}-[0-9]{1,2}|(?:19|20)[0-9]{2}/[0-9]{1,2}/[0-9]{1,2}"
+        r"|[0-9]{1,2}\.[0-9]{1,2}\.(?:19|20)[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/(?:19|20)[0-9]{2})(?![0-9./-]?[0-9])"
+    ),
+    "phone": (
+        r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+        r"|\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4})(?![0-9])"
     ),
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "number": (
+        r"(?<![A-Za-z0-9_])(?<![0-9][.,])(?:[0-9]{9,12}|[0-9]{3} [0-9]{2} [0-9]{4}"
+        r"|(?=[0-9](?:-?[0-9]){8,11}(?!-?[0-9]))[0-9]{2,6}(?:-[0-9]{2,6}){1,3}(?!-?[0-9]))(?![A-Za-z0-9_])"
+    ),
 }
 KINDS = ("email", "ip", "date", "phone", "card", "account")
 EVERY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Days from the first on that a date can be; a square, so that both halves have one size.
-FIRST_DAY, HALF_DAYS = "1900-01-01", 270
+#: The first day and how many there are; the network permutes numbers below a square that holds them.
+FIRST_DAY, DAYS, HALF_DAYS = "1900-01-01", 73049, 271
+#: Times that a day's number is permuted until it is a day of its class. Each time a day of the smaller
+#: class has two chances in five, so that all fail for one day in 10^27.
+WALK = 128
 
 
 def _hash(key: Column, kind: str, turn: Column, half: Column) -> Column:
@@ -143,14 +160,70 @@ def _is_card(digits: Column) -> Column:
     return check_digit(payload) == F.substring(digits, F.length(digits), F.lit(1))
 
 
-def _day_of(match: Column) -> Column:
-    """The day a date means, as days after the first; null where it isn't one of them."""
-    written = (
-        F.when(match.contains("-"), match)
-        .otherwise(F.concat_ws("-", F.substring(match, 7, 4), F.substring(match, 4, 2), F.substring(match, 1, 2)))
-    )
-    days = F.datediff(F.try_to_date(written, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
-    return F.when((days >= 0) & (days < HALF_DAYS * HALF_DAYS), days)
+def _dated(match: Column) -> Column:
+    """What a date means: ``day``, as days after the first (null where it isn't one of them), and whether
+    its year stands first and its month before its day."""
+    parts = F.split(match, "[./-]")
+    year_first = F.length(parts[0]) == 4
+
+    def days(*order: int) -> Column:
+        day = F.try_to_date(F.concat_ws("-", *[parts[i] for i in order]), "yyyy-M-d")
+        after = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
+        return F.when((after >= 0) & (after < DAYS), after)
+
+    def of(day_first: Column) -> Column:
+        return F.struct(
+            F.when(year_first, days(0, 1, 2)).otherwise(F.coalesce(day_first, days(2, 0, 1))).alias("day"),
+            year_first.alias("year_first"),
+            (~year_first & day_first.isNull()).alias("month_first"),
+        )
+
+    return let(days(2, 1, 0), of)
+
+
+def permuted_day(day: Column, key: Column) -> Column:
+    """A permutation of the days, and of those up to the twelfth of a month among themselves.
+
+    The number of a day is permuted until it again is the number of such a day.
+    """
+
+    def early(number: Column) -> Column:
+        return F.dayofmonth(F.date_add(F.lit(FIRST_DAY).cast("date"), number.cast("int"))) <= 12
+
+    def step(state: Column, _: Column) -> Column:
+        moved = let(
+            permuted_number(state["n"], HALF_DAYS, key, "date"),
+            lambda n: F.struct(n.alias("n"), ((n < DAYS) & (early(n) == early(day))).alias("done")),
+        )
+        return F.when(state["done"], state).otherwise(moved)
+
+    start = F.struct(day.cast("long").alias("n"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step)["n"]
+
+
+def _date_like(match: Column, key: Column) -> Column:
+    """The pseudonym of a date in its notation; parts of two digits keep them."""
+    parts, mark = F.split(match, "[./-]"), F.regexp_extract(match, "[./-]", 0)
+
+    def part(value: Column, place: int) -> Column:
+        text = value.cast("string")
+        return F.when(F.length(parts[place]) == 2, F.lpad(text, 2, "0")).otherwise(text)
+
+    def joined(first: Column, second: Column, third: Column) -> Column:
+        return F.concat(first, mark, second, mark, third)
+
+    def as_text(dated: Column) -> Column:
+        def of(d: Column) -> Column:
+            year, month, day = F.year(d), F.month(d), F.dayofmonth(d)
+            return (
+                F.when(dated["year_first"], joined(part(year, 0), part(month, 1), part(day, 2)))
+                .when(dated["month_first"], joined(part(month, 0), part(day, 1), part(year, 2)))
+                .otherwise(joined(part(day, 0), part(month, 1), part(year, 2)))
+            )
+
+        return let(F.date_add(F.lit(FIRST_DAY).cast("date"), permuted_day(dated["day"], key).cast("int")), of)
+
+    return let(_dated(match), as_text)
 
 
 def kind_of(match: Column) -> Column:
@@ -159,9 +232,10 @@ def kind_of(match: Column) -> Column:
     return (
         F.when(whole["email"], F.lit("email"))
         .when(whole["ip"], F.lit("ip"))
-        .when(whole["date"], F.when(_day_of(match).isNotNull(), F.lit("date")))
+        .when(whole["date"], F.when(_dated(match)["day"].isNotNull(), F.lit("date")))
         .when(whole["phone"], F.lit("phone"))
         .when(whole["card"], F.when(_is_card(digits_of(match)), F.lit("card")).otherwise(F.lit("account")))
+        .when(whole["number"], F.when(F.length(digits_of(match)) == 10, F.lit("phone")).otherwise(F.lit("account")))
     )
 
 
@@ -177,14 +251,9 @@ def pseudonym(match: Column, kind: Column, key: Column) -> Column:
         permuted_number(number, 65536, key, "ip"),
         lambda n: F.concat_ws(".", *[F.floor(n / 256**i % 256).cast("long").cast("string") for i in (3, 2, 1, 0)]),
     )
-    date = let(
-        F.date_add(F.lit(FIRST_DAY).cast("date"), permuted_number(_day_of(match), HALF_DAYS, key, "date").cast("int")),
-        lambda d: F.when(match.contains("-"), F.date_format(d, "yyyy-MM-dd"))
-        .when(match.contains("."), F.date_format(d, "dd.MM.yyyy"))
-        .otherwise(F.date_format(d, "dd/MM/yyyy")),
-    )
-    # The last twelve characters at least hold the national number: all digits but a country code.
-    code = F.length(F.regexp_extract(match, r"^\+[0-9]{1,3}[ .-]?(?=\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}$)", 0))
+    date = _date_like(match, key)
+    # All digits but those of a country code are the national number.
+    code = F.length(F.regexp_extract(match, r"^\+[0-9]{1,3}[ .-]?(?=\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}$)", 0))
     national = F.substring(match, code + 1, F.length(match))
     phone = F.concat(
         F.substring(match, F.lit(1), code), with_digits(national, permuted_text(digits_of(national), key, "phone"))
@@ -226,11 +295,13 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
 
     # Nothing to look for in a text without digits or an at sign.
     suspect = F.col("text").rlike("[0-9@]")
-    packed = docs.select(
-        F.struct(*docs.columns).alias("doc"), F.when(suspect, replaced(F.col("text"))).alias("found")
-    )
+    packed = docs.select(row_of(docs), F.when(suspect, replaced(F.col("text"))).alias("found"))
     kinds = F.coalesce(F.col("found.kinds"), F.array().cast("array<string>"))
-    columns = [F.coalesce("found.text", "doc.text").alias("text") if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns]
+    counts = {f"n_{name}" for name in KINDS}
+    text = F.coalesce("found.text", "row.text").alias("text")
+    columns = [
+        text if c == "text" else F.col(f"row.{quoted(c)}") for c in docs.columns if c.lower() not in counts
+    ]
     return packed.select(*columns, *[_count(kinds, name) for name in KINDS])
 
 
