@@ -14,12 +14,14 @@ of the clusters and no article or main element beside it has text.
 
 Defined results: a null or empty html, or one without text, gives an empty text; unclosed elements end
 with the element around them; equal rows give equal texts; an empty table gives no rows. Other columns
-pass through.
+are ignored, whatever their names. Time grows in proportion to a page's length, however deep its elements
+are nested.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -60,17 +62,29 @@ IN_HEAD = frozenset("base head link meta noscript script style template title".s
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "hidden", "named", "mass")
+    """What its place in the tree tells is kept as it opens, so that no line walks up to the root.
+
+    ``marked``: it or one around it is named; ``article``: the nearest article or main element, itself included.
+    """
+
+    __slots__ = ("tag", "parent", "hidden", "named", "mass", "depth", "marked", "article")
 
     def __init__(self, tag: str, parent: "_Element | None", hidden: bool, named: bool = False):
         self.tag, self.parent, self.hidden, self.named, self.mass = tag, parent, hidden, named, 0.0
+        self.depth = parent.depth + 1 if parent else 0
+        self.marked = named or parent is not None and parent.marked
+        self.article = self if tag in ("article", "main") else parent and parent.article
 
-    def chain(self):
-        """The element and those around it."""
-        element = self
-        while element is not None:
-            yield element
-            element = element.parent
+
+def _weigh(elements: list[_Element], lines: list, content: np.ndarray) -> None:
+    """Give every element the characters of the content lines in it; elements stand in order of opening."""
+    for element in elements:
+        element.mass = 0.0
+    for size, (_, _, element, _) in zip(content, lines, strict=True):
+        element.mass += size
+    for element in reversed(elements):
+        if element.parent is not None:
+            element.parent.mass += element.mass
 
 
 class _Lines(HTMLParser):
@@ -79,7 +93,9 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = _Element("", None, False)
+        self.elements: list[_Element] = [self.root]
         self.open: list[_Element] = [self.root]
+        self.n_open: Counter[str] = Counter()
         self.lines: list[tuple[str, int, _Element, int]] = []
         self.parts: list[str] = []
         self.tags = self.linked = 0
@@ -94,7 +110,7 @@ class _Lines(HTMLParser):
         self.tags = self.linked = 0
 
     def _left_out(self, tag: str) -> bool:
-        return tag in LEFT_OUT or tag == "header" and not any(e.tag in ("article", "main") for e in self.open)
+        return tag in LEFT_OUT or tag == "header" and self.open[-1].article is None
 
     def _named(self, tag: str, attributes: list) -> bool:
         """Whether a role, class or id tells that it is no content."""
@@ -109,19 +125,21 @@ class _Lines(HTMLParser):
                 return True
         return False
 
-    def _end_head(self) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == "head":
-                del self.open[i:]
-                break
+    def _leave(self, tag: str) -> None:
+        """Close the innermost open element ``tag``, if there is one, and all within it."""
+        if self.n_open[tag]:
+            left = None
+            while left != tag:
+                left = self.open.pop().tag
+                self.n_open[left] -= 1
 
     def handle_starttag(self, tag, attrs):
         if self.open[-1].tag == "head" and tag not in IN_HEAD or tag == "body":
-            self._end_head()
+            self._leave("head")
         if tag in BLOCKS:
             self._end_line()
-            if len(self.open) > 1 and self.open[-1].tag == "p":
-                self.open.pop()
+            if self.open[-1].tag == "p":
+                self._leave("p")
         elif tag == "br":
             self.parts.append(" ")
         self.tags += 1
@@ -135,6 +153,8 @@ class _Lines(HTMLParser):
         if hidden or named or tag in CONTAINERS:
             above = self.open[-1]
             self.open.append(_Element(tag, above, hidden or above.hidden, named))
+            self.elements.append(self.open[-1])
+            self.n_open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -147,14 +167,11 @@ class _Lines(HTMLParser):
         if tag == "a" or tag in BLOCKS:
             self.in_link = False
         self.tags += 1
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                break
+        self._leave(tag)
 
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
-            self._end_head()
+            self._leave("head")
         if not self.open[-1].hidden:
             self.parts.append(data)
             self.linked += len(data) if self.in_link else 0
@@ -182,24 +199,21 @@ def _clusters(lines: list) -> tuple[np.ndarray, np.ndarray]:
     return content if content.any() else sizes, ratios < least
 
 
-def _without_named(lines: list) -> list:
+def _without_named(lines: list, elements: list[_Element]) -> list:
     """The lines but for those in blocks that a role or class leaves out."""
-    marked = [[e for e in element.chain() if e.named] for _, _, element, _ in lines]
-    if not any(marked):
+    if not any(element.marked for _, _, element, _ in lines):
         return lines
-    semantic = any(
-        not names and any(e.tag in ("article", "main") for e in line[2].chain())
-        for line, names in zip(lines, marked, strict=True)
-    )
-    back = set()
+    semantic = any(element.article is not None and not element.marked for _, _, element, _ in lines)
+    least = np.inf
     if not semantic:
         content, _ = _clusters(lines)
-        mass: dict[_Element, float] = {}
-        for size, names in zip(content, marked, strict=True):
-            for e in names:
-                mass[e] = mass.get(e, 0.0) + size
-        back = {e for e, m in mass.items() if m >= REGION_SHARE * content.sum()}
-    return [line for line, names in zip(lines, marked, strict=True) if back.issuperset(names)]
+        _weigh(elements, lines, content)
+        least = REGION_SHARE * content.sum()
+    out: set[_Element] = set()
+    for element in elements:
+        if element.parent in out or element.named and element.mass < least:
+            out.add(element)
+    return [line for line in lines if line[2] not in out]
 
 
 def _link_blocks(lines: list, low: np.ndarray, links: np.ndarray) -> np.ndarray:
@@ -218,31 +232,14 @@ def main_text(html: str | None) -> str:
     page = _Lines()
     page.feed(html if isinstance(html, str) else "")
     page.close()
-    lines = _without_named(page.lines)
+    lines = _without_named(page.lines, page.elements)
     if not lines:
         return ""
     content, low = _clusters(lines)
-    total = content.sum()
-    best, depth_of_best = page.root, 0
-    for mass, (_, _, element, _) in zip(content, lines, strict=True):
-        while element is not None:
-            element.mass += mass
-            element = element.parent
-    seen: dict[int, int] = {}
-    for _, _, element, _ in lines:
-        chain = []
-        while element is not None and id(element) not in seen:
-            chain.append(element)
-            element = element.parent
-        depth = seen[id(element)] if element is not None else -1
-        for one in reversed(chain):
-            depth += 1
-            seen[id(one)] = depth
-            if one.mass >= REGION_SHARE * total and depth > depth_of_best:
-                best, depth_of_best = one, depth
-    around = best
-    while around is not None and around.tag not in ("article", "main"):
-        around = around.parent
+    _weigh(page.elements, lines, content)
+    least = REGION_SHARE * content.sum()
+    best = max((e for e in page.elements if e.mass >= least), key=lambda e: e.depth)
+    around = best.article
     region = around or best
 
     inside: dict[int, bool] = {id(region): True}

@@ -610,6 +610,26 @@ def test_extraction_by_ratio(page, text):
     assert html_main.main_text(page) == "\n".join(text)
 
 
+def test_extraction_of_deep_and_long_pages():
+    deep = "".join(f"<div>text of block {i} with some words" for i in range(60_000))  # none is closed
+    assert html_main.main_text(deep).count("\n") >= 40_000
+    stray = "<div>" * 60_000 + "some words of text" + "</section></span></head>" * 60_000
+    assert html_main.main_text(stray) == "some words of text"
+    named = '<div class="ad">' * 60_000 + "some words of text"
+    assert html_main.main_text(named) == "some words of text"
+    assert html_main.main_text(f"<article><p>{words(100_000)}</p></article>") == words(100_000)
+
+
+def test_extraction_of_tables(spark):
+    schema = "page_id long, url string, html string, text string, lines int, `a.``b` string"
+    rows = [(1, "u", "<p>One.</p>", "x", 1, "y"), (1, "u", "<p>One.</p>", "x", 1, "y"), (2, None, None, None, None, None), (None, "v", "", "", 0, "")]
+    out = html_main.extracted(spark.createDataFrame(rows, schema))
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    found = ordered([tuple(r) for r in out.collect()])
+    assert found == ordered([(1, "u", "One.", 4), (1, "u", "One.", 4), (2, None, "", 0), (None, "v", "", 0)])
+    assert rows_of(html_main.extracted(spark.createDataFrame([], schema))) == []
+
+
 @pytest.mark.parametrize("window", [6, 10, 12])
 def test_contamination_of_items_around_a_window(spark, window):
     """Items of fewer words than a window are one window, whatever its length."""
