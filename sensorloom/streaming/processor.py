@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from sensorloom.constants import MICROS, READY, STOPPED, WARM_UP
+from sensorloom.constants import MICROS, READY, STOPPED, UNITS, WARM_UP
 from sensorloom.operators.windows import WindowSpec
 
 CLOCK = T.StructType(
@@ -48,6 +48,8 @@ OUTPUT = T.StructType(
     ]
 )
 _NEVER = np.iinfo(np.int64).min // 2
+#: Sums below this fit a LONG, however they were rounded.
+_EXACT = 2.0**62
 #: Columns of the arrival order, most significant first.
 ORDER = ["at_us", "source", "partition", "offset"]
 
@@ -59,6 +61,14 @@ def slope(seconds: np.ndarray, values: np.ndarray) -> float:
     return float(centred @ (values - values.mean())) / spread if spread > 0 else 0.0
 
 
+def mean(values: np.ndarray) -> float:
+    """``operators.windows.mean_of`` of an array: whole millionths where all values are such."""
+    units = np.rint(values * UNITS)
+    if np.abs(units).sum() < _EXACT and (units / UNITS == values).all():
+        return int(units.astype(np.int64).sum()) / UNITS / len(values)
+    return float(values.mean())
+
+
 class SlidingWindowProcessor(StatefulProcessor):
     """State per sensor: the event clock, the last evaluation, whether it is stopped, the buffer.
 
@@ -157,7 +167,7 @@ class SlidingWindowProcessor(StatefulProcessor):
             seconds = (times[low:high] - end_us) / MICROS
             out.append(
                 (sensor, session, machines[at[here]], end_us - spec.size_us, end_us, len(member),
-                 member.min(), member.mean(), member.max(), member.std(), slope(seconds, member))
+                 member.min(), mean(member), member.max(), member.std(), slope(seconds, member))
             )
             here += int(np.searchsorted(maxima[here:], end_us + spec.slide_us))
         max_us = int(clock[-1])
