@@ -52,7 +52,7 @@ def window_stream(
     inputs: DataFrame, spec: WindowSpec = WindowSpec(), idle_ttl_ms: int | None = None
 ) -> DataFrame:
     """Merged inputs to window rows. No query-wide watermark: each sensor has its own."""
-    rows = inputs.groupBy("sensor_id").transformWithStateInPandas(
+    rows = inputs.groupBy("sensor_id").transformWithState(
         statefulProcessor=SlidingWindowProcessor(spec, idle_ttl_ms),
         outputStructType=OUTPUT,
         outputMode="Append",

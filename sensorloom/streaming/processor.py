@@ -2,16 +2,17 @@
 
 One instance serves the sensors of a state partition. A sensor's rows of a micro-batch (readings
 and lifecycle events) are put in arrival order and applied in runs between lifecycle events, with
-array operations inside a run. The batch form of the same rules is ``operators.windows``.
+array operations inside a run. Most sensors have few rows a batch, so rows come and go as rows: a
+data frame per sensor would cost more than all else. The batch form of the same rules is ``operators.windows``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import types as T
+from pyspark.sql import Row, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorloom.constants import MICROS, READY, STOPPED, UNITS, WARM_UP
@@ -52,6 +53,7 @@ _NEVER = np.iinfo(np.int64).min // 2
 _EXACT = 2.0**62
 #: Columns of the arrival order, most significant first.
 ORDER = ["at_us", "source", "partition", "offset"]
+_WINDOW = Row(*OUTPUT.names)
 
 
 def slope(seconds: np.ndarray, values: np.ndarray) -> float:
@@ -69,6 +71,13 @@ def mean(values: np.ndarray) -> float:
     return float(values.mean())
 
 
+def _in_order(rows: Iterator[Row]) -> list[Row]:
+    """Rows by their order of arrival; a missing partition or offset sorts first."""
+    batch = list(rows)
+    places = [batch[0].__fields__.index(name) for name in ORDER]
+    return sorted(batch, key=lambda row: [_NEVER if row[i] is None else row[i] for i in places])
+
+
 class SlidingWindowProcessor(StatefulProcessor):
     """State per sensor: the event clock, the last evaluation, whether it is stopped, the buffer.
 
@@ -84,10 +93,14 @@ class SlidingWindowProcessor(StatefulProcessor):
         self.clock = handle.getValueState("clock", CLOCK, self.idle_ttl_ms)
         self.buffer = handle.getListState("buffer", ITEM, self.idle_ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(ORDER, ignore_index=True)
-        known = self.clock.exists()
-        max_us, last_us, stopped, session = self.clock.get() if known else (None, None, False, 0)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        batch = _in_order(rows)
+        at = {name: i for i, name in enumerate(batch[0].__fields__)}
+        state_at, stop_at = at["state"], at["stop_us"]
+        reading = [at[name] for name in ("ts_us", "value", "machine_id")]
+        clock = self.clock.get()
+        known = clock is not None
+        max_us, last_us, stopped, session = clock if known else (None, None, False, 0)
         held = list(self.buffer.get()) if known else []
         buffer = tuple(
             np.array([item[i] for item in held], dtype=kind)
@@ -98,22 +111,21 @@ class SlidingWindowProcessor(StatefulProcessor):
         intact = True  # the list in the state, without its front, begins the buffer
 
         out: list[tuple] = []
-        event = batch["state"].notna().to_numpy()
-        edges = np.unique([0, *np.flatnonzero(event), *(np.flatnonzero(event) + 1), len(batch)])
-        for start, end in zip(edges, edges[1:]):
-            if not event[start]:
+        for is_event, run in groupby(batch, key=lambda row: row[state_at] is not None):
+            if not is_event:
                 known = True
                 if not stopped:
+                    columns = zip(*[tuple(row[i] for i in reading) for row in run])
                     buffer, max_us, last_us, left = self._apply(
-                        key[0], session, batch.iloc[start:end], buffer, max_us, last_us, out
+                        key[0], session, *columns, buffer, max_us, last_us, out
                     )
                     behind += left
-            elif known:
-                state = batch["state"].iloc[start]
+            for row in run if is_event and known else ():
+                state = row[state_at]
                 if state == STOPPED:
                     stopped = True
-                    stop = batch["stop_us"].iloc[start]
-                    stays = buffer[0] <= stop if pd.notna(stop) else np.zeros(len(buffer[0]), bool)
+                    stop = row[stop_at]
+                    stays = buffer[0] <= stop if stop is not None else np.zeros(len(buffer[0]), bool)
                     intact = intact and bool(stays.all())
                     buffer = tuple(column[stays] for column in buffer)
                 elif state == WARM_UP:
@@ -127,7 +139,7 @@ class SlidingWindowProcessor(StatefulProcessor):
         if known:
             self.clock.update((max_us, last_us, stopped, session))
             self._keep(buffer, len(held), behind, intact)
-        yield pd.DataFrame(out, columns=OUTPUT.names)
+        yield from (_WINDOW(*window) for window in out)
 
     def _keep(self, buffer, stored: int, behind: int, intact: bool) -> None:
         """Bring the list state up to the buffer; ``behind`` items of its front are left behind by now."""
@@ -142,19 +154,19 @@ class SlidingWindowProcessor(StatefulProcessor):
         elif not append:
             self.buffer.clear()
 
-    def _apply(self, sensor, session, rows, buffer, max_us, last_us, out):
+    def _apply(self, sensor, session, ts, values, machines, buffer, max_us, last_us, out):
         """Readings between two lifecycle events: returns the new buffer and clock, and how many items it left."""
         spec = self.spec
-        ts = rows["ts_us"].to_numpy(dtype=np.int64)
+        ts = np.array(ts, dtype=np.int64)
         before = _NEVER if max_us is None else max_us
         clock = np.maximum(np.maximum.accumulate(ts), before)
         earlier = np.append(before, clock[:-1])
         kept = ts >= clock - spec.lateness_us
         raises = (ts > earlier)[kept]
-        machines = rows["machine_id"].to_numpy()[kept]
+        machines = [machine for machine, stays in zip(machines, kept.tolist()) if stays]
 
         offset = len(buffer[0])
-        fresh = (ts[kept], rows["value"].to_numpy(dtype=np.float64)[kept], clock[kept])
+        fresh = (ts[kept], np.array(values, dtype=np.float64)[kept], clock[kept])
         times, values, seen = (np.concatenate(pair) for pair in zip(buffer, fresh))
         at = np.flatnonzero(raises)
         maxima = fresh[2][at]
@@ -167,7 +179,7 @@ class SlidingWindowProcessor(StatefulProcessor):
             seconds = (times[low:high] - end_us) / MICROS
             out.append(
                 (sensor, session, machines[at[here]], end_us - spec.size_us, end_us, len(member),
-                 member.min(), mean(member), member.max(), member.std(), slope(seconds, member))
+                 float(member.min()), mean(member), float(member.max()), float(member.std()), slope(seconds, member))
             )
             here += int(np.searchsorted(maxima[here:], end_us + spec.slide_us))
         max_us = int(clock[-1])
