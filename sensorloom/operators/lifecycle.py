@@ -168,7 +168,7 @@ def session_windows(
     items = _with_stops(_buffered(readings, lifecycle, spec), spec, "left")
     gone = F.get(F.transform("__met", lambda s: s["at_us"]), F.col("__gone") - 1)
     items = items.withColumn("gone_us", F.when(F.col("__gone") > 0, gone))
-    kept = items.select(*KEYS, "machine_id", "ts_us", "value", "max_us", "is_new_max", "gone_us")
+    kept = items.select(*KEYS, "machine_id", "ts_us", "value", "max_us", "is_new_max", "gone_us", ARRIVED)
     return windows_of(written(kept, "kept"), KEYS, spec)
 
 
