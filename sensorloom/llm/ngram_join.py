@@ -15,9 +15,9 @@ Steps, each a Spark job whose tasks hold a bounded number of sets:
    most frequent tokens; this is linear in their size. Classes linked that way have a label and need no
    comparison with each other: they form the groups of their label. The others are in one group if such comparisons
    connect them, linked or not. Groups are cut into blocks of a bounded number of sets and tokens.
-3. Two linked sets share c of the |Q| - ceil(t |Q|) + c first tokens, for any c. Where a query of one
-   group has that many first tokens in the union of another group's, it is checked against the blocks
-   of the other: bound by the block's whole union, then member by member. The members of a block are checked with each other as well. A task returns
+3. Two linked sets share c of the |Q| - ceil(t |Q|) + c first tokens, for any c. Where a query of the smaller of two
+   groups has that many first tokens in the union of the other's, it is checked against the blocks
+   of the other, and likewise between blocks of one group: bound by the block's whole union, then member by member. The members of a block are checked with each other as well. A task returns
    no more links than its sets need to be connected.
 4. The links give connected components.
 
@@ -276,17 +276,23 @@ def _star_links(docs: DataFrame, classes: DataFrame, join: Join) -> tuple[DataFr
 
 
 def _placed(classes: DataFrame, labels: DataFrame, clusters: DataFrame) -> DataFrame:
-    """class, n, first_key, label (of classes linked already, else null) and unit: a group, or a block of it."""
+    """class, n, first_key, label (of classes linked already, else null), team: the number of a group, its size, its
+    blocks, and unit: the one of these blocks that holds the class."""
     placed = classes.select("class", "n", "first_key", "group").join(labels.hint("merge"), "class", "left")
     placed = placed.join(clusters.hint("merge"), "class", "left")
     placed = placed.withColumn("group", F.coalesce("label", "cluster", "group")).drop("cluster")
+    placed = placed.withColumn("team", F.xxhash64("group", F.col("label").isNotNull())).drop("group")
     placed = written(placed, "grouped")
-    of = [F.col("group"), F.col("label").isNotNull().alias("labelled")]
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long")
-    sizes = placed.groupBy(*of).agg(blocks.alias("blocks"))
-    placed = placed.withColumn("labelled", F.col("label").isNotNull()).join(sizes.hint("merge"), ["group", "labelled"])
+    size = F.count("*")
+    blocks = F.greatest(F.ceil(size / BLOCK_MEMBERS), F.least(size, F.ceil(F.sum("n") / BLOCK_TOKENS))).cast("long")
+    sizes = placed.groupBy("team").agg(size.alias("size"), blocks.alias("blocks"))
+    placed = placed.join(sizes.hint("merge"), "team")
     block = F.pmod(F.xxhash64("class"), F.col("blocks"))
-    return written(placed.select("class", "n", "first_key", F.xxhash64("group", "labelled", block).alias("unit"), "label"), "placed")
+    return written(placed.withColumn("unit", _unit("team", block)), "placed")
+
+
+def _unit(team: str, block: Column) -> Column:
+    return F.xxhash64(team, block)
 
 
 class _Forest:
@@ -347,23 +353,35 @@ def _group_links(docs: DataFrame, rows: DataFrame, placed: DataFrame, join: Join
     of_token = Window.partitionBy("token")
     spread = spread.withColumns({"low": F.min("mark").over(of_token), "high": F.max("mark").over(of_token)})
     tokens_of = written(spread.where("low < high").select("token", "class").distinct(), "shared-tokens")
-    shared = written(
-        tokens_of.join(placed.select("class", "n", "unit", "label").hint("merge"), "class"), "shared-token-rows"
-    )
+    own = placed.select("class", "n", "unit", "label", "team", "size")
+    shared = written(tokens_of.join(own.hint("merge"), "class"), "shared-token-rows")
     discard(tokens_of)
     release(docs.sparkSession)
-    index = shared.groupBy("token", F.col("unit").alias("to")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.first("label").alias("to_label")
+    index = shared.groupBy("token", F.col("team").alias("to")).agg(
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.first("label").alias("to_label"),
+        F.first("size").alias("to_size"),
+        (F.min("unit") < F.max("unit")).alias("several"),
     )
     close = (join.least * F.col("n") <= join.over * F.col("most")) & (
         join.least * F.col("least") <= join.over * F.col("n")
     )
     apart = ~F.coalesce(F.col("label") == F.col("to_label"), F.lit(False))
+    # Of two groups the smaller asks, once for all blocks of the other: a token's rows grow with its classes, not
+    # with classes times blocks. A group of several blocks asks itself as well.
+    asking = (F.struct("size", "team") < F.struct("to_size", "to")) | ((F.col("team") == F.col("to")) & F.col("several"))
     index = written(index, "token-groups")
-    asks = shared.join(index.hint("merge"), "token").where((F.col("unit") < F.col("to")) & close & apart)
+    asks = shared.join(index.hint("merge"), "token").where(asking & close & apart)
     fewest = 1 + F.floor(F.least(F.min("n"), F.min("least")) / SHARE_OF)
-    asks = asks.groupBy("class", "to").agg(F.count("*").alias("common"), fewest.alias("fewest"), F.min("n").alias("n"))
-    asks = written(asks.where("common >= fewest").select("class", "to", "n"), "group-queries")
+    asks = asks.groupBy("class", "n", "unit", "team", "to").agg(F.count("*").alias("common"), fewest.alias("fewest"))
+    asks = asks.where("common >= fewest")
+    blocks = placed.groupBy(F.col("team").alias("to")).agg(F.max("blocks").alias("blocks"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    asks = asks.join(blocks.hint("merge"), "to").select("class", "n", "unit", "team", "to", block)
+    asks = asks.select("class", "n", "unit", (F.col("team") == F.col("to")).alias("within"), _unit("to", F.col("block")).alias("to"))
+    asks = asks.where("not within or unit < to")
+    asks = written(asks.select("class", "to", "n"), "group-queries")
     discard(shared, index)
     release(docs.sparkSession)
     # Units of two or more classes that aren't linked yet are checked inside as well.
