@@ -30,27 +30,35 @@ def parse_once(frame: DataFrame, **parsed: tuple[Column, object]) -> DataFrame:
     Exploding a one-element array keeps the parse out of reach of the optimizer's filter push-down
     and projection merging, which would copy it into every expression that looks at a field.
     """
+    for name, (text, schema) in parsed.items():
+        frame = _with_whole(frame, text, schema)
+        value = F.col("__whole.value").withField(schemas.CORRUPT, F.when(_spoilt(), text))
+        frame = frame.withColumn(name, value).drop("__whole")
+    return frame
+
+
+def _with_whole(frame: DataFrame, text: Column, schema: T.StructType) -> DataFrame:
+    """Add ``__whole``: the text as a member of an object, its end and the corrupt text."""
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": schemas.CORRUPT,
         "allowSingleQuotes": "false",
         "allowNonNumericNumbers": "false",
     }
-    for name, (text, schema) in parsed.items():
-        wrapped = F.concat(F.lit('{"value":'), text, F.lit(f',"{_LAST}":1}}'))
-        fields = T.StructType([f for f in schema if f.name != schemas.CORRUPT])
-        whole = T.StructType(
-            [
-                T.StructField("value", fields),
-                T.StructField(_LAST, T.IntegerType()),
-                T.StructField(schemas.CORRUPT, T.StringType()),
-            ]
-        )
-        frame = frame.select("*", F.explode(F.array(F.from_json(wrapped, whole, options))).alias("__whole"))
-        spoilt = F.col(f"__whole.{schemas.CORRUPT}").isNotNull() | F.col(f"__whole.{_LAST}").isNull()
-        value = F.col("__whole.value").withField(schemas.CORRUPT, F.when(spoilt, text))
-        frame = frame.withColumn(name, value).drop("__whole")
-    return frame
+    wrapped = F.concat(F.lit('{"value":'), text, F.lit(f',"{_LAST}":1}}'))
+    fields = T.StructType([f for f in schema if f.name != schemas.CORRUPT])
+    whole = T.StructType(
+        [
+            T.StructField("value", fields),
+            T.StructField(_LAST, T.IntegerType()),
+            T.StructField(schemas.CORRUPT, T.StringType()),
+        ]
+    )
+    return frame.select("*", F.explode(F.array(F.from_json(wrapped, whole, options))).alias("__whole"))
+
+
+def _spoilt() -> Column:
+    return F.col(f"__whole.{schemas.CORRUPT}").isNotNull() | F.col(f"__whole.{_LAST}").isNull()
 
 
 def unusable(parsed: str) -> Column:
@@ -77,10 +85,11 @@ def decode_envelope(records: DataFrame) -> DataFrame:
     )
 
 
-def route(decoded: DataFrame) -> DataFrame:
+def route(decoded: DataFrame, has_payload: Column | None = None) -> DataFrame:
     """Add ``route``: ``marker``, ``data``, ``unhandled`` or ``malformed``."""
     is_marker = (F.col("type") == TYPE_MARKER) & F.col("has_marker")
-    is_data = (F.col("type") == TYPE_DATA) & F.col("payload").isNotNull()
+    has_payload = F.col("payload").isNotNull() if has_payload is None else has_payload
+    is_data = (F.col("type") == TYPE_DATA) & has_payload
     return decoded.withColumn(
         "route",
         F.when(F.col("malformed"), MALFORMED)
@@ -94,35 +103,91 @@ def decode_and_route(records: DataFrame) -> DataFrame:
     return route(decode_envelope(records))
 
 
+def _parsed_at_once(records: DataFrame, payload: T.StructType) -> DataFrame:
+    """``decode_and_route`` with the payload parsed as well, as ``__payload``, in one parse of the text.
+
+    A text that doesn't parse as a whole, be it for its envelope or its payload, has ``__payload`` null, keeps the raw
+    ``payload`` and needs the two parses, one after the other, that tell which of them is at fault. All others have no
+    raw payload.
+    """
+    inner = T.StructType([f for f in payload if f.name != schemas.CORRUPT])
+    envelope_schema = T.StructType(
+        [T.StructField("payload", inner) if f.name == "payload" else f for f in schemas.ENVELOPE]
+    )
+    whole = _with_whole(records, F.col("value"), envelope_schema)
+    usable = ~_spoilt() & F.col("__whole.value").isNotNull()
+    for field in inner:
+        if isinstance(field.dataType, T.DoubleType):  # beyond the range of a double: the second parse refuses it
+            beyond = F.abs(F.col(f"__whole.value.payload.`{field.name}`")) == F.lit(float("inf"))
+            usable &= ~F.coalesce(beyond, F.lit(False))
+    once = whole.select(
+        *records.columns, F.when(usable, F.col("__whole.value")).alias("__once"), (~usable).alias("__again")
+    )
+    twice = parse_once(once, __env=(F.when(F.col("__again"), F.col("value")), schemas.ENVELOPE))
+
+    def either(name: str) -> Column:
+        return F.coalesce(F.col(f"__once.{name}"), F.col(f"__env.{name}"))
+
+    decoded = twice.select(
+        *records.columns,
+        F.coalesce(either("type"), F.lit("")).alias("type"),
+        F.col("__env.payload").alias("payload"),
+        F.when(either("marker").isNotNull(), F.coalesce(either("marker.ingress_ts_nano"), F.lit(0))).alias(
+            "ingress_ts_nano"
+        ),
+        either("marker").isNotNull().alias("has_marker"),
+        (F.col("__again") & unusable("__env")).alias("malformed"),
+        F.col("__once.payload").alias("__payload"),
+    )
+    return route(decoded, F.col("payload").isNotNull() | F.col("__payload").isNotNull())
+
+
+def decode_readings(records: DataFrame) -> DataFrame:
+    """``decode_typed_payload(decode_and_route(records))``, but one parse does for both unless it fails; the raw
+    ``payload`` isn't kept."""
+    once = _parsed_at_once(records, schemas.GENERIC_TELEMETRY)
+    return _typed(once, F.when(F.col("route") == DATA, F.col("__payload"))).drop("payload", "__payload")
+
+
 def decode_typed_payload(routed: DataFrame) -> DataFrame:
     """Rows of the two sensor topics with their payload fields and ``measure``.
 
     Each topic has its own schema; a missing measure reads as 0.0, missing text as ''. Rows without
     a usable payload have ``payload_ok = false``.
     """
+    return _typed(routed)
+
+
+def _typed(routed: DataFrame, known: Column | None = None) -> DataFrame:
+    """``decode_typed_payload``; ``known`` is the payload where it is parsed already."""
     is_data = F.col("route") == DATA
     warm, tight = (F.col("topic") == topic for topic in (TOPIC_TEMPERATURE, TOPIC_PRESSURE))
     payload = F.col("payload")
-    return (
-        parse_once(
-            routed,
-            __t=(F.when(is_data & warm, payload), schemas.TEMPERATURE_READING),
-            __p=(F.when(is_data & tight, payload), schemas.PRESSURE_READING),
-        )
-        .select(
-            *routed.columns,
-            *[
-                F.coalesce(F.col(f"__t.{wire}"), F.col(f"__p.{wire}"), F.lit("")).alias(name)
-                for wire, name in (
-                    ("messageId", "message_id"),
-                    ("sensorId", "sensor_id"),
-                    ("machineId", "machine_id"),
-                    ("timestamp", "event_time_text"),
-                )
-            ],
-            F.coalesce("__t.temperature_celsius", "__p.pressure_bar", F.lit(0.0)).alias("measure"),
-            (~(unusable("__t") & unusable("__p"))).alias("payload_ok"),
-        )
+    known = F.lit(None).cast(schemas.GENERIC_TELEMETRY) if known is None else known
+    parsed = parse_once(
+        routed.withColumn("__k", F.when(warm | tight, known)),
+        __t=(F.when(is_data & warm, payload), schemas.TEMPERATURE_READING),
+        __p=(F.when(is_data & tight, payload), schemas.PRESSURE_READING),
+    )
+    measure = F.coalesce(
+        F.when(warm, F.col("__k.temperature_celsius")).otherwise(F.col("__k.pressure_bar")),
+        "__t.temperature_celsius",
+        "__p.pressure_bar",
+        F.lit(0.0),
+    )
+    return parsed.select(
+        *routed.columns,
+        *[
+            F.coalesce(F.col(f"__k.{wire}"), F.col(f"__t.{wire}"), F.col(f"__p.{wire}"), F.lit("")).alias(name)
+            for wire, name in (
+                ("messageId", "message_id"),
+                ("sensorId", "sensor_id"),
+                ("machineId", "machine_id"),
+                ("timestamp", "event_time_text"),
+            )
+        ],
+        measure.alias("measure"),
+        (F.col("__k").isNotNull() | ~(unusable("__t") & unusable("__p"))).alias("payload_ok"),
     )
 
 
@@ -181,8 +246,28 @@ def decode_processed_all(routed: DataFrame, now: Column) -> DataFrame:
 
     ``payload_ok`` is true only for data rows with a usable payload.
     """
+    return _as_windows(routed, now)
+
+
+def decode_windows(records: DataFrame, now: Column) -> DataFrame:
+    """``decode_processed_all(decode_and_route(records), now)``, but one parse does for both unless it fails; the raw
+    ``payload`` isn't kept."""
+    once = _parsed_at_once(records, schemas.PROCESSED_DATA)
+    known = F.when(F.col("route") == DATA, F.col("__payload"))
+    return _as_windows(once, now, known).drop("payload", "__payload")
+
+
+def _as_windows(routed: DataFrame, now: Column, known: Column | None = None) -> DataFrame:
+    """``decode_processed_all``; ``known`` is the payload where it is parsed already."""
     is_data = F.col("route") == DATA
-    parsed = parse_once(routed, __w=(F.when(is_data, F.col("payload")), schemas.PROCESSED_DATA))
+    known = F.lit(None).cast(schemas.PROCESSED_DATA) if known is None else known
+    parsed = parse_once(
+        routed.withColumn("__k", known), __w=(F.when(is_data, F.col("payload")), schemas.PROCESSED_DATA)
+    )
+
+    def either(wire: str) -> Column:
+        return F.coalesce(F.col(f"__k.`{wire}`"), F.col(f"__w.`{wire}`"))
+
     numbers = {
         "minimo": "min_value",
         "media": "mean_value",
@@ -192,15 +277,12 @@ def decode_processed_all(routed: DataFrame, now: Column) -> DataFrame:
     }
     return parsed.select(
         *routed.columns,
-        F.coalesce("__w.messageId", F.lit("")).alias("message_id"),
-        or_key(F.col("__w.sensorId"), F.col("key")).alias("sensor_id"),
-        F.coalesce("__w.machineId", F.lit("")).alias("machine_id"),
-        *[
-            F.coalesce(F.col(f"__w.`{wire}`"), F.lit(0.0)).alias(name)
-            for wire, name in numbers.items()
-        ],
-        parse_rfc3339(F.col("__w.timestamp"), now).alias("emit_ts"),
-        (~unusable("__w")).alias("payload_ok"),
+        F.coalesce(either("messageId"), F.lit("")).alias("message_id"),
+        or_key(either("sensorId"), F.col("key")).alias("sensor_id"),
+        F.coalesce(either("machineId"), F.lit("")).alias("machine_id"),
+        *[F.coalesce(either(wire), F.lit(0.0)).alias(name) for wire, name in numbers.items()],
+        parse_rfc3339(either("timestamp"), now).alias("emit_ts"),
+        (F.col("__k").isNotNull() | ~unusable("__w")).alias("payload_ok"),
     )
 
 

@@ -18,7 +18,9 @@ from sensorloom.operators.codec import (
     DATA,
     MALFORMED,
     MARKER,
+    UNHANDLED,
     decode_and_route,
+    decode_readings,
     decode_typed_payload,
     reading_envelope,
 )
@@ -26,6 +28,7 @@ from sensorloom.operators.codec import (
 Validity = Callable[[Column], Column]
 #: Outcomes of records that are given up, unlike those that are none of the stage's business.
 REJECTED = ("malformed_envelope", "malformed_payload", "out_of_range")
+ACCEPTED = "accepted"
 
 
 def plausible_temperature(value: Column) -> Column:
@@ -81,7 +84,7 @@ def cleaned_records(
 ) -> DataFrame:
     """The whole ingest stage on topic records, batch or streaming, in one pass over its source:
     valid readings re-encoded and keyed by sensor, markers unchanged, the rest dropped."""
-    return cleaned_of(decode_typed_payload(decode_and_route(records)), checks, restamp)
+    return cleaned_of(decode_readings(records), checks, restamp)
 
 
 def cleaned_of(
@@ -110,19 +113,48 @@ def ingest_outcomes(
     Outcomes are ``malformed_envelope``, ``unhandled``, ``marker``, ``malformed_payload``,
     ``out_of_range`` and ``accepted``.
     """
-    return outcomes_of(decode_typed_payload(decode_and_route(records)), checks)
+    return outcomes_of(decode_readings(records), checks)
 
 
 def outcomes_of(typed: DataFrame, checks: Mapping[str, Validity | None] = RANGE_CHECKS) -> DataFrame:
     """``ingest_outcomes`` of records that are parsed already."""
-    outcome = (
+    return typed.select("key", "value", "topic", "partition", "offset", "timestamp", _outcome(checks).alias("outcome"))
+
+
+def _outcome(checks: Mapping[str, Validity | None]) -> Column:
+    return (
         F.when(F.col("route") == MALFORMED, "malformed_envelope")
         .when(F.col("route") != DATA, F.col("route"))
         .when(~F.col("payload_ok"), "malformed_payload")
         .when(~_valid(checks), "out_of_range")
-        .otherwise("accepted")
+        .otherwise(ACCEPTED)
     )
-    return typed.select("key", "value", "topic", "partition", "offset", "timestamp", outcome.alias("outcome"))
+
+
+def judged_of(typed: DataFrame, checks: Mapping[str, Validity | None] = RANGE_CHECKS) -> DataFrame:
+    """Every raw record with its ``outcome``, and with the one text that a stage still needs of it: accepted ones
+    re-encoded and keyed by sensor, markers and rejects as they came. ``passed`` and ``rejected`` part them."""
+    judged = typed.withColumn("outcome", _outcome(checks))
+    accepted = F.col("outcome") == ACCEPTED
+    return judged.select(
+        F.when(accepted, F.col("sensor_id")).otherwise(F.col("key")).alias("key"),
+        F.when(accepted, reading_envelope()).when(F.col("outcome") != UNHANDLED, F.col("value")).alias("value"),
+        "topic",
+        "partition",
+        "offset",
+        "timestamp",
+        "outcome",
+    )
+
+
+def passed(judged: DataFrame) -> DataFrame:
+    """Of ``judged_of``: the records of the cleaned topic."""
+    return judged.where(F.col("outcome").isin(ACCEPTED, MARKER)).drop("outcome").withColumn("topic", F.lit(TOPIC_CLEANED))
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    """Of ``judged_of``: the rejected records as they came, with the ``reason``."""
+    return judged.where(F.col("outcome").isin(*REJECTED)).withColumnRenamed("outcome", "reason")
 
 
 def rejects_of(typed: DataFrame, checks: Mapping[str, Validity | None] = RANGE_CHECKS) -> DataFrame:

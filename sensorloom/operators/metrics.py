@@ -22,9 +22,11 @@ _SERIES, _AT = "__series", "__at_us"
 def count_outcomes(outcomes: DataFrame) -> DataFrame:
     """Events by ``type, status``; the four pre-registered pairs appear even at 0."""
     counts = outcomes.groupBy("type", "status").agg(F.count("*").alias("n"))
-    seeds = outcomes.sparkSession.createDataFrame(
-        [(*pair, 0) for pair in SEEDED_COUNTERS], "type string, status string, n long"
-    )
+    zeros = [
+        F.struct(F.lit(kind).alias("type"), F.lit(status).alias("status"), F.lit(0).cast("long").alias("n"))
+        for kind, status in SEEDED_COUNTERS
+    ]
+    seeds = outcomes.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*zeros)))
     return counts.unionByName(seeds).groupBy("type", "status").agg(F.sum("n").alias("n"))
 
 
