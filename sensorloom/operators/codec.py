@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sensorloom import schemas
@@ -18,6 +22,21 @@ from sensorloom.functions.times import clock_text, parse_rfc3339, rfc3339_second
 #: Name of the member that ends a wrapped text; no record has it.
 _LAST = "__end_of_record__"
 DATA, MARKER, UNHANDLED, MALFORMED = "data", "marker", "unhandled", "malformed"
+#: Text fields of a reading's payload and their columns.
+_READING = (
+    ("messageId", "message_id"),
+    ("sensorId", "sensor_id"),
+    ("machineId", "machine_id"),
+    ("timestamp", "event_time_text"),
+)
+#: Numbers of a window's payload and their columns.
+_WINDOW = (
+    ("minimo", "min_value"),
+    ("media", "mean_value"),
+    ("massimo", "max_value"),
+    ("std-dev", "std_dev"),
+    ("rate-of-change", "rate_of_change"),
+)
 
 
 def parse_once(frame: DataFrame, **parsed: tuple[Column, object]) -> DataFrame:
@@ -31,14 +50,14 @@ def parse_once(frame: DataFrame, **parsed: tuple[Column, object]) -> DataFrame:
     and projection merging, which would copy it into every expression that looks at a field.
     """
     for name, (text, schema) in parsed.items():
-        frame = _with_whole(frame, text, schema)
-        value = F.col("__whole.value").withField(schemas.CORRUPT, F.when(_spoilt(), text))
+        frame = frame.select("*", F.explode(F.array(_whole(text, schema))).alias("__whole"))
+        value = F.col("__whole.value").withField(schemas.CORRUPT, F.when(_spoilt(F.col("__whole")), text))
         frame = frame.withColumn(name, value).drop("__whole")
     return frame
 
 
-def _with_whole(frame: DataFrame, text: Column, schema: T.StructType) -> DataFrame:
-    """Add ``__whole``: the text as a member of an object, its end and the corrupt text."""
+def _whole(text: Column, schema: T.StructType) -> Column:
+    """The text as member ``value`` of an object, with the object's end and its corrupt text."""
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": schemas.CORRUPT,
@@ -46,19 +65,22 @@ def _with_whole(frame: DataFrame, text: Column, schema: T.StructType) -> DataFra
         "allowNonNumericNumbers": "false",
     }
     wrapped = F.concat(F.lit('{"value":'), text, F.lit(f',"{_LAST}":1}}'))
-    fields = T.StructType([f for f in schema if f.name != schemas.CORRUPT])
     whole = T.StructType(
         [
-            T.StructField("value", fields),
+            T.StructField("value", _fields(schema)),
             T.StructField(_LAST, T.IntegerType()),
             T.StructField(schemas.CORRUPT, T.StringType()),
         ]
     )
-    return frame.select("*", F.explode(F.array(F.from_json(wrapped, whole, options))).alias("__whole"))
+    return F.from_json(wrapped, whole, options)
+
+
+def _fields(schema: T.StructType) -> T.StructType:
+    return T.StructType([f for f in schema if f.name != schemas.CORRUPT])
 
 
-def _spoilt() -> Column:
-    return F.col(f"__whole.{schemas.CORRUPT}").isNotNull() | F.col(f"__whole.{_LAST}").isNull()
+def _spoilt(whole: Column) -> Column:
+    return whole.getField(schemas.CORRUPT).isNotNull() | whole.getField(_LAST).isNull()
 
 
 def unusable(parsed: str) -> Column:
@@ -103,50 +125,100 @@ def decode_and_route(records: DataFrame) -> DataFrame:
     return route(decode_envelope(records))
 
 
-def _parsed_at_once(records: DataFrame, payload: T.StructType) -> DataFrame:
-    """``decode_and_route`` with the payload parsed as well, as ``__payload``, in one parse of the text.
+def _named(parsed: Column, make: Callable[[Column], Column]) -> Column:
+    """An array of the one value that ``make`` makes of ``parsed``, which is evaluated once."""
+    return F.transform(F.array(parsed), make)
 
-    A text that doesn't parse as a whole, be it for its envelope or its payload, has ``__payload`` null, keeps the raw
-    ``payload`` and needs the two parses, one after the other, that tell which of them is at fault. All others have no
-    raw payload.
-    """
-    inner = T.StructType([f for f in payload if f.name != schemas.CORRUPT])
-    envelope_schema = T.StructType(
-        [T.StructField("payload", inner) if f.name == "payload" else f for f in schemas.ENVELOPE]
-    )
-    whole = _with_whole(records, F.col("value"), envelope_schema)
-    usable = ~_spoilt() & F.col("__whole.value").isNotNull()
-    for field in inner:
-        if isinstance(field.dataType, T.DoubleType):  # beyond the range of a double: the second parse refuses it
-            beyond = F.abs(F.col(f"__whole.value.payload.`{field.name}`")) == F.lit(float("inf"))
-            usable &= ~F.coalesce(beyond, F.lit(False))
-    once = whole.select(
-        *records.columns, F.when(usable, F.col("__whole.value")).alias("__once"), (~usable).alias("__again")
-    )
-    twice = parse_once(once, __env=(F.when(F.col("__again"), F.col("value")), schemas.ENVELOPE))
 
-    def either(name: str) -> Column:
-        return F.coalesce(F.col(f"__once.{name}"), F.col(f"__env.{name}"))
+def _parsed_at_once(records: DataFrame, shape: T.StructType, kinds: Sequence[tuple[Column, T.StructType]]) -> DataFrame:
+    """``decode_and_route`` with the payload of data records as struct ``__payload`` and ``payload_ok``, instead of its
+    text. The schema of a payload is that of the first of ``kinds`` whose condition holds; ``shape`` has the fields of all.
 
-    decoded = twice.select(
-        *records.columns,
-        F.coalesce(either("type"), F.lit("")).alias("type"),
-        F.col("__env.payload").alias("payload"),
-        F.when(either("marker").isNotNull(), F.coalesce(either("marker.ingress_ts_nano"), F.lit(0))).alias(
-            "ingress_ts_nano"
+    Envelope and payload are one parse. Only a text that it can't take as a whole is parsed again, first its envelope
+    and then the payload's text by the payload's own schema, which tells what is at fault.
+    """
+    shape = _fields(shape)
+    at_once = T.StructType([T.StructField("payload", shape) if f.name == "payload" else f for f in schemas.ENVELOPE])
+    doubles = [f.name for f in shape if isinstance(f.dataType, T.DoubleType)]
+
+    def found(envelope: Column, malformed: Column, payload: Column, payload_ok: Column) -> Column:
+        marker = envelope.getField("marker")
+        return F.struct(
+            F.coalesce(envelope.getField("type"), F.lit("")).alias("type"),
+            F.when(marker.isNotNull(), F.coalesce(marker.getField("ingress_ts_nano"), F.lit(0))).alias("ingress_ts_nano"),
+            marker.isNotNull().alias("has_marker"),
+            malformed.alias("malformed"),
+            envelope.getField("payload").isNotNull().alias("has_payload"),
+            payload.alias("payload"),
+            payload_ok.alias("payload_ok"),
+        )
+
+    def in_shape(value: Column, schema: T.StructType) -> Column:
+        known = schema.fieldNames()
+        return F.struct(
+            *[
+                (value.getField(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in shape
+            ]
+        )
+
+    def one_by_one(whole: Column) -> Column:
+        envelope = whole.getField("value")
+        malformed = _spoilt(whole) | envelope.isNull()
+        data = ~malformed & (envelope.getField("type") == TYPE_DATA)
+
+        def judged(schema: T.StructType) -> Column:
+            return _named(
+                _whole(F.when(data, envelope.getField("payload")), schema),
+                lambda w: found(
+                    envelope, malformed, in_shape(w.getField("value"), schema), ~(_spoilt(w) | w.getField("value").isNull())
+                ),
+            )[0]
+
+        made = found(envelope, malformed, F.lit(None).cast(shape), F.lit(False))
+        for condition, schema in reversed(kinds):
+            made = F.when(condition, judged(schema)).otherwise(made)
+        return made
+
+    def either(whole: Column) -> Column:
+        envelope = whole.getField("value")
+        payload = envelope.getField("payload")
+        sound = ~_spoilt(whole) & envelope.isNotNull()
+        for name in doubles:  # what is beyond a double becomes infinite here and is refused in a payload's own parse
+            sound &= F.coalesce(F.abs(payload.getField(name)) != F.lit(float("inf")), F.lit(True))
+        again = _named(_whole(F.col("value"), schemas.ENVELOPE), one_by_one)[0]
+        return F.when(sound, found(envelope, F.lit(False), payload, payload.isNotNull())).otherwise(again)
+
+    parsed = records.select("*", F.explode(_named(_whole(F.col("value"), at_once), either)).alias("__r"))
+    routed = route(
+        parsed.select(
+            *records.columns,
+            *[F.col(f"__r.{name}").alias(name) for name in ("type", "ingress_ts_nano", "has_marker", "malformed")],
+            "__r",
         ),
-        either("marker").isNotNull().alias("has_marker"),
-        (F.col("__again") & unusable("__env")).alias("malformed"),
-        F.col("__once.payload").alias("__payload"),
+        F.col("__r.has_payload"),
     )
-    return route(decoded, F.col("payload").isNotNull() | F.col("__payload").isNotNull())
+    typed = (F.col("route") == DATA) & reduce(or_, [condition for condition, _ in kinds])
+    return routed.withColumns(
+        {
+            "__payload": F.when(typed, F.col("__r.payload")),
+            "payload_ok": F.coalesce(typed & F.col("__r.payload_ok"), F.lit(False)),
+        }
+    ).drop("__r")
 
 
 def decode_readings(records: DataFrame) -> DataFrame:
-    """``decode_typed_payload(decode_and_route(records))``, but one parse does for both unless it fails; the raw
-    ``payload`` isn't kept."""
-    once = _parsed_at_once(records, schemas.GENERIC_TELEMETRY)
-    return _typed(once, F.when(F.col("route") == DATA, F.col("__payload"))).drop("payload", "__payload")
+    """``decode_typed_payload(decode_and_route(records))`` in one parse; the text of the payload isn't kept."""
+    warm, tight = (F.col("topic") == topic for topic in (TOPIC_TEMPERATURE, TOPIC_PRESSURE))
+    kinds = [(warm, schemas.TEMPERATURE_READING), (tight, schemas.PRESSURE_READING)]
+    parsed = _parsed_at_once(records, schemas.GENERIC_TELEMETRY, kinds)
+    measure = F.when(warm, F.col("__payload.temperature_celsius")).otherwise(F.col("__payload.pressure_bar"))
+    return parsed.select(
+        *[c for c in parsed.columns if c not in ("__payload", "payload_ok")],
+        *[F.coalesce(F.col(f"__payload.{wire}"), F.lit("")).alias(name) for wire, name in _READING],
+        F.coalesce(measure, F.lit(0.0)).alias("measure"),
+        "payload_ok",
+    )
 
 
 def decode_typed_payload(routed: DataFrame) -> DataFrame:
@@ -155,39 +227,24 @@ def decode_typed_payload(routed: DataFrame) -> DataFrame:
     Each topic has its own schema; a missing measure reads as 0.0, missing text as ''. Rows without
     a usable payload have ``payload_ok = false``.
     """
-    return _typed(routed)
-
-
-def _typed(routed: DataFrame, known: Column | None = None) -> DataFrame:
-    """``decode_typed_payload``; ``known`` is the payload where it is parsed already."""
     is_data = F.col("route") == DATA
     warm, tight = (F.col("topic") == topic for topic in (TOPIC_TEMPERATURE, TOPIC_PRESSURE))
     payload = F.col("payload")
-    known = F.lit(None).cast(schemas.GENERIC_TELEMETRY) if known is None else known
-    parsed = parse_once(
-        routed.withColumn("__k", F.when(warm | tight, known)),
-        __t=(F.when(is_data & warm, payload), schemas.TEMPERATURE_READING),
-        __p=(F.when(is_data & tight, payload), schemas.PRESSURE_READING),
-    )
-    measure = F.coalesce(
-        F.when(warm, F.col("__k.temperature_celsius")).otherwise(F.col("__k.pressure_bar")),
-        "__t.temperature_celsius",
-        "__p.pressure_bar",
-        F.lit(0.0),
-    )
-    return parsed.select(
-        *routed.columns,
-        *[
-            F.coalesce(F.col(f"__k.{wire}"), F.col(f"__t.{wire}"), F.col(f"__p.{wire}"), F.lit("")).alias(name)
-            for wire, name in (
-                ("messageId", "message_id"),
-                ("sensorId", "sensor_id"),
-                ("machineId", "machine_id"),
-                ("timestamp", "event_time_text"),
-            )
-        ],
-        measure.alias("measure"),
-        (F.col("__k").isNotNull() | ~(unusable("__t") & unusable("__p"))).alias("payload_ok"),
+    return (
+        parse_once(
+            routed,
+            __t=(F.when(is_data & warm, payload), schemas.TEMPERATURE_READING),
+            __p=(F.when(is_data & tight, payload), schemas.PRESSURE_READING),
+        )
+        .select(
+            *routed.columns,
+            *[
+                F.coalesce(F.col(f"__t.{wire}"), F.col(f"__p.{wire}"), F.lit("")).alias(name)
+                for wire, name in _READING
+            ],
+            F.coalesce("__t.temperature_celsius", "__p.pressure_bar", F.lit(0.0)).alias("measure"),
+            (~(unusable("__t") & unusable("__p"))).alias("payload_ok"),
+        )
     )
 
 
@@ -246,46 +303,35 @@ def decode_processed_all(routed: DataFrame, now: Column) -> DataFrame:
 
     ``payload_ok`` is true only for data rows with a usable payload.
     """
-    return _as_windows(routed, now)
-
-
-def decode_windows(records: DataFrame, now: Column) -> DataFrame:
-    """``decode_processed_all(decode_and_route(records), now)``, but one parse does for both unless it fails; the raw
-    ``payload`` isn't kept."""
-    once = _parsed_at_once(records, schemas.PROCESSED_DATA)
-    known = F.when(F.col("route") == DATA, F.col("__payload"))
-    return _as_windows(once, now, known).drop("payload", "__payload")
-
-
-def _as_windows(routed: DataFrame, now: Column, known: Column | None = None) -> DataFrame:
-    """``decode_processed_all``; ``known`` is the payload where it is parsed already."""
     is_data = F.col("route") == DATA
-    known = F.lit(None).cast(schemas.PROCESSED_DATA) if known is None else known
-    parsed = parse_once(
-        routed.withColumn("__k", known), __w=(F.when(is_data, F.col("payload")), schemas.PROCESSED_DATA)
+    parsed = parse_once(routed, __w=(F.when(is_data, F.col("payload")), schemas.PROCESSED_DATA))
+    return parsed.select(
+        *routed.columns,
+        *_window_columns("__w", now),
+        (~unusable("__w")).alias("payload_ok"),
     )
 
-    def either(wire: str) -> Column:
-        return F.coalesce(F.col(f"__k.`{wire}`"), F.col(f"__w.`{wire}`"))
 
-    numbers = {
-        "minimo": "min_value",
-        "media": "mean_value",
-        "massimo": "max_value",
-        "std-dev": "std_dev",
-        "rate-of-change": "rate_of_change",
-    }
+def decode_windows(records: DataFrame, now: Column) -> DataFrame:
+    """``decode_processed_all(decode_and_route(records), now)`` in one parse; the text of the payload isn't kept."""
+    parsed = _parsed_at_once(records, schemas.PROCESSED_DATA, [(F.lit(True), schemas.PROCESSED_DATA)])
     return parsed.select(
-        *routed.columns,
-        F.coalesce(either("messageId"), F.lit("")).alias("message_id"),
-        or_key(either("sensorId"), F.col("key")).alias("sensor_id"),
-        F.coalesce(either("machineId"), F.lit("")).alias("machine_id"),
-        *[F.coalesce(either(wire), F.lit(0.0)).alias(name) for wire, name in numbers.items()],
-        parse_rfc3339(either("timestamp"), now).alias("emit_ts"),
-        (F.col("__k").isNotNull() | ~unusable("__w")).alias("payload_ok"),
+        *[c for c in parsed.columns if c not in ("__payload", "payload_ok")],
+        *_window_columns("__payload", now),
+        "payload_ok",
     )
 
 
+def _window_columns(payload: str, now: Column) -> list[Column]:
+    return [
+        F.coalesce(f"{payload}.messageId", F.lit("")).alias("message_id"),
+        or_key(F.col(f"{payload}.sensorId"), F.col("key")).alias("sensor_id"),
+        F.coalesce(f"{payload}.machineId", F.lit("")).alias("machine_id"),
+        *[F.coalesce(F.col(f"{payload}.`{wire}`"), F.lit(0.0)).alias(name) for wire, name in _WINDOW],
+        parse_rfc3339(F.col(f"{payload}.timestamp"), now).alias("emit_ts"),
+    ]
+
+
 def envelope(payload: Column) -> Column:
     """JSON envelope text around a payload struct."""
     return F.to_json(F.struct(F.lit(TYPE_DATA).alias("type"), payload.alias("payload")))
